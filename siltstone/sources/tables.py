@@ -11,19 +11,26 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from siltstone.config import BATCH_ID
 
-_NO_TABLE = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
-
-
 class SchemaDriftError(ValueError):
     """A batch does not fit the stored table."""
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists on its Hadoop filesystem."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    return target.getFileSystem(conf).exists(target)
+
+
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     """Whether a table can be read at ``path``; other read errors propagate."""
+    if not path_exists(spark, path):
+        return False
     try:
         spark.read.format(fmt).load(path)
     except AnalysisException as e:
-        if e.getCondition() in _NO_TABLE:
+        # The folder is there, but no data file in it yet.
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return False
         raise
     return True
@@ -31,7 +38,7 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
 
 def is_stream_table(spark: SparkSession, path: str) -> bool:
     """Whether a streaming file sink owns the table at ``path``."""
-    return table_exists(spark, f"{path}/_spark_metadata", "text")
+    return path_exists(spark, f"{path}/_spark_metadata")
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
