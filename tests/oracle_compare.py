@@ -30,7 +30,7 @@ def _rows(table) -> Counter:
 
 def compare(df, con, sql: str) -> list[str]:
     """Differences in column names, types and rows; empty when equal."""
-    ours, theirs = df.toArrow(), con.execute(sql).to_arrow_table()
+    ours, theirs = df.toArrow(), con.sql(sql).to_arrow_table()
     out = []
     if sorted(ours.column_names) != sorted(theirs.column_names):
         return [f"columns {ours.column_names} vs {theirs.column_names}"]

@@ -1,0 +1,52 @@
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from plans import physical
+from pyspark.sql import functions as F
+
+from siltstone.operators.dedup import dedup, duplicate_keys
+
+ROW = st.tuples(
+    st.none() | st.integers(0, 3), st.integers(0, 2), st.none() | st.integers(0, 5)
+)
+
+
+@settings(
+    max_examples=8,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(rows=st.lists(ROW, min_size=1, max_size=40), parts=st.integers(1, 5))
+def test_properties(spark, rows, parts):
+    df = spark.createDataFrame(rows, "a int, b int, c int")
+    once = dedup(df, ["a", "b"])
+    got = sorted(once.collect(), key=str)
+    assert got == sorted(dedup(df.repartition(parts), ["a", "b"]).collect(), key=str)
+    assert got == sorted(dedup(once, ["a", "b"]).collect(), key=str)
+
+    best = {}
+    for a, b, c in rows:
+        low = -1 if c is None else c
+        key = (a, b)
+        best[key] = min(best.get(key, low), low)
+    assert {(r.a, r.b): -1 if r.c is None else r.c for r in got} == best
+    assert len(got) == len(best)
+
+
+def test_order_chooses_the_survivor(spark):
+    df = spark.createDataFrame([(1, 5, "x"), (1, 4, "y"), (1, 4, "a")], "k int, t int, v string")
+    assert dedup(df, ["k"], ["t"]).first().v == "a"
+    assert dedup(df, ["k"], ["v"]).first().v == "a"
+    assert dedup(df, ["k", "t", "v"]).count() == 3
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 2).alias("k"), "id")
+    plan = physical(dedup(df, ["k"]))
+    shuffle = plan.index("Exchange hashpartitioning")
+    assert "Partial" in plan[shuffle:]
+    assert dedup(df, ["k"]).count() == 2
+
+
+def test_duplicate_keys(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), (1, 1)], "a int, b int")
+    assert [tuple(r) for r in duplicate_keys(df, ["a", "b"]).collect()] == [(None, 1, 2)]

@@ -1,0 +1,166 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from plans import physical
+from pyspark.sql import functions as F
+from taxi_rows import AS_OF, at, raw_frame, trip
+
+from siltstone.functions import base_name, decode_path, label_codes
+from siltstone.operators import ranking
+from siltstone.operators.metrics import Metric, MetricSet, summarize_sets, top_k
+from siltstone.operators.ranking import add_ranks
+from siltstone.plans import gold
+from siltstone.plans.stages import clean_rows
+from siltstone.presets import TAXI
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def silver(spark):
+    months = [(1, 100.0), (1, 50.0), (2, 0.0), (4, 30.0), (5, 45.0)]
+    trips = [
+        trip(
+            **at(i, month=month),
+            total_amount=amount,
+            pulocationid=i % 3 or None,
+            tip_amount=float(i % 2),
+            payment_type=i,
+        )
+        for i, (month, amount) in enumerate(months)
+    ]
+    return clean_rows(raw_frame(spark, trips), TAXI, AS_OF)
+
+
+def test_growth_spans_gaps_and_skips_zero(silver):
+    out = gold.monthly_trends(silver, TAXI.gold).collect()
+    assert [r.pickup_month for r in out] == [1, 2, 4, 5]
+    growth = [r.revenue_growth_pct for r in out]
+    assert growth[0] is None
+    assert float(growth[1]) == -100.0
+    assert growth[2] is None  # February's revenue is 0
+    assert float(growth[3]) == 50.0
+    assert float(out[2].prev_month_revenue) == 0.0
+
+
+def test_gold_schemas(silver):
+    types = {name: df.dtypes for name, df in gold.gold_tables(silver, TAXI.gold).items()}
+    assert types["daily_summary"] == [
+        ("pickup_date", "date"),
+        ("trip_count", "bigint"),
+        ("total_revenue", "decimal(21,2)"),
+        ("avg_revenue", "decimal(11,2)"),
+        ("avg_distance", "decimal(11,2)"),
+        ("avg_tip", "decimal(11,2)"),
+        ("tipped_trips", "bigint"),
+        ("total_trips", "bigint"),
+        ("tip_percentage", "double"),
+    ]
+    assert types["location_summary"][-2:] == [
+        ("rank_by_trips", "int"),
+        ("rank_by_revenue", "int"),
+    ]
+    assert dict(types["monthly_trends"])["revenue_growth_pct"] == "decimal(28,1)"
+    assert [c for c, _ in types["payment_type_summary"]] == [
+        "payment_type",
+        "trip_count",
+        "total_revenue",
+        "avg_tip",
+        "payment_label",
+    ]
+
+
+def test_one_scan_equals_four(silver):
+    together = gold.gold_tables(silver, TAXI.gold)
+    alone = {
+        gold.DAILY: gold.daily_summary,
+        gold.LOCATION: gold.location_summary,
+        gold.MONTHLY: gold.monthly_trends,
+        gold.CATEGORY: gold.category_summary,
+    }
+    for name, build in alone.items():
+        expected = build(silver, TAXI.gold)
+        assert together[name].dtypes == expected.dtypes
+        assert rows(together[name]) == rows(expected)
+    total = sum(r.trip_count for r in together[gold.DAILY].collect())
+    assert total == sum(r.trip_count for r in together[gold.MONTHLY].collect()) == 5
+
+
+def test_one_scan_plan(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    n = (Metric("n", "rows"), Metric("t", "sum", "l_tax"))
+    sets = {"a": MetricSet(("l_suppkey",), n), "b": MetricSet(("l_linenumber",), n)}
+    plan = physical(summarize_sets(df, sets))
+    assert plan.count("FileScan") == 1
+    assert "partial_sum" in plan
+    assert "l_shipdate" not in plan
+
+
+def test_conflicting_sets_are_refused(spark):
+    df = spark.range(3).withColumn("k", F.lit(1))
+    m = MetricSet(("k",), (Metric("n", "rows"),))
+    with pytest.raises(ValueError, match="same keys"):
+        summarize_sets(df, {"a": m, "b": m})
+    other = MetricSet(("id",), (Metric("n", "sum", "id"),))
+    with pytest.raises(ValueError, match="two ways"):
+        summarize_sets(df, {"a": m, "b": other})
+
+
+def test_null_keys_are_groups_of_their_own(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), (1, None)], "a int, b int")
+    n = (Metric("n", "rows"),)
+    sets = {"a": MetricSet(("a",), n), "b": MetricSet(("b",), n)}
+    out = rows(summarize_sets(df, sets).select("_set", "a", "b", "n"))
+    assert out == rows(
+        spark.createDataFrame(
+            [("a", None, None, 2), ("a", 1, None, 1), ("b", None, 1, 2), ("b", None, None, 1)],
+            "s string, a int, b int, n long",
+        )
+    )
+
+
+@settings(
+    max_examples=5,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(values=st.lists(st.none() | st.integers(0, 20), min_size=1, max_size=60))
+def test_rank_modes_agree(spark, values):
+    df = spark.createDataFrame(list(enumerate(values)), "id int, v int").repartition(3)
+    window = add_ranks(df, {"r": "v"}, "window")
+    spread = add_ranks(df, {"r": "v"}, "distributed")
+    assert window.dtypes == spread.dtypes
+    assert rows(window) == rows(spread)
+
+
+def test_distributed_rank_with_a_hot_value(spark, monkeypatch):
+    """A third of the rows share one value; it is joined by broadcast."""
+    monkeypatch.setattr(ranking, "MAX_WINDOW_ROWS", 10)
+    v = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 2000)
+    df = spark.range(20_000).select("id", v.alias("v"), (F.col("id") % 10).alias("w"))
+    ranks = {"by_v": "v", "by_w": "w"}
+    assert rows(add_ranks(df, ranks)) == rows(add_ranks(df, ranks, "window"))
+
+
+def test_ties_share_a_rank_without_gaps(spark):
+    df = spark.createDataFrame([("a", 5), ("b", 5), ("c", 3), ("d", None)], "k string, n int")
+    ranked = add_ranks(df, {"r": "n"})
+    assert rows(ranked.select("k", "r")) == [("a", 1), ("b", 1), ("c", 2), ("d", 3)]
+    assert [r.k for r in top_k(ranked, "r", 1).orderBy("k").collect()] == ["a", "b"]
+
+
+def test_round_is_half_up(spark):
+    df = spark.createDataFrame([(0.25,), (-0.25,)], "v double")
+    out = [r[0] for r in df.select(F.round("v", 1)).collect()]
+    assert out == [0.3, -0.3]
+
+
+def test_labels_and_paths(spark):
+    df = spark.createDataFrame([(1, "file:/x/a%20b+c%25.parquet")], "code int, uri string")
+    row = df.select(
+        label_codes("code", {}, "Other"),
+        base_name(decode_path("uri")),
+    ).first()
+    assert tuple(row) == ("Other", "a b+c%.parquet")

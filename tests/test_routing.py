@@ -1,0 +1,95 @@
+"""Edge rows and where each goes, through casts and rules."""
+
+from datetime import datetime
+
+import pytest
+from taxi_rows import AS_OF, at, raw_frame, trip
+
+from siltstone.operators.routing import (
+    QUARANTINE,
+    UNROUTABLE,
+    VALID,
+    build_mask,
+    local_now,
+    not_future,
+    route,
+    split_valid,
+)
+from siltstone.plans.gold import category_summary
+from siltstone.plans.stages import clean_rows, conform
+from siltstone.presets import TAXI
+
+CASES = [
+    ({}, VALID),
+    ({"vendorid": None}, QUARANTINE),
+    ({"tpep_pickup_datetime": None}, QUARANTINE),
+    ({"tpep_dropoff_datetime": None}, QUARANTINE),
+    ({"trip_distance": 0.0}, QUARANTINE),
+    ({"trip_distance": -1.0}, QUARANTINE),
+    ({"trip_distance": 0.004}, QUARANTINE),
+    ({"trip_distance": 0.005}, VALID),
+    ({"fare_amount": -0.01}, QUARANTINE),
+    ({"total_amount": -0.01}, QUARANTINE),
+    ({"fare_amount": -0.004}, VALID),
+    ({"fare_amount": 0.0}, VALID),
+    ({"passenger_count": 0.0}, QUARANTINE),
+    ({"passenger_count": -1.0}, QUARANTINE),
+    ({"passenger_count": 0.5}, QUARANTINE),
+    ({"passenger_count": 1.9}, VALID),
+    ({"passenger_count": None}, UNROUTABLE),
+    ({"trip_distance": None}, UNROUTABLE),
+    ({"fare_amount": None}, UNROUTABLE),
+    ({"total_amount": None}, UNROUTABLE),
+    ({"passenger_count": None, "trip_distance": -1.0}, QUARANTINE),
+    ({"fare_amount": 1e12}, UNROUTABLE),
+    ({"tpep_pickup_datetime": datetime(2024, 1, 1, 0, 0, 1)}, QUARANTINE),
+    ({"tpep_pickup_datetime": datetime(2024, 1, 1)}, VALID),
+    ({"tpep_dropoff_datetime": datetime(2023, 1, 5, 9, 0)}, VALID),
+    ({"tpep_pickup_datetime": datetime(2001, 1, 1)}, VALID),
+    ({"pulocationid": None}, VALID),
+    ({"payment_type": None}, VALID),
+    ({"vendorid": 5_000_000_000}, QUARANTINE),
+]
+
+
+def test_edge_rows(spark):
+    rows = [trip(**changes, extra=float(i)) for i, (changes, _) in enumerate(CASES)]
+    df = conform(raw_frame(spark, rows), TAXI)
+    routed = df.select("extra", route(build_mask(df, TAXI.rules, AS_OF)).alias("r"))
+    got = {int(r.extra): r.r for r in routed.collect()}
+    assert [got[i] for i in range(len(CASES))] == [expected for _, expected in CASES]
+
+    split = split_valid(df, TAXI.rules, AS_OF)
+    assert [part.count() for part in split] == [
+        sum(e == kind for _, e in CASES) for kind in (VALID, QUARANTINE, UNROUTABLE)
+    ]
+
+
+def test_clean_rows_drops_duplicates_and_metadata(spark):
+    rows = [
+        trip(fare_amount=10.0),
+        trip(fare_amount=9.0),
+        trip(pulocationid=None, fare_amount=5.0),
+        trip(pulocationid=None, fare_amount=5.0),
+        trip(**at(1)),
+    ]
+    out = clean_rows(raw_frame(spark, rows), TAXI, AS_OF)
+    fares = sorted(float(r.fare_amount) for r in out.collect())
+    assert fares == [5.0, 9.0, 10.0]
+    assert out.columns[-1] == "_silver_processed_at"
+    assert dict(out.dtypes)["airport_fee"] == "double"
+    assert dict(out.dtypes)["total_amount"] == "decimal(10,2)"
+
+
+def test_unknown_payment_codes_are_other(spark):
+    rows = [trip(payment_type=p, **at(i)) for i, p in enumerate([0, 7, None, 2, 2])]
+    gold = category_summary(clean_rows(raw_frame(spark, rows), TAXI, AS_OF), TAXI.gold)
+    labels = [(r.payment_type, r.payment_label) for r in gold.collect()]
+    assert labels == [(2, "Cash"), (None, "Other"), (0, "Other"), (7, "Other")]
+
+
+def test_not_future_needs_a_moment(spark):
+    df = spark.sql("select timestamp_ntz'2023-01-01' as t")
+    with pytest.raises(ValueError):
+        build_mask(df, [not_future("t")])
+    assert df.filter(build_mask(df, [not_future("t")], local_now(spark))).count() == 0
