@@ -81,21 +81,18 @@ def present(df: DataFrame) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as raw trips: line 7 has an unknown quantity, and the tax is an
-    amount like a tip."""
-    tip = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast(
-        "decimal(4,2)"
-    )
-    return load(spark, sf_dir, "lineitem").withColumns(
-        {
-            "l_quantity": F.nullif("l_linenumber", F.lit(7)).cast("double"),
-            "l_tax": tip.cast("decimal(10,2)").cast("double"),
-        }
-    )
+    """Order lines as raw trips; the quantity of line 7 is unknown."""
+    unknown = F.nullif("l_linenumber", F.lit(7)).cast("double")
+    return load(spark, sf_dir, "lineitem").withColumn("l_quantity", unknown)
+
+
+def with_tip(df: DataFrame) -> DataFrame:
+    """The tax rate turned into an amount, which plays the tip."""
+    return df.withColumn("tax", (F.col("price") * F.col("tax")).cast("decimal(10,2)"))
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(order_lines(spark, sf_dir), SPEC)
+    return with_tip(conform(order_lines(spark, sf_dir), SPEC))
 
 
 # --- schema ---------------------------------------------------------------
@@ -321,7 +318,7 @@ def q_silver_end_to_end(spark, sf_dir):
 
 
 def _gold_from_silver(spark, sf_dir, name):
-    silver = clean_rows(order_lines(spark, sf_dir), SPEC, AS_OF)
+    silver = with_tip(clean_rows(order_lines(spark, sf_dir), SPEC, AS_OF))
     return present(gold_tables(silver, GOLD)[name])
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from datetime import datetime
 from itertools import islice
@@ -163,26 +164,39 @@ def _record_batch(spark: SparkSession, cfg: RunConfig, batch_id: str) -> int:
 # --- clean ----------------------------------------------------------------
 
 
+def typed(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Names and types of the clean table."""
+    return cast_columns(rename_columns(df, spec.renames), spec.casts)
+
+
 def conform(df: DataFrame, spec: DatasetSpec) -> DataFrame:
-    """Names, types and date parts of the clean table."""
-    df = cast_columns(rename_columns(df, spec.renames), spec.casts)
-    return add_date_parts(df, spec.event_time, spec.event_prefix)
+    """``typed`` with the date parts of the event time."""
+    return add_date_parts(typed(df, spec), spec.event_time, spec.event_prefix)
 
 
 def clean_rows(df: DataFrame, spec: DatasetSpec, as_of: str) -> DataFrame:
     """The clean table of a bronze frame: valid rows, one per key."""
-    conformed = conform(df, spec)
-    valid = conformed.filter(~build_mask(conformed, spec.rules, as_of))
-    unique = dedup(valid, spec.dedup_keys, _dedup_order(conformed, spec))
-    return stamp(unique.drop(*INGEST_METADATA), PROCESSED_AT)
-
-
-def _dedup_order(df: DataFrame, spec: DatasetSpec) -> list[str]:
-    """Data columns before metadata: the survivor depends on what the rows say,
-    not on when they were ingested."""
-    lead = list(spec.dedup_order or ())
-    skip = {*lead, *spec.dedup_keys, *INGEST_METADATA}
-    return lead + [c for c in df.columns if c not in skip]
+    # Only what decides between duplicates goes through the shuffle: the ingest
+    # metadata is dropped before it, the date parts are derived after it.
+    rows = typed(df, spec).drop(*INGEST_METADATA)
+    # Rules on columns that are stored as they are can be pushed to the scan.
+    stored = [r for r in spec.rules if r.column not in spec.casts]
+    if stored:
+        rows = rows.filter(~build_mask(rows, stored, as_of))
+    valid = _once(rows).filter(~build_mask(rows, spec.rules, as_of))
+    unique = dedup(valid, spec.dedup_keys, spec.dedup_order)
+    return stamp(
+        add_date_parts(unique, spec.event_time, spec.event_prefix), PROCESSED_AT
+    )
+
+
+def _once(df: DataFrame) -> DataFrame:
+    """Keep a later filter above this frame's projection.
+
+    Catalyst would copy the casts into the filter and run them twice per row,
+    which costs more than the pushdown of a filter on cast values can save.
+    """
+    return df.observe(f"rows-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
 
 
 def clean(
