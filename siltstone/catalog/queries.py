@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
 from siltstone.config import PROCESSED_AT, GoldColumns, Layout, RunConfig
-from siltstone.functions import base_name, decode_path, label_codes
+from siltstone.functions import base_name, label_codes
 from siltstone.operators.checks import (
     HasColumns,
     MinRows,
@@ -174,7 +174,7 @@ def q_ledger_file_names(spark, sf_dir):
             F.lit(".parquet"),
         ).alias("uri")
     )
-    return file_names(encoded.select(decode_path("uri").alias("path")), "path")
+    return file_names(encoded, "uri")
 
 
 # --- routing and duplicates -----------------------------------------------

@@ -20,6 +20,7 @@ from siltstone.config import (
     DatasetSpec,
     RunConfig,
 )
+from siltstone.functions import base_name, decode_path
 from siltstone.operators.checks import gate, run_checks
 from siltstone.operators.dedup import dedup
 from siltstone.operators.routing import (
@@ -148,7 +149,7 @@ def _record_batch(spark: SparkSession, cfg: RunConfig, batch_id: str) -> int:
         .groupBy(SOURCE_FILE)
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(
-            F.element_at(F.split(SOURCE_FILE, "/"), -1).alias("file_name"),
+            base_name(decode_path(SOURCE_FILE)).alias("file_name"),
             "rows",
             F.lit(batch_id).alias(BATCH_ID),
         )

@@ -38,10 +38,12 @@ def list_source_files(
 
 
 def file_names(df: DataFrame, column: str = SOURCE_FILE) -> DataFrame:
-    """Distinct base names of a path column; NULL and empty paths are skipped."""
-    return (
-        df.filter(F.col(column) != "").select(base_name(column).alias("file_name")).distinct()
-    )
+    """Distinct base names of a column of file URIs; NULL and empty are skipped.
+
+    The URIs are made distinct first, so that each is decoded once.
+    """
+    uris = df.filter(F.col(column) != "").select(column).distinct()
+    return uris.select(base_name(decode_path(column)).alias("file_name")).distinct()
 
 
 def ingested_files(
@@ -171,5 +173,5 @@ def read_schema_groups(
 
 
 def tag_source(df: DataFrame) -> DataFrame:
-    """Add the decoded path of the file each row was read from."""
-    return df.select("*", decode_path("_metadata.file_path").alias(SOURCE_FILE))
+    """Add the URI of the file each row was read from, as Spark reports it."""
+    return df.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))

@@ -1,5 +1,6 @@
 import os
 import shutil
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,7 +55,7 @@ def land_drifting(spark, cfg):
 def per_file(spark, cfg):
     bronze = read_table(spark, cfg.layout.bronze)
     return {
-        os.path.basename(r._source_file): r["count"]
+        unquote(os.path.basename(r._source_file)): r["count"]
         for r in bronze.groupBy("_source_file").count().collect()
     }
 
@@ -199,8 +200,8 @@ def test_listing_and_ledger_names(spark, cfg):
     land(spark, cfg, "A.parquet", month(spark, 1, 0))
     listed = list_source_files(spark, cfg.layout.raw)
     assert [r.file_name for r in listed.collect()] == ["A.parquet"]
-    df = spark.createDataFrame([("x/a",), ("y/a",), ("",), (None,)], "_source_file string")
-    assert [r[0] for r in file_names(df).collect()] == ["a"]
+    df = spark.createDataFrame([("x/a%20b+",), ("y/a%20b+",), ("",), (None,)], "_source_file string")
+    assert [r[0] for r in file_names(df).collect()] == ["a b+"]
 
 
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark):

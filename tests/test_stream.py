@@ -29,7 +29,7 @@ def test_each_file_once(spark, cfg):
     bronze = read_table(spark, cfg.layout.bronze)
     got = bronze.groupBy("_source_file", "_batch_id").count().collect()
     assert {(r[0].rsplit("/", 1)[1], r[1], r[2]) for r in got} == {
-        ("a b.parquet", "s_1", 2),
+        ("a%20b.parquet", "s_1", 2),
         ("c.parquet", "s_3", 5),
     }
     assert dict(bronze.dtypes)["passenger_count"] == "double"
