@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from datetime import datetime
@@ -52,8 +53,9 @@ from siltstone.sources.tables import (
     append_batch,
     overwrite_table,
     overwrite_with_counts,
+    read_batches,
     read_table,
-    table_exists,
+    stored_batches,
 )
 
 ROUTE = "_route"
@@ -112,13 +114,15 @@ def ingest(
     Nothing is written, and nothing returned, when there is no new file.
     """
     out = cfg.layout
+    batch_id = batch_id or new_batch_id()
+    if not re.fullmatch(r"[\w.-]+", batch_id, re.ASCII):
+        raise ValueError(f"batch id {batch_id!r} is not a plain folder name")
     files = list_source_files(spark, out.raw, cfg.glob)
     known = ingested_files(spark, out.bronze, out.ledger, cfg.fmt)
     # Stored, so that the batches below are cut from one fixed list.
     pending = materialize(select_new_files(files, known).select("path", "file_name"))
 
-    batch_id = batch_id or new_batch_id()
-    ids = _free_ids(_stored_ids(spark, cfg, batch_id), batch_id)
+    ids = _free_ids(stored_batches(spark, out.bronze, cfg.fmt), batch_id)
     report = []
     ordered = pending.orderBy("file_name").toLocalIterator()
     for chunk in _chunks(ordered, cfg.max_files_per_batch):
@@ -130,22 +134,13 @@ def ingest(
     return report
 
 
-def _stored_ids(spark: SparkSession, cfg: RunConfig, batch_id: str) -> set[str]:
-    """Ids in bronze that belong to the run ``batch_id``."""
-    if not table_exists(spark, cfg.layout.bronze, cfg.fmt):
-        return set()
-    stored = read_table(spark, cfg.layout.bronze, cfg.fmt).select(BATCH_ID)
-    same_run = stored.filter(F.col(BATCH_ID).startswith(batch_id)).distinct()
-    return {r[BATCH_ID] for r in same_run.collect()}
-
-
 def _record_batch(spark: SparkSession, cfg: RunConfig, batch_id: str) -> int:
     """Write the batch's file names and row counts to the ledger."""
-    if not table_exists(spark, cfg.layout.bronze, cfg.fmt):
-        return 0
+    out = cfg.layout
+    if batch_id not in stored_batches(spark, out.bronze, cfg.fmt):
+        return 0  # none of the files had a row
     per_file = (
-        read_table(spark, cfg.layout.bronze, cfg.fmt)
-        .filter(F.col(BATCH_ID) == batch_id)
+        read_batches(spark, out.bronze, [batch_id], cfg.fmt)
         .groupBy(SOURCE_FILE)
         .agg(F.count(F.lit(1)).alias("rows"))
         .select(
@@ -154,12 +149,9 @@ def _record_batch(spark: SparkSession, cfg: RunConfig, batch_id: str) -> int:
             F.lit(batch_id).alias(BATCH_ID),
         )
     )
-    append_batch(per_file, cfg.layout.ledger, cfg.fmt)
-    if not table_exists(spark, cfg.layout.ledger, cfg.fmt):
-        return 0
-    ledger = read_table(spark, cfg.layout.ledger, cfg.fmt)
-    total = ledger.filter(F.col(BATCH_ID) == batch_id).agg(F.sum("rows")).first()[0]
-    return total or 0
+    append_batch(per_file, out.ledger, cfg.fmt)
+    entries = read_batches(spark, out.ledger, [batch_id], cfg.fmt)
+    return entries.agg(F.sum("rows")).first()[0]
 
 
 # --- clean ----------------------------------------------------------------

@@ -10,12 +10,7 @@ from pyspark.sql import functions as F
 
 from siltstone.config import BATCH_ID, SOURCE_FILE
 from siltstone.functions import base_name, decode_path
-from siltstone.sources.tables import read_table, table_exists
-
-# So many batches without ledger entries are looked up by partition; beyond
-# that the whole table's file column is read.
-_MAX_UNLISTED_BATCHES = 1_000
-
+from siltstone.sources.tables import read_batches, read_table, stored_batches
 
 def list_source_files(
     spark: SparkSession, directory: str, glob: str = "*.parquet"
@@ -51,30 +46,22 @@ def ingested_files(
 ) -> DataFrame:
     """Names of the files whose rows are in bronze: (file_name).
 
-    Bronze is the authority. The ledger holds the names of the batches that were
-    recorded, so that only batches missing there are read from bronze.
+    Bronze is the authority: a name counts when its batch is there. The ledger
+    holds the names batch by batch, so that only batches it lacks (a run that
+    died before recording them) are read from bronze.
     """
-    if not table_exists(spark, bronze, fmt):
-        return spark.createDataFrame([], "file_name string")
-    stored = read_table(spark, bronze, fmt)
-    if not table_exists(spark, ledger, fmt):
-        return file_names(stored)
-    recorded = read_table(spark, ledger, fmt)
-    unlisted = (
-        stored.select(BATCH_ID)
-        .distinct()
-        .join(recorded.select(BATCH_ID).distinct(), BATCH_ID, "left_anti")
-        .take(_MAX_UNLISTED_BATCHES + 1)
-    )
-    # A ledger entry counts only while its batch is still in bronze.
-    listed = recorded.join(stored.select(BATCH_ID).distinct(), BATCH_ID, "left_semi")
-    names = listed.select("file_name")
-    if len(unlisted) > _MAX_UNLISTED_BATCHES:
-        names = file_names(stored)
-    elif unlisted:
-        ids = [r[BATCH_ID] for r in unlisted]
-        names = names.unionAll(file_names(stored.filter(F.col(BATCH_ID).isin(ids))))
-    return names.distinct()
+    stored = stored_batches(spark, bronze, fmt)
+    recorded = stored_batches(spark, ledger, fmt)
+    known = spark.createDataFrame([], "file_name string")
+    if stored & recorded:
+        entries = read_table(spark, ledger, fmt)
+        if recorded - stored:
+            entries = entries.filter(~F.col(BATCH_ID).isin(list(recorded - stored)))
+        known = known.unionAll(entries.select("file_name"))
+    if stored - recorded:
+        unlisted = read_batches(spark, bronze, stored - recorded, fmt)
+        known = known.unionAll(file_names(unlisted))
+    return known.distinct()
 
 
 def select_new_files(files: DataFrame, ingested: DataFrame) -> DataFrame:

@@ -2,24 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from siltstone.config import BATCH_ID
 
+# Formats that keep each batch in a folder of its own and nothing elsewhere.
+FOLDER_FORMATS = ("parquet", "orc")
+
+
 class SchemaDriftError(ValueError):
     """A batch does not fit the stored table."""
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path exists on its Hadoop filesystem."""
+def _filesystem(spark: SparkSession, path: str):
+    """The Hadoop filesystem of a path, and the path in its terms."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     conf = spark._jsparkSession.sessionState().newHadoopConf()
-    return target.getFileSystem(conf).exists(target)
+    return target.getFileSystem(conf), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists on its Hadoop filesystem."""
+    filesystem, target = _filesystem(spark, path)
+    return filesystem.exists(target)
 
 
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
@@ -43,7 +53,11 @@ def is_stream_table(spark: SparkSession, path: str) -> bool:
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Scan a stored table. Batch ids are text, whatever they look like."""
-    df = spark.read.format(fmt).load(path)
+    return _load(spark.read.format(fmt), path)
+
+
+def _load(reader: DataFrameReader, paths: str | list[str]) -> DataFrame:
+    df = reader.load(paths)
     if BATCH_ID in df.columns and df.schema[BATCH_ID].dataType != StringType():
         # Read again with the partition column's type given, not inferred.
         schema = StructType(
@@ -52,10 +66,39 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
                 for f in df.schema.fields
             ]
         )
-        df = spark.read.schema(schema).format(fmt).load(path)
+        df = reader.schema(schema).load(paths)
     return df
 
 
+def stored_batches(spark: SparkSession, path: str, fmt: str = "parquet") -> set[str]:
+    """Ids of the batches in a table; there is one per ingest run.
+
+    Taken from the names of the partition folders, so the cost does not depend on
+    the size of the table. Other formats keep the list in their own metadata.
+    """
+    if fmt not in FOLDER_FORMATS:
+        if not table_exists(spark, path, fmt):
+            return set()
+        ids = read_table(spark, path, fmt).select(BATCH_ID).distinct()
+        return {r[BATCH_ID] for r in ids.toLocalIterator()}
+    filesystem, target = _filesystem(spark, path)
+    if not filesystem.exists(target):
+        return set()
+    names = [status.getPath().getName() for status in filesystem.listStatus(target)]
+    prefix = f"{BATCH_ID}="
+    return {n.removeprefix(prefix) for n in names if n.startswith(prefix)}
+
+
+def read_batches(
+    spark: SparkSession, path: str, ids: Collection[str], fmt: str = "parquet"
+) -> DataFrame:
+    """Scan some batches of a table, without listing the files of the others."""
+    if fmt not in FOLDER_FORMATS:
+        return read_table(spark, path, fmt).filter(F.col(BATCH_ID).isin(list(ids)))
+    folders = [f"{path}/{BATCH_ID}={i}" for i in sorted(ids)]
+    return _load(spark.read.format(fmt).option("basePath", path), folders)
+
+
 def overwrite_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> None:
@@ -102,10 +145,12 @@ def append_batch(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     overwrite: a retry of the same batch replaces it instead of doubling it.
     """
     spark = df.sparkSession
-    if fmt == "parquet" and is_stream_table(spark, path):
+    if is_stream_table(spark, path):
         raise ValueError(f"{path} is written by a stream; do not append batches to it")
-    if table_exists(spark, path, fmt):
-        df = fit_to_table(df, read_table(spark, path, fmt).schema)
+    stored = stored_batches(spark, path, fmt)
+    if stored:
+        # Every batch was fitted to the first, so any one tells the schema.
+        df = fit_to_table(df, read_batches(spark, path, [max(stored)], fmt).schema)
     (
         df.write.format(fmt)
         .mode("overwrite")

@@ -105,6 +105,11 @@ def test_reused_batch_id_keeps_earlier_rows(spark, cfg):
     assert per_file(spark, cfg) == {"A.parquet": 3, "B.parquet": 4}
 
 
+def test_odd_batch_id_is_refused(spark, cfg):
+    with pytest.raises(ValueError, match="folder name"):
+        ingest(spark, cfg, "a/b")
+
+
 def test_free_ids():
     ids = _free_ids({"x", "x.0002"}, "x")
     assert [next(ids) for _ in range(2)] == ["x.0001", "x.0003"]
