@@ -23,6 +23,7 @@ PAYMENT_LABELS = {
     6: "Voided",
 }
 
+# Columns of the raw trip records and their common types.
 _TAXI_LONGS = ("vendorid", "pulocationid", "dolocationid", "payment_type")
 _TAXI_DOUBLES = (
     "passenger_count",
@@ -38,6 +39,7 @@ _TAXI_DOUBLES = (
     "congestion_surcharge",
     "airport_fee",
 )
+# The columns that identify a trip.
 _TRIP_KEY = (
     "vendor_id",
     "pickup_datetime",
@@ -52,6 +54,7 @@ def taxi(min_rows: int = 1_000_000) -> DatasetSpec:
     return DatasetSpec(
         raw_casts={c: "bigint" for c in _TAXI_LONGS}
         | {c: "double" for c in _TAXI_DOUBLES},
+        # Names and types of the clean table.
         renames={
             "vendorid": "vendor_id",
             "tpep_pickup_datetime": "pickup_datetime",

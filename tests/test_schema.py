@@ -28,6 +28,24 @@ def one(df):
         ("abc", "string", "bigint", None),
         ("abc", "string", "double", None),
         ("12", "string", "bigint", 12),
+        (2147483647.9, "double", "int", 2147483647),
+        (2147483648.0, "double", "int", None),
+        (-2147483648.9, "double", "int", -2147483648),
+        (-2147483649.0, "double", "int", None),
+        (2147483647, "bigint", "int", 2147483647),
+        (-2147483649, "bigint", "int", None),
+        (-(2.0**63), "double", "bigint", -(2**63)),
+        (2.0**63, "double", "bigint", None),
+        (math.inf, "double", "bigint", None),
+        (-math.inf, "double", "decimal(10,2)", None),
+        (99999999.99, "double", "decimal(10,2)", Decimal("99999999.99")),
+        (99999999.995, "double", "decimal(10,2)", None),
+        (-1e8, "double", "decimal(10,2)", None),
+        (2147483647, "int", "decimal(10,2)", None),
+        (7, "int", "double", 7.0),
+        (None, "double", "int", None),
+        (Decimal(2**63 - 1), "decimal(38,0)", "bigint", 2**63 - 1),
+        (Decimal("99999999.994"), "decimal(20,3)", "decimal(10,2)", Decimal("99999999.99")),
         (1.9, "double", "int", 1),
         (-0.5, "double", "int", 0),
         (0.004, "double", "decimal(10,2)", Decimal("0.00")),
