@@ -48,7 +48,7 @@ from siltstone.sources.files import (
     read_schema_groups,
     select_new_files,
 )
-from siltstone.sources.scratch import materialize
+from siltstone.sources.scratch import materialize, scratch_scope
 from siltstone.sources.tables import (
     append_batch,
     overwrite_table,
@@ -70,6 +70,16 @@ class StageRow(NamedTuple):
     rows_out: int
 
 
+
+
+def _pinned(df: DataFrame) -> DataFrame:
+    """The frame, with what follows kept apart from what came before.
+
+    The optimizer does not move expressions across an observation.
+    """
+    return df.observe(f"rows-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+
+
 # --- ingest ---------------------------------------------------------------
 
 
@@ -101,9 +111,13 @@ def raw_batch(
     footers = read_footers(spark, paths, cfg.footer_reader)
     groups = read_schema_groups(spark, paths, footers)
     df = union_by_name([standardize(g, cfg.spec.raw_casts) for g in groups])
-    data = [F.col(c) for c in df.columns if c != SOURCE_FILE]
-    df = stamp(df.select(*data, SOURCE_FILE), INGESTED_AT)
-    return stamp(df, BATCH_ID, batch_id).select(*data, *INGEST_METADATA)
+    data = [c for c in df.columns if c != SOURCE_FILE]
+    df = stamp(df.select(*data, SOURCE_FILE), INGESTED_AT).select(
+        *data, INGESTED_AT, SOURCE_FILE
+    )
+    # Above the observation the id stays one constant for the whole batch. Pushed
+    # into the union it would be a column, and the write would sort by it.
+    return stamp(_pinned(df), BATCH_ID, batch_id)
 
 
 def ingest(
@@ -117,20 +131,21 @@ def ingest(
     batch_id = batch_id or new_batch_id()
     if not re.fullmatch(r"[\w.-]+", batch_id, re.ASCII):
         raise ValueError(f"batch id {batch_id!r} is not a plain folder name")
+    stored = stored_batches(spark, out.bronze, cfg.fmt)
     files = list_source_files(spark, out.raw, cfg.glob)
     known = ingested_files(spark, out.bronze, out.ledger, cfg.fmt)
-    # Stored, so that the batches below are cut from one fixed list.
-    pending = materialize(select_new_files(files, known).select("path", "file_name"))
-
-    ids = _free_ids(stored_batches(spark, out.bronze, cfg.fmt), batch_id)
+    unseen = select_new_files(files, known).select("path", "file_name")
+    ids = _free_ids(stored, batch_id)
     report = []
-    ordered = pending.orderBy("file_name").toLocalIterator()
-    for chunk in _chunks(ordered, cfg.max_files_per_batch):
-        this_id = next(ids)
-        paths = [r["path"] for r in chunk]
-        append_batch(raw_batch(spark, paths, cfg, this_id), out.bronze, cfg.fmt)
-        rows = _record_batch(spark, cfg, this_id)
-        report.append(StageRow("ingest", this_id, None, rows))
+    with scratch_scope(spark):
+        # Stored, so that the batches below are cut from one fixed list.
+        pending = materialize(unseen).orderBy("file_name").toLocalIterator()
+        for chunk in _chunks(pending, cfg.max_files_per_batch):
+            this_id = next(ids)
+            paths = [r["path"] for r in chunk]
+            append_batch(raw_batch(spark, paths, cfg, this_id), out.bronze, cfg.fmt)
+            rows = _record_batch(spark, cfg, this_id)
+            report.append(StageRow("ingest", this_id, None, rows))
     return report
 
 
@@ -172,26 +187,19 @@ def clean_rows(df: DataFrame, spec: DatasetSpec, as_of: str) -> DataFrame:
     # Only what decides between duplicates goes through the shuffle: the ingest
     # metadata is dropped before it, the date parts are derived after it.
     rows = typed(df, spec).drop(*INGEST_METADATA)
-    # Rules on columns that are stored as they are can be pushed to the scan.
+    # Rules on columns that are stored as they are can be pushed to the scan. The
+    # others stay above the casts: Catalyst would copy the casts into the filter
+    # and run them twice per row, for a pushdown that cast values do not allow.
     stored = [r for r in spec.rules if r.column not in spec.casts]
     if stored:
         rows = rows.filter(~build_mask(rows, stored, as_of))
-    valid = _once(rows).filter(~build_mask(rows, spec.rules, as_of))
+    valid = _pinned(rows).filter(~build_mask(rows, spec.rules, as_of))
     unique = dedup(valid, spec.dedup_keys, spec.dedup_order)
     return stamp(
         add_date_parts(unique, spec.event_time, spec.event_prefix), PROCESSED_AT
     )
 
 
-def _once(df: DataFrame) -> DataFrame:
-    """Keep a later filter above this frame's projection.
-
-    Catalyst would copy the casts into the filter and run them twice per row,
-    which costs more than the pushdown of a filter on cast values can save.
-    """
-    return df.observe(f"rows-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
-
-
 def clean(
     spark: SparkSession, cfg: RunConfig, as_of: str | None = None
 ) -> list[StageRow]:
@@ -262,7 +270,8 @@ def aggregate(
     """Rebuild the four summary tables from one scan of the clean table."""
     silver = read_table(spark, cfg.layout.silver, cfg.fmt)
     report = []
-    for name, table in gold_tables(silver, cfg.spec.gold, rank_mode).items():
-        counts = overwrite_with_counts(table, cfg.layout.gold_table(name), cfg.fmt)
-        report.append(StageRow("aggregate", name, None, counts["rows"]))
+    with scratch_scope(spark):
+        for name, table in gold_tables(silver, cfg.spec.gold, rank_mode).items():
+            counts = overwrite_with_counts(table, cfg.layout.gold_table(name), cfg.fmt)
+            report.append(StageRow("aggregate", name, None, counts["rows"]))
     return report

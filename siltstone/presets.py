@@ -52,8 +52,10 @@ _TRIP_KEY = (
 def taxi(min_rows: int = 1_000_000) -> DatasetSpec:
     """Monthly taxi trip records; ``min_rows`` is the gate's row threshold."""
     return DatasetSpec(
+        # The flag is text already, unless a month has none: then it has no type.
         raw_casts={c: "bigint" for c in _TAXI_LONGS}
-        | {c: "double" for c in _TAXI_DOUBLES},
+        | {c: "double" for c in _TAXI_DOUBLES}
+        | {"store_and_fwd_flag": "string"},
         # Names and types of the clean table.
         renames={
             "vendorid": "vendor_id",

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltstone.sources.paths import delete_folder
+
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
 
 @cache
 def _local_scratch() -> str:
@@ -30,12 +36,31 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/siltstone/{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what is materialized inside.
+
+    For code that has written its results by then; a frame that outlives the
+    scope must not depend on a materialized one.
+    """
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            delete_folder(spark, path)
+
+
 def materialize(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write the frame to scratch once and return a scan of it.
 
     Cuts the lineage, keeps column pruning, and survives the loss of executors.
     """
     path = scratch_dir(df.sparkSession)
+    if (paths := _scope.get()) is not None:
+        paths.append(path)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from siltstone.config import BATCH_ID
+from siltstone.sources.paths import child_names, path_exists
 
 # Formats that keep each batch in a folder of its own and nothing elsewhere.
 FOLDER_FORMATS = ("parquet", "orc")
@@ -19,19 +20,6 @@ class SchemaDriftError(ValueError):
     """A batch does not fit the stored table."""
 
 
-def _filesystem(spark: SparkSession, path: str):
-    """The Hadoop filesystem of a path, and the path in its terms."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    return target.getFileSystem(conf), target
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path exists on its Hadoop filesystem."""
-    filesystem, target = _filesystem(spark, path)
-    return filesystem.exists(target)
-
-
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     """Whether a table can be read at ``path``; other read errors propagate."""
     if not path_exists(spark, path):
@@ -81,11 +69,8 @@ def stored_batches(spark: SparkSession, path: str, fmt: str = "parquet") -> set[
             return set()
         ids = read_table(spark, path, fmt).select(BATCH_ID).distinct()
         return {r[BATCH_ID] for r in ids.toLocalIterator()}
-    filesystem, target = _filesystem(spark, path)
-    if not filesystem.exists(target):
-        return set()
-    names = [status.getPath().getName() for status in filesystem.listStatus(target)]
     prefix = f"{BATCH_ID}="
+    names = child_names(spark, path)
     return {n.removeprefix(prefix) for n in names if n.startswith(prefix)}
 
 

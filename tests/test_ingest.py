@@ -3,6 +3,7 @@ import shutil
 from urllib.parse import unquote
 
 import pytest
+from plans import write_plans
 from pyspark.sql import functions as F
 from taxi_rows import at, raw_frame, spec, trip
 
@@ -69,6 +70,8 @@ def test_drifting_files_once(spark, cfg, reader):
     cfg = RunConfig(cfg.spec, cfg.layout, footer_reader=reader)
     assert [r.rows_out for r in ingest(spark, cfg, "b_1")] == [18]
     assert per_file(spark, cfg) == EXPECTED
+    append = [p for p in write_plans(spark) if f"{cfg.layout.bronze}," in p]
+    assert append and "Sort" not in append[-1] and "Exchange" not in append[-1]
     bronze = read_table(spark, cfg.layout.bronze)
     assert bronze.columns[-3:] == ["_ingestion_timestamp", "_source_file", "_batch_id"]
     types = dict(bronze.dtypes)
@@ -166,6 +169,24 @@ def test_append_fills_missing_and_refuses_drift(spark, tmp_path):
             append_batch(bad.withColumn("_batch_id", F.lit("b_3")), path)
 
 
+def test_a_column_without_any_value(spark, cfg):
+    """Written by a library that gives such a column no type."""
+    import pyarrow as pa
+    from pyarrow import parquet
+
+    land(spark, cfg, "b.parquet", month(spark, 2, 0))
+    table = parquet.read_table(f"{cfg.layout.raw}/b.parquet")
+    at_flag = table.column_names.index("store_and_fwd_flag")
+    empty = table.set_column(at_flag, "store_and_fwd_flag", pa.nulls(2))
+    empty = empty.replace_schema_metadata(None)
+    parquet.write_table(empty, f"{cfg.layout.raw}/a.parquet")
+    ingest(spark, cfg, "b_1")
+    bronze = read_table(spark, cfg.layout.bronze)
+    flags = bronze.groupBy("store_and_fwd_flag").count().collect()
+    assert {(r[0], r[1]) for r in flags} == {(None, 2), ("N", 2)}
+    assert dict(bronze.dtypes)["store_and_fwd_flag"] == "string"
+
+
 @pytest.mark.parametrize("reader", ["executors", "spark"])
 def test_names_that_collide_are_refused(spark, cfg, reader):
     spark.conf.set("spark.sql.caseSensitive", "true")
@@ -209,6 +230,19 @@ def test_listing_and_ledger_names(spark, cfg):
     assert [r[0] for r in file_names(df).collect()] == ["a b+"]
 
 
+def test_scratch_is_deleted_with_its_scope(spark):
+    from siltstone.sources.paths import path_exists
+    from siltstone.sources.scratch import materialize, scratch_scope
+
+    with scratch_scope(spark):
+        inside = materialize(spark.range(3))
+        path = os.path.dirname(inside.inputFiles()[0])
+        assert inside.count() == 3
+    assert not path_exists(spark, path)
+    outside = materialize(spark.range(3))
+    assert outside.count() == 3
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
     class Conf:
         def __init__(self, values):
