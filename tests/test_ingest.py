@@ -257,5 +257,6 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
 
     with pytest.raises(RuntimeError):
         scratch_dir(Session(spark_master="yarn"))
+    assert os.path.isdir(scratch_dir(Session(spark_master="local[2]")).split("/siltstone/")[0])
     given = {"spark_master": "yarn", "spark_checkpoint_dir": "hdfs:///shared/"}
     assert scratch_dir(Session(**given)).startswith("hdfs:///shared/siltstone/")
