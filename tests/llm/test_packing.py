@@ -1,0 +1,124 @@
+import random
+import zlib
+from itertools import combinations
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from siltstone.llm import packing
+
+SF = "/root/testdata/sf0.001"
+
+
+def ids_by_tokenizers(text):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+def check_packing(rows, texts, capacity):
+    """Pieces cut as stated, ids right, sequences gapless and within the capacity."""
+    want = []
+    for doc_id, text in texts:
+        ids = ids_by_tokenizers(text)
+        first = len(ids) % capacity or min(capacity, len(ids))
+        at, n = 0, 0
+        while at < len(ids):
+            size = first if n == 0 else capacity
+            crc = zlib.crc32(np.array(ids[at : at + size], "<u4").tobytes())
+            want.append((doc_id, n, at, size, crc))
+            at, n = at + size, n + 1
+    got = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for placed in sequences.values():
+        at = 0
+        for offset, length in sorted(placed):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences)
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    rows = packing.pack(docs, 2048).collect()
+    used = check_packing(rows, texts, 2048)
+    tokens = sum(r.length for r in rows)
+    assert used <= 1.02 * -(-tokens // 2048) + 1
+
+
+def test_odd_rows(spark, odd_docs):
+    texts = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    rows = packing.pack(odd_docs, 64, pieces_per_part=4).collect()
+    check_packing(rows, texts, 64)
+
+
+def test_empty_table(no_docs):
+    assert packing.pack(no_docs).collect() == []
+
+
+def test_special_string_and_blank_runs_have_the_ids_of_tokenizers():
+    encode = packing.public_encoder()()
+    for text in ("a <|endoftext|> b", " " * 5000 + "x", "\n\t  　" * 50, "é" * 3000):
+        assert [*encode(text), 0] == ids_by_tokenizers(text)
+
+
+@given(st.lists(st.integers(1, 12), min_size=1, max_size=8))
+@settings(max_examples=150, deadline=None)
+def test_bound_never_exceeds_the_optimum(lengths):
+    lengths = sorted(lengths, reverse=True)
+
+    def fits(rest, bins):
+        if not rest:
+            return True
+        return any(
+            fits(rest[1:], bins[:i] + [b - rest[0]] + bins[i + 1 :])
+            for i, b in enumerate(bins)
+            if b >= rest[0] and b not in bins[:i]
+        )
+
+    optimum = next(n for n in range(1, 9) if fits(lengths, [12] * n))
+    bound = packing.lower_bound(np.array(lengths), 12)
+    _, used = packing.best_fit_decreasing(np.array(lengths), 12)
+    assert -(-sum(lengths) // 12) <= bound <= optimum <= used
+
+
+def test_bound_beats_the_sum():
+    assert packing.lower_bound(np.array([7] * 10), 12) == 10
+    assert packing.lower_bound(np.array([5] * 10), 12) == 5
+
+
+def test_exchange_between_partitions_saves_bins(spark):
+    draw = random.Random(5)
+    docs = spark.createDataFrame(
+        [(i, "x" * draw.randint(200, 1100)) for i in range(400)],
+        "doc_id long, text string",
+    )
+    letters = lambda: lambda text: [1] * len(text)
+    alone = packing.pack(docs, 2048, 0, letters, pieces_per_part=20, rounds=1)
+    mixed = packing.pack(docs, 2048, 0, letters, pieces_per_part=20, rounds=4)
+    n_alone = packing.packed_summary(alone)["bins"]
+    n_mixed = packing.packed_summary(mixed)["bins"]
+    assert n_mixed < n_alone
+    assert mixed.count() == 400
+    for row in mixed.select("part", "part_bins", "part_bound").distinct().collect():
+        assert row.part_bins >= row.part_bound
+
+
+@pytest.mark.parametrize("length,want", [(5, [(0, 5)]), (9, [(0, 1), (1, 4), (5, 4)])])
+def test_only_the_first_piece_is_short(length, want):
+    assert packing.piece_bounds(length, 8 if length < 9 else 4) == want
+
+
+def test_piece_bounds_cover(spark):
+    for length, capacity in combinations(range(1, 30), 2):
+        got = packing.piece_bounds(length, capacity)
+        assert sum(n for _, n in got) == length
+        assert all(n == capacity for _, n in got[1:])
