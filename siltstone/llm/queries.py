@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import decontaminate, packing, simhash
+from siltstone.llm import decontaminate, langid, packing, secrets, simhash
 from siltstone.llm.tables import load
 
 
@@ -16,6 +16,23 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, keep_text=False)
+    base = F.filter("secrets", lambda s: s["kind"] != secrets.RANDOM)
+
+    def count(kind: str):
+        of_kind = F.filter("secrets", lambda s: s["kind"] == kind)
+        return F.size(of_kind).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("row.c0").alias("doc_id"),
+        *[count(kind) for kind, *_ in secrets.BASE],
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+        secrets.joined(F.col("secrets")).alias("spans"),
+    )
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), 2048).select(
         "doc_id",
@@ -45,11 +62,34 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = langid.fit(load(spark, sf_dir, "documents"), rows_per_label=2000)
+    html = F.col("html")
+    found = langid.identify(
+        load(spark, sf_dir, "pages").select("page_id", "url", "html"),
+        model,
+        text=langid.visible_text(html),
+        declared=langid.declared_language(html),
+        host=langid.url_host(F.col("url")),
+    )
+    return found.select(
+        F.col("row.c0").alias("page_id"),
+        "language",
+        "posterior",
+        "text_language",
+        "declared",
+        "host",
+        "n_grams",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op2_simhash_near_dedup,
+        op3_secret_scans,
         op4_best_fit_packing,
         op7_benchmark_decontamination,
+        op8_language_id,
     ]
     return {f.__name__: f for f in found}
 

@@ -19,11 +19,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.components import connected_components
-from siltstone.llm.tables import empty_text, materialize, row_slices
+from siltstone.llm.tables import empty_text, materialize, row_slices, whole_row
 
 BITS = 64
 BYTES = 8
@@ -63,13 +63,19 @@ def majority_bits(hashes: np.ndarray) -> int:
     return int(kept.view("<u8")[0])
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A number for the row's content, to find the row again in another scan."""
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in plain])
+
+
 def fingerprints(
     docs: DataFrame,
     shingle: int = 4,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """(doc_id, fp) for each row; fp is the fingerprint as a signed long.
+    """(doc_id, row_hash, fp) for each row; fp is the fingerprint as a signed long.
 
     Letters A-Z are lowered and words are what ASCII white space separates. A text
     with fewer words than a shingle is one shingle; a text without words, or a
@@ -80,15 +86,18 @@ def fingerprints(
         for batch in row_slices(batches):
             found = [
                 majority_bits(shingle_hashes(text, shingle))
-                for text in batch.column(1).to_pylist()
+                for text in batch.column(2).to_pylist()
             ]
             fps = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fps)], names=["doc_id", "fp"]
+                [batch.column(0), batch.column(1), pa.array(fps)],
+                names=["doc_id", "row_hash", "fp"],
             )
 
-    texts = docs.select(F.col(id_column).cast("long"), empty_text(text_column))
-    return texts.mapInArrow(digest, "doc_id long, fp long")
+    texts = docs.select(
+        F.col(id_column).cast("long"), row_hash(docs), empty_text(text_column)
+    )
+    return texts.mapInArrow(digest, "doc_id long, row_hash long, fp long")
 
 
 # --- links ------------------------------------------------------------------
@@ -252,11 +261,12 @@ def near_duplicates(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """(doc_id, fp, fingerprint, component_id) for each row of ``docs``.
+    """(doc_id, row_hash, fp, fingerprint, component, component_id) for each row.
 
     ``component_id`` is the smallest doc_id that links reach; rows with a null id take
     part, but never give the id. Rows with equal ids are separate texts. Equal
-    fingerprints are one node, so copies cost no links.
+    fingerprints are one node, so copies cost no links; ``component`` is the component's
+    smallest fingerprint as a signed number.
     """
     prints = materialize(fingerprints(docs, shingle, id_column, text_column))
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
@@ -264,13 +274,55 @@ def near_duplicates(
     labels = connected_components(found)
     linked = classes.join(labels.withColumnRenamed("node", "fp"), "fp")
     smallest = linked.groupBy("label").agg(F.min("first_id").alias("linked_id"))
-    linked = linked.join(smallest, "label").select("fp", "linked_id")
+    linked = linked.join(smallest, "label").select("fp", "label", "linked_id")
     classes = classes.join(linked, "fp", "left").select(
-        "fp", F.coalesce("linked_id", "first_id").alias("component_id")
+        "fp",
+        F.coalesce("label", "fp").alias("component"),
+        F.when(F.col("label").isNull(), F.col("first_id"))
+        .otherwise(F.col("linked_id"))
+        .alias("component_id"),
     )
     return prints.join(classes, "fp").select(
         "doc_id",
+        "row_hash",
         "fp",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component",
         "component_id",
     )
+
+
+def keep_one(
+    docs: DataFrame,
+    shingle: int = 4,
+    max_bits: int = 4,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """One row of ``docs`` for each group of near-duplicates, as it is.
+
+    It is the one with the smallest id; rows without id come last. Of rows with equal
+    ids, and of repeated rows, one stays.
+    """
+    rows = materialize(near_duplicates(docs, shingle, max_bits, id_column=id_column, text_column=text_column))
+    first = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row_hash")
+    chosen = rows.groupBy("component").agg(F.min(first).alias("c")).select("c.doc_id", "c.row_hash")
+    # The same row may be there several times; in few tables it is.
+    times = rows.groupBy("doc_id", "row_hash").agg(F.count(F.lit(1)).alias("times"))
+    both = chosen["doc_id"].eqNullSafe(times["doc_id"]) & (
+        chosen["row_hash"] == times["row_hash"]
+    )
+    chosen = materialize(chosen.join(times, both).select(chosen["doc_id"], chosen["row_hash"], "times"))
+    data = docs.select(whole_row(docs).alias("row"), F.col(id_column).cast("long").alias("i"), row_hash(docs).alias("h"))
+
+    def found(keys: DataFrame) -> DataFrame:
+        same = data["i"].eqNullSafe(keys["doc_id"]) & (data["h"] == keys["row_hash"])
+        return data.join(keys, same, "left_semi")
+
+    kept = found(chosen.filter("times = 1"))
+    again = chosen.filter("times > 1")
+    if not again.isEmpty():
+        order = Window.partitionBy("i", "h").orderBy(F.lit(0))
+        numbered = found(again).withColumn("n", F.row_number().over(order))
+        kept = kept.unionByName(numbered.filter("n = 1").drop("n"))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
