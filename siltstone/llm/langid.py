@@ -15,10 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.tables import empty_text, materialize, row_slices
+from siltstone.llm.tables import empty_text, materialize, row_slices, sampled
 
 BUCKETS = 1 << 15
 _KEEP = bytes(
@@ -73,8 +73,8 @@ def fit(
 ) -> TextModel:
     """Trigram counts by label over a bounded sample of labelled rows.
 
-    The sample is the ``rows_per_label`` rows of each label whose ids hash lowest. Rows
-    without id, label or text do not count. The driver gets a row per label and bucket
+    The sample is about ``rows_per_label`` rows of each label, chosen by a hash of their
+    ids. Rows without id, label or text do not count. The driver gets a row per label and bucket
     at most.
     """
     rows = labelled.select(
@@ -82,15 +82,8 @@ def fit(
         F.col(text_column).cast("string").alias("text"),
         F.lower(label_column).alias("label"),
     ).dropna()
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    chosen = (
-        rows.select("id", "label")
-        .withColumn("n", F.row_number().over(order))
-        .filter(F.col("n") <= rows_per_label)
-        .select("id", "label")
-        .distinct()
-    )
-    # At most rows_per_label ids for each of max_labels labels.
+    chosen = sampled(rows.select("id", "label"), rows_per_label, max_labels)
+    # About rows_per_label ids for each of max_labels labels at most.
     sample = rows.join(F.broadcast(chosen), ["id", "label"], "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,8 +105,6 @@ def fit(
         .toArrow()
     )
     labels = sorted(set(counts.column("label").to_pylist()))
-    if len(labels) > max_labels:
-        raise ValueError(f"{len(labels)} labels; at most {max_labels} can be told apart")
     table = np.full((len(labels), BUCKETS), smoothing)
     place = {label: i for i, label in enumerate(labels)}
     rows_at = [place[x] for x in counts.column("label").to_pylist()]

@@ -7,10 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import decontaminate, langid, packing, secrets, simhash
+from siltstone.llm import (
+    collision_search,
+    decontaminate,
+    langid,
+    packing,
+    secrets,
+    simhash,
+    toxicity,
+    url_filter,
+    warc,
+)
 from siltstone.llm.tables import load
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.severity_model(docs, load(spark, sf_dir, "labels"))
+    return toxicity.predict(docs, model)
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(load(spark, sf_dir, "documents"), 4, 4)
     return found.select("doc_id", "fingerprint", "component_id")
@@ -48,6 +64,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = warc.derive(warc.page_responses(pages))
+    return found.withColumnRenamed("key", "page_id").drop("response_id")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     items = load(spark, sf_dir, "benchmark").select("item_id", "text")
@@ -83,16 +105,33 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    queries = vectors.select("vec_id").filter("vec_id % 50 = 0")
+    return collision_search.nearest(vectors, queries, k=5)
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages").select("page_id", "url")
+    captures = url_filter.page_captures(pages)
+    found = url_filter.filter_captures(captures, url_filter.page_list(captures))
+    return found.withColumnRenamed("key", "page_id").drop("url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
+        op1_toxicity,
         op2_simhash_near_dedup,
         op3_secret_scans,
         op4_best_fit_packing,
+        op6_warc_derivatives,
         op7_benchmark_decontamination,
         op8_language_id,
+        op9_nearest_neighbours,
+        op10_url_filters,
     ]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_url_filters": url_filter.ORACLE}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siltstone.sources.scratch import materialize
 
-__all__ = ["empty_text", "load", "materialize", "parts_for", "row_slices", "whole_row"]
+__all__ = ["empty_text", "load", "materialize", "parts_for", "row_slices", "sampled", "whole_row"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,3 +39,17 @@ def row_slices(
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def sampled(rows: DataFrame, per_label: int, max_labels: int = 256) -> DataFrame:
+    """About ``per_label`` of the rows (id, label) of each label: (id, label), distinct.
+
+    A row is in it if its id hashes below the share that is wanted of its label, so that
+    no row meets others. More than ``max_labels`` labels are refused.
+    """
+    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+    if sizes.count() > max_labels:
+        raise ValueError(f"more than {max_labels} labels")
+    share = F.pmod(F.xxhash64("id"), F.lit(1 << 31)) / float(1 << 31)
+    kept = rows.join(F.broadcast(sizes), "label").filter(share < per_label / F.col("rows"))
+    return kept.select("id", "label").distinct()
