@@ -4,9 +4,10 @@ import pytest
 from oracle_compare import compare, connect
 
 import __spark_entry__ as contract
+from siltstone import catalog
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,8 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
