@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from siltstone.llm import (
     collision_search,
     decontaminate,
+    katz,
     langid,
     packing,
     secrets,
@@ -64,6 +65,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return katz.train_and_score(docs, "crc32(cast(doc_id AS string)) % 7 = 2", order=2)
+
+
 def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = load(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = warc.derive(warc.page_responses(pages))
@@ -124,6 +130,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_simhash_near_dedup,
         op3_secret_scans,
         op4_best_fit_packing,
+        op5_lm_scoring,
         op6_warc_derivatives,
         op7_benchmark_decontamination,
         op8_language_id,
