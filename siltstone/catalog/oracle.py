@@ -34,6 +34,8 @@ _TRIPS = f"{_LINES}, trips as (select {_TIP} from typed)"
 _MASK = f"""(supplier_id is null or shipped_at is null or discount <= 0 or price < 0
     or tax < 0 or quantity <= 0 or shipped_at > {_AS_OF})"""
 
+_MASK_ANY_TIME = _MASK.replace(f" or shipped_at > {_AS_OF}", "")
+
 _ROUTED = f"{_TRIPS}, routed as (select *, {_MASK} as bad from trips)"
 
 _TRIP_COLUMNS = """order_id, part_id, supplier_id, line_number, quantity,
@@ -163,7 +165,10 @@ def oracle_sql() -> dict[str, str]:
     union = " union all ".join
     silver_columns = f"select {_TRIP_COLUMNS} from"
     return {
-        "standardize_columns": f"select {_RAW_LINES.format(tax='l_tax')} from lineitem",
+        # The id's fraction is cut; a quarter of the ids are not numbers.
+        "standardize_columns": f"""select * replace (
+            case when l_partkey % 4 <> 2 then l_orderkey end as l_orderkey)
+            from (select {_RAW_LINES.format(tax='l_tax')} from lineitem)""",
         "lowercase_columns": "select * from customer",
         "cast_out_of_range": """
 select o_orderkey,
@@ -310,6 +315,32 @@ from lineitem""",
             f"""select {_RAW_LINES.format(tax=_NO_LATE_TAX)}, 'batch_1' as _batch_id
             from lines""",
         ),
+        "ingest_many_batches": _with(
+            _LINES,
+            f"""select {_RAW_LINES.format(tax=_NO_LATE_TAX)}, 'batch_1' as _batch_id
+            from lines""",
+        ),
+        "ingest_metadata": """
+select case when l_linenumber <= 2 then 'early' when l_linenumber <= 5 then 'middle'
+            else 'late' end as kind,
+       count(*) as rows, true as source_listed, true as time_in_run,
+       cast(1 as bigint) as times, true as id_from_clock
+from lineitem group by 1""",
+        "silver_metadata": _with(
+            f"""{_late_tax(_LINES)}, routed as (select *, {_MASK_ANY_TIME} as bad from typed),
+            silver as (select * from routed where not bad {_FIRST_PER_KEY})""",
+            """select count(*) as rows, cast(0 as int) as metadata_left,
+            cast(1 as bigint) as times, true as time_in_run from silver""",
+        ),
+        "order_of_months": """
+select cast(year(l_shipdate) as int) as ship_year,
+       cast(month(l_shipdate) as int) as ship_month,
+       cast(row_number() over (order by year(l_shipdate), month(l_shipdate)) as int) as place
+from lineitem group by year(l_shipdate), month(l_shipdate)""",
+        "order_of_categories": """
+select cast(l_linenumber as int) as line_number, count(*) as trip_count,
+       cast(row_number() over (order by count(*) desc, l_linenumber) as int) as place
+from lineitem group by l_linenumber""",
         "ingest_ledger": """
 select 'batch_1' as _batch_id, count(*) as rows from lineitem
 union all select 'batch_2', count(*) from lineitem""",

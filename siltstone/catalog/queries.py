@@ -6,14 +6,15 @@ There is no trip table among the test tables; order lines stand in for trips
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
-from siltstone.config import PROCESSED_AT, GoldColumns, Layout, RunConfig
-from siltstone.functions import base_name, label_codes
+from siltstone.config import INGEST_METADATA, PROCESSED_AT, GoldColumns, Layout, RunConfig
+from siltstone.functions import base_name, decode_path, label_codes
 from siltstone.operators.checks import (
     HasColumns,
     MinRows,
@@ -36,20 +37,15 @@ from siltstone.operators.schema import (
     union_by_name,
 )
 from siltstone.plans.gold import (
-    CATEGORY,
-    DAILY,
-    LOCATION,
-    MONTHLY,
     category_summary,
     daily_summary,
-    gold_tables,
     location_summary,
     monthly_trends,
 )
 from siltstone.plans.run import run_pipeline, run_report
 from siltstone.plans.stages import clean, clean_rows, conform, ingest, read_rejects
 from siltstone.presets import PAYMENT_LABELS, lineitem
-from siltstone.sources.files import file_names, select_new_files
+from siltstone.sources.files import file_names, list_source_files, select_new_files
 from siltstone.sources.scratch import scratch_dir
 from siltstone.sources.tables import read_table
 from siltstone.streaming.file_stream import ingest_stream
@@ -103,7 +99,14 @@ def q_standardize_columns(spark, sf_dir):
     raw = load(spark, sf_dir, "lineitem")
     raw = raw.toDF(*[c.upper() for c in raw.columns])
     raw = cast_columns(raw, {"L_ORDERKEY": "string", "L_LINENUMBER": "string"})
-    return present(standardize(raw, SPEC.raw_casts))
+    # Ids written as decimals, with blanks, or not numbers at all.
+    odd = (
+        F.when(F.col("L_PARTKEY") % 4 == 0, F.concat("L_ORDERKEY", F.lit(".0")))
+        .when(F.col("L_PARTKEY") % 4 == 1, F.concat(F.lit(" "), "L_ORDERKEY", F.lit(".7 ")))
+        .when(F.col("L_PARTKEY") % 4 == 2, F.concat(F.lit("id "), "L_ORDERKEY"))
+        .otherwise(F.col("L_ORDERKEY"))
+    )
+    return present(standardize(raw.withColumn("L_ORDERKEY", odd), SPEC.raw_casts))
 
 
 def q_lowercase_columns(spark, sf_dir):
@@ -317,25 +320,44 @@ def q_silver_end_to_end(spark, sf_dir):
     return present(silver.drop(PROCESSED_AT))
 
 
-def _gold_from_silver(spark, sf_dir, name):
+def _gold_from_silver(spark, sf_dir, summary):
     silver = with_tip(clean_rows(order_lines(spark, sf_dir), SPEC, AS_OF))
-    return present(gold_tables(silver, GOLD)[name])
+    return present(summary(silver, GOLD))
 
 
 def q_gold_daily_from_silver(spark, sf_dir):
-    return _gold_from_silver(spark, sf_dir, DAILY)
+    return _gold_from_silver(spark, sf_dir, daily_summary)
 
 
 def q_gold_location_from_silver(spark, sf_dir):
-    return _gold_from_silver(spark, sf_dir, LOCATION)
+    return _gold_from_silver(spark, sf_dir, location_summary)
 
 
 def q_gold_monthly_from_silver(spark, sf_dir):
-    return _gold_from_silver(spark, sf_dir, MONTHLY)
+    return _gold_from_silver(spark, sf_dir, monthly_trends)
 
 
 def q_gold_category_from_silver(spark, sf_dir):
-    return _gold_from_silver(spark, sf_dir, CATEGORY)
+    return _gold_from_silver(spark, sf_dir, category_summary)
+
+
+def _positions(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows with their place in the frame's own order."""
+    placed = df.select(*columns, F.monotonically_increasing_id().alias("at"))
+    place = F.row_number().over(Window.orderBy("at")).alias("place")
+    return placed.select(*columns, place)
+
+
+def q_order_of_months(spark, sf_dir):
+    """Place of each month in the monthly table as it comes: a row per month."""
+    table = monthly_trends(trips(spark, sf_dir), GOLD)
+    return _positions(table, "ship_year", "ship_month")
+
+
+def q_order_of_categories(spark, sf_dir):
+    """Place of each category in its table as it comes: a row per category."""
+    table = category_summary(trips(spark, sf_dir), GOLD)
+    return _positions(table, "line_number", "trip_count")
 
 
 def drifting_files(spark: SparkSession, sf_dir: str) -> RunConfig:
@@ -348,10 +370,11 @@ def drifting_files(spark: SparkSession, sf_dir: str) -> RunConfig:
     lines = order_lines(spark, sf_dir)
     early = lines.filter("l_linenumber <= 2")
     early = cast_columns(early, {"l_orderkey": "int", "l_quantity": "bigint"})
+    late = F.coalesce(F.col("l_linenumber") > 5, F.lit(True))
     variants = (
         early.toDF(*[c.upper() for c in early.columns]),
-        lines.filter("l_linenumber between 3 and 5"),
-        lines.filter("l_linenumber > 5").drop("l_tax"),
+        lines.filter(~late & (F.col("l_linenumber") > 2)),
+        lines.filter(late).drop("l_tax"),
     )
     for variant in variants:
         variant.write.mode("append").parquet(layout.raw)
@@ -371,10 +394,69 @@ def q_ingest_batch(spark, sf_dir):
     return _bronze(spark, cfg)
 
 
+def q_ingest_many_batches(spark, sf_dir):
+    """Drifting files read one at a time, in one batch of one set of columns."""
+    cfg = dataclasses.replace(drifting_files(spark, sf_dir), max_files_per_write=1)
+    ingest(spark, cfg, "batch_1")
+    return _bronze(spark, cfg)
+
+
+def q_ingest_metadata(spark, sf_dir):
+    """What ingest stamped, by kind of file: files seen, and whether all was as it was.
+
+    The batch id comes from the clock.
+    """
+    cfg = drifting_files(spark, sf_dir)
+    start = spark.sql("SELECT current_timestamp()").first()[0]
+    (report,) = ingest(spark, cfg)
+    end = spark.sql("SELECT current_timestamp()").first()[0]
+    kind = F.when(F.col("l_linenumber") <= 2, "early").when(
+        F.col("l_linenumber") <= 5, "middle"
+    )
+    listed = list_source_files(spark, cfg.layout.raw).select("file_name")
+    bronze = read_table(spark, cfg.layout.bronze).withColumn(
+        "file_name", base_name(decode_path("_source_file"))
+    )
+    from_listed = bronze.join(listed.withColumn("listed", F.lit(1)), "file_name", "left")
+    time = F.col("_ingestion_timestamp").between(F.lit(start), F.lit(end))
+    clock = F.to_timestamp(F.col("_batch_id"), "yyyyMMdd_HHmmss")
+    second = F.expr("INTERVAL 1 SECOND")
+    in_time = clock.between(F.lit(start) - second, F.lit(end) + second)
+    return from_listed.groupBy(F.coalesce(kind, F.lit("late")).alias("kind")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.bool_and(F.col("listed").isNotNull()).alias("source_listed"),
+        F.bool_and(time).alias("time_in_run"),
+        F.count_distinct("_ingestion_timestamp").alias("times"),
+        F.bool_and((F.col("_batch_id") == report.table) & in_time).alias("id_from_clock"),
+    )
+
+
+def q_silver_metadata(spark, sf_dir):
+    """What cleaning dropped and stamped; without a date, none of the data is future."""
+    cfg = drifting_files(spark, sf_dir)
+    ingest(spark, cfg, "batch_1")
+    start = spark.sql("SELECT current_timestamp()").first()[0]
+    clean(spark, cfg)
+    end = spark.sql("SELECT current_timestamp()").first()[0]
+    silver = read_table(spark, cfg.layout.silver)
+    left = [c for c in INGEST_METADATA if c in silver.columns]
+    return silver.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.lit(len(left)).alias("metadata_left"),
+        F.count_distinct(PROCESSED_AT).alias("times"),
+        F.bool_and(F.col(PROCESSED_AT).between(F.lit(start), F.lit(end))).alias("time_in_run"),
+    )
+
+
 def q_ingest_ledger(spark, sf_dir):
-    """Rows recorded per batch when files arrive between two runs."""
+    """Rows recorded per batch when files arrive between two runs.
+
+    Folders beside the files are not looked into, whatever their names.
+    """
     cfg = drifting_files(spark, sf_dir)
+    order_lines(spark, sf_dir).write.parquet(f"{cfg.layout.raw}/m=1")
     ingest(spark, cfg, "batch_1")
+    order_lines(spark, sf_dir).write.parquet(f"{cfg.layout.raw}/m=2")
     order_lines(spark, sf_dir).write.mode("append").parquet(cfg.layout.raw)
     ingest(spark, cfg, "batch_2")
     ledger = read_table(spark, cfg.layout.ledger)

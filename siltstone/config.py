@@ -31,6 +31,9 @@ class GoldColumns:
     passengers: str = "passenger_count"
     labels: Mapping[int, str] = field(default_factory=dict)
     default_label: str = "Other"
+    # How locations are ranked: "distributed", or "window" (one task) where their
+    # number is bounded by what they are.
+    rank_mode: str = "distributed"
 
 
 @dataclass(frozen=True)
@@ -90,9 +93,11 @@ class RunConfig:
     layout: Layout
     fmt: str = "parquet"
     glob: str = "*.parquet"
-    # New files are ingested in batches of at most this many, so that the list
-    # of paths inside one plan stays bounded. All new files are ingested.
-    max_files_per_batch: int = 10_000
+    # A plan names at most this many files, so that its list of paths stays bounded.
+    # A batch of more files is written in several steps, all in the same columns.
+    max_files_per_write: int = 10_000
+    # Whether files may bring columns that the stored table does not have.
+    evolve: bool = False
     # "executors" reads footers with pyarrow in parallel; "spark" asks Spark to
     # infer each file's schema, for filesystems only Hadoop can reach.
     footer_reader: str = "executors"

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from siltstone.sources.scratch import materialize
 
-# Up to this many rows a single-task window is the cheaper plan.
-MAX_WINDOW_ROWS = 1_000_000
 # A value held by more than this share of the rows is joined by broadcast; there
 # can be no more than its reciprocal of such values.
 HOT_SHARE = 0.001
@@ -20,12 +18,13 @@ def window_rank(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.withColumn(name, F.dense_rank().over(w))
 
 
-def distributed_rank(df: DataFrame, column: str, name: str) -> DataFrame:
+def distributed_rank(df: DataFrame, column: str, name: str, rows: int) -> DataFrame:
     """The same ranks, without a single-partition step over the rows.
 
     The distinct values are range-partitioned and sorted; a value's rank is its
     position within its partition plus the number of values in the partitions
-    before it. ``df`` is read several times, so pass a stored frame.
+    before it. ``df`` is read several times, so pass a stored frame, and the number of
+    its ``rows``.
     """
     value, copies = "_rank_value", "_rank_copies"
     distinct = df.groupBy(F.col(column).alias(value)).agg(
@@ -56,7 +55,7 @@ def distributed_rank(df: DataFrame, column: str, name: str) -> DataFrame:
     # Values that hold a large share of the rows would put that share into one
     # join task. They are few by definition and go by broadcast; the others are
     # joined by shuffle, none of them with more than HOT_SHARE of the rows.
-    threshold = max(1, int(df.count() * HOT_SHARE))
+    threshold = max(1, int(rows * HOT_SHARE))
     hot = ranks.filter(F.col(copies) > threshold).drop(copies)
     cold = ranks.filter(F.col(copies) <= threshold).drop(copies)
     same = F.col(column).eqNullSafe(F.col(value))
@@ -66,24 +65,26 @@ def distributed_rank(df: DataFrame, column: str, name: str) -> DataFrame:
 
 
 def add_ranks(
-    df: DataFrame, ranks: dict[str, str], mode: str = "auto", stored: bool = False
+    df: DataFrame,
+    ranks: dict[str, str],
+    mode: str = "distributed",
+    stored: bool = False,
 ) -> DataFrame:
     """Add a dense rank column (name -> ranked column) for each entry.
 
-    ``mode`` is "window", "distributed", or "auto": store the frame, count it and
-    take the window only up to ``MAX_WINDOW_ROWS``. All give the same ranks.
-    ``stored`` says that ``df`` is a scan of stored rows and need not be stored.
+    ``mode`` is "distributed", or "window", which puts all rows into one task and is for
+    frames of bounded size. Both give the same ranks. ``stored`` says that ``df`` is a
+    scan of stored rows and need not be stored.
     """
-    if mode not in ("auto", "window", "distributed"):
+    if mode not in ("window", "distributed"):
         raise ValueError(f"unknown rank mode {mode!r}")
-    if mode != "window" and not stored:
-        df = materialize(df)
-    if mode == "auto":
-        mode = "window" if df.count() <= MAX_WINDOW_ROWS else "distributed"
-    for i, (name, column) in enumerate(ranks.items()):
-        if mode == "window":
+    if mode == "window":
+        for name, column in ranks.items():
             df = window_rank(df, column, name)
-        else:
-            # Each rank reads its input several times.
-            df = distributed_rank(materialize(df) if i else df, column, name)
+        return df
+    df = df if stored else materialize(df)
+    rows = df.count()
+    for i, (name, column) in enumerate(ranks.items()):
+        # Each rank reads its input several times.
+        df = distributed_rank(materialize(df) if i else df, column, name, rows)
     return df

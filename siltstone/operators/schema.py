@@ -14,9 +14,11 @@ from pyspark.sql.types import (
     DoubleType,
     FloatType,
     IntegerType,
+    IntegralType,
     LongType,
     NumericType,
     ShortType,
+    StringType,
 )
 
 
@@ -54,6 +56,12 @@ def _fitting(name: str, source: DataType, target: str) -> Column:
     column = F.col(name)
     kind = DataType.fromDDL(target)
     cast = column.try_cast(target)
+    if isinstance(source, StringType) and isinstance(kind, IntegralType):
+        # Text may hold a fraction, which is cut off; exponents are not numbers here.
+        plain = column.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$")
+        whole = F.regexp_extract(column, r"^\s*([+-]?[0-9]*)", 1)
+        digits = F.when(whole.rlike("[0-9]$"), whole).otherwise("0")
+        return F.when(plain, digits.try_cast(target))
     if not isinstance(source, NumericType) or source == kind:
         return cast
     if isinstance(kind, DecimalType) and kind.precision - kind.scale <= 18:

@@ -54,18 +54,17 @@ def _finish_daily(df: DataFrame, c: GoldColumns, *_) -> DataFrame:
     )
 
 
-def _finish_location(
-    df: DataFrame, c: GoldColumns, rank_mode: str, stored: bool
-) -> DataFrame:
+def _finish_location(df: DataFrame, c: GoldColumns, stored: bool) -> DataFrame:
     ranks = {"rank_by_trips": "trip_count", "rank_by_revenue": "total_revenue"}
-    return add_ranks(df, ranks, rank_mode, stored)
+    return add_ranks(df, ranks, c.rank_mode, stored)
 
 
 def _finish_monthly(df: DataFrame, c: GoldColumns, *_) -> DataFrame:
-    # The window needs the periods sorted, so its output is in order already.
+    # The window has the periods sorted already, so that the sort costs nothing; without
+    # it the order would be lost where the growth is not asked for.
     return add_period_growth(
         df, (c.year, c.month), "total_revenue", "prev_month_revenue", "revenue_growth_pct"
-    )
+    ).orderBy(c.year, c.month)
 
 
 def _finish_category(df: DataFrame, c: GoldColumns, *_) -> DataFrame:
@@ -74,7 +73,7 @@ def _finish_category(df: DataFrame, c: GoldColumns, *_) -> DataFrame:
     ).orderBy(F.desc("trip_count"), c.category)
 
 
-_FINISH: dict[str, Callable[[DataFrame, GoldColumns, str, bool], DataFrame]] = {
+_FINISH: dict[str, Callable[[DataFrame, GoldColumns, bool], DataFrame]] = {
     DAILY: _finish_daily,
     LOCATION: _finish_location,
     MONTHLY: _finish_monthly,
@@ -82,8 +81,8 @@ _FINISH: dict[str, Callable[[DataFrame, GoldColumns, str, bool], DataFrame]] = {
 }
 
 
-def _single(df: DataFrame, name: str, c: GoldColumns, rank_mode: str = "auto"):
-    return _FINISH[name](summarize(df, metric_sets(c)[name]), c, rank_mode, False)
+def _single(df: DataFrame, name: str, c: GoldColumns) -> DataFrame:
+    return _FINISH[name](summarize(df, metric_sets(c)[name]), c, False)
 
 
 def daily_summary(df: DataFrame, c: GoldColumns) -> DataFrame:
@@ -91,9 +90,9 @@ def daily_summary(df: DataFrame, c: GoldColumns) -> DataFrame:
     return _single(df, DAILY, c)
 
 
-def location_summary(df: DataFrame, c: GoldColumns, rank_mode: str = "auto") -> DataFrame:
+def location_summary(df: DataFrame, c: GoldColumns) -> DataFrame:
     """Volume and revenue per location, with dense ranks by both."""
-    return _single(df, LOCATION, c, rank_mode)
+    return _single(df, LOCATION, c)
 
 
 def monthly_trends(df: DataFrame, c: GoldColumns) -> DataFrame:
@@ -106,17 +105,23 @@ def category_summary(df: DataFrame, c: GoldColumns) -> DataFrame:
     return _single(df, CATEGORY, c)
 
 
-def gold_tables(
-    df: DataFrame, c: GoldColumns, rank_mode: str = "auto"
-) -> dict[str, DataFrame]:
+def gold_tables(df: DataFrame, c: GoldColumns) -> dict[str, DataFrame]:
     """All four tables from one scan of ``df``.
 
     The grouped rows of all sets are stored once, by set, and each table is
-    finished from its own part.
+    finished from its own part. Tables whose roles are the same columns (a location that
+    is the category, say) share a set.
     """
     sets = metric_sets(c)
-    combined = materialize(summarize_sets(df, sets), partition_by=(SET,))
+    shared: dict[tuple[str, ...], MetricSet] = {}
+    for wanted in sets.values():
+        same = shared.get(wanted.keys, MetricSet(wanted.keys, ()))
+        more = tuple(m for m in wanted.metrics if m not in same.metrics)
+        shared[wanted.keys] = MetricSet(wanted.keys, same.metrics + more)
+    names = {keys: str(i) for i, keys in enumerate(shared)}
+    named = {names[keys]: s for keys, s in shared.items()}
+    combined = materialize(summarize_sets(df, named), partition_by=(SET,))
     return {
-        name: _FINISH[name](pick_set(combined, name, wanted), c, rank_mode, True)
+        name: _FINISH[name](pick_set(combined, names[wanted.keys], wanted), c, True)
         for name, wanted in sets.items()
     }

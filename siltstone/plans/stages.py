@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Collection, Iterable, Iterator, Sequence
 from datetime import datetime
-from itertools import islice
+from itertools import count, groupby, islice
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltstone.config import (
     BATCH_ID,
@@ -42,20 +43,24 @@ from siltstone.operators.schema import (
 )
 from siltstone.plans.gold import gold_tables
 from siltstone.sources.files import (
+    footer_schemas,
     ingested_files,
     list_source_files,
     read_footers,
     read_schema_groups,
     select_new_files,
+    unfinished_files,
 )
 from siltstone.sources.scratch import materialize, scratch_scope
 from siltstone.sources.tables import (
     append_batch,
-    overwrite_table,
-    overwrite_with_counts,
+    fit_to_table,
+    publish,
     read_batches,
     read_table,
     stored_batches,
+    stored_schema,
+    write_with_counts,
 )
 
 ROUTE = "_route"
@@ -71,7 +76,6 @@ class StageRow(NamedTuple):
 
 
 
-
 def _pinned(df: DataFrame) -> DataFrame:
     """The frame, with what follows kept apart from what came before.
 
@@ -87,34 +91,51 @@ def new_batch_id() -> str:
     return datetime.now().strftime("%Y%m%d_%H%M%S")
 
 
-def _free_ids(taken: set[str], batch_id: str) -> Iterator[str]:
-    """The id itself, then numbered variants, skipping ids already stored."""
+def free_id(taken: Collection[str], batch_id: str) -> str:
+    """The id itself, or its first numbered variant that is not taken."""
     if batch_id not in taken:
-        yield batch_id
-    n = 1
-    while True:
-        candidate = f"{batch_id}.{n:04d}"
-        if candidate not in taken:
-            yield candidate
-        n += 1
+        return batch_id
+    numbered = (f"{batch_id}.{n:04d}" for n in count(1))
+    return next(i for i in numbered if i not in taken)
 
 
-def _chunks(rows: Iterator, size: int) -> Iterator[list]:
+def _chunks(rows: Iterable, size: int) -> Iterator[list]:
+    rows = iter(rows)
     while chunk := list(islice(rows, size)):
         yield chunk
 
 
+def target_schema(
+    spark: SparkSession,
+    schemas: Iterable[StructType],
+    cfg: RunConfig,
+    stored: StructType | None,
+) -> StructType:
+    """Data columns of a run: those of all its files, fitted to the stored table."""
+    empty = [
+        standardize(spark.createDataFrame([], schema), cfg.spec.raw_casts)
+        for schema in schemas
+    ]
+    wanted = union_by_name(empty)
+    if stored is not None:
+        stored = StructType([f for f in stored if f.name not in INGEST_METADATA])
+        wanted = fit_to_table(wanted, stored, cfg.evolve)
+    return wanted.schema
+
+
 def raw_batch(
-    spark: SparkSession, paths: list[str], cfg: RunConfig, batch_id: str
+    groups: Sequence[DataFrame], cfg: RunConfig, target: StructType, batch_id: str
 ) -> DataFrame:
-    """Standardized and stamped union of some raw files."""
-    footers = read_footers(spark, paths, cfg.footer_reader)
-    groups = read_schema_groups(spark, paths, footers)
+    """Standardized and stamped union of some raw files, in the columns of the run."""
+    casts = {f.name: f.dataType.simpleString() for f in target}
     df = union_by_name([standardize(g, cfg.spec.raw_casts) for g in groups])
-    data = [c for c in df.columns if c != SOURCE_FILE]
-    df = stamp(df.select(*data, SOURCE_FILE), INGESTED_AT).select(
-        *data, INGESTED_AT, SOURCE_FILE
-    )
+    df = df.withColumns({c: F.lit(None) for c in casts if c not in df.columns})
+    # All files are united by type before any is read; what is left are casts that
+    # keep every value.
+    changed = {c: t for c, t in casts.items() if dict(df.dtypes)[c] != t}
+    df = df.withColumns({c: F.col(c).cast(t) for c, t in changed.items()})
+    df = stamp(df.select(*casts, SOURCE_FILE), INGESTED_AT)
+    df = df.select(*casts, INGESTED_AT, SOURCE_FILE)
     # Above the observation the id stays one constant for the whole batch. Pushed
     # into the union it would be a column, and the write would sort by it.
     return stamp(_pinned(df), BATCH_ID, batch_id)
@@ -125,48 +146,67 @@ def ingest(
 ) -> list[StageRow]:
     """Append the rows of all files not yet in bronze; one row per written batch.
 
-    Nothing is written, and nothing returned, when there is no new file.
+    All new files of a run make one batch, in the columns of all of them, however many
+    writes it takes. The ledger is written last; a batch without its entry is written
+    again under its own id. Nothing is written, and nothing returned, when there is no
+    new file.
     """
     out = cfg.layout
     batch_id = batch_id or new_batch_id()
     if not re.fullmatch(r"[\w.-]+", batch_id, re.ASCII):
         raise ValueError(f"batch id {batch_id!r} is not a plain folder name")
-    stored = stored_batches(spark, out.bronze, cfg.fmt)
     files = list_source_files(spark, out.raw, cfg.glob)
     known = ingested_files(spark, out.bronze, out.ledger, cfg.fmt)
+    again = unfinished_files(spark, out.bronze, out.ledger, cfg.fmt)
+    stored = stored_batches(spark, out.bronze, cfg.fmt)
+    this_id = free_id(stored | stored_batches(spark, out.ledger, cfg.fmt), batch_id)
     unseen = select_new_files(files, known).select("path", "file_name")
-    ids = _free_ids(stored, batch_id)
+    unseen = unseen.join(again, "file_name", "left").select(
+        "path", "file_name", F.coalesce(BATCH_ID, F.lit(this_id)).alias(BATCH_ID)
+    )
     report = []
     with scratch_scope(spark):
-        # Stored, so that the batches below are cut from one fixed list.
-        pending = materialize(unseen).orderBy("file_name").toLocalIterator()
-        for chunk in _chunks(pending, cfg.max_files_per_batch):
-            this_id = next(ids)
-            paths = [r["path"] for r in chunk]
-            append_batch(raw_batch(spark, paths, cfg, this_id), out.bronze, cfg.fmt)
-            rows = _record_batch(spark, cfg, this_id)
-            report.append(StageRow("ingest", this_id, None, rows))
+        # Stored, so that the writes below are cut from one fixed list.
+        pending = materialize(read_footers(spark, unseen, cfg.footer_reader))
+        schemas = footer_schemas(spark, pending)
+        if not schemas:
+            return report
+        table = stored_schema(spark, out.bronze, cfg.fmt, cfg.evolve)
+        target = target_schema(spark, schemas.values(), cfg, table)
+        listed = pending.orderBy(BATCH_ID, "file_name").toLocalIterator()
+        for batch, rows in groupby(listed, key=lambda r: r[BATCH_ID]):
+            for n, chunk in enumerate(_chunks(rows, cfg.max_files_per_write)):
+                chosen = [(r["path"], r["footer"]) for r in chunk]
+                groups = read_schema_groups(spark, chosen, schemas)
+                df = raw_batch(groups, cfg, target, batch)
+                append_batch(df, out.bronze, cfg.fmt, more=n > 0)
+            own = pending.filter(F.col(BATCH_ID) == batch).select("file_name")
+            report.append(StageRow("ingest", batch, None, _record(own, cfg, batch)))
     return report
 
 
-def _record_batch(spark: SparkSession, cfg: RunConfig, batch_id: str) -> int:
-    """Write the batch's file names and row counts to the ledger."""
-    out = cfg.layout
-    if batch_id not in stored_batches(spark, out.bronze, cfg.fmt):
-        return 0  # none of the files had a row
-    per_file = (
-        read_batches(spark, out.bronze, [batch_id], cfg.fmt)
-        .groupBy(SOURCE_FILE)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(
-            base_name(decode_path(SOURCE_FILE)).alias("file_name"),
-            "rows",
-            F.lit(batch_id).alias(BATCH_ID),
+def _record(files: DataFrame, cfg: RunConfig, batch_id: str) -> int:
+    """Write the batch's file names and row counts to the ledger; the sum of rows.
+
+    Files without rows are recorded too, so that they are not offered again.
+    """
+    spark, out = files.sparkSession, cfg.layout
+    counts = spark.createDataFrame([], "file_name string, rows long")
+    if batch_id in stored_batches(spark, out.bronze, cfg.fmt):
+        per_file = (
+            read_batches(spark, out.bronze, [batch_id], cfg.fmt)
+            .groupBy(SOURCE_FILE)
+            .agg(F.count(F.lit(1)).alias("rows"))
         )
+        name = base_name(decode_path(SOURCE_FILE)).alias("file_name")
+        counts = per_file.select(name, "rows")
+    entries = files.join(counts, "file_name", "left").select(
+        "file_name", F.coalesce("rows", F.lit(0)).alias("rows")
     )
-    append_batch(per_file, out.ledger, cfg.fmt)
-    entries = read_batches(spark, out.ledger, [batch_id], cfg.fmt)
-    return entries.agg(F.sum("rows")).first()[0]
+    seen = Observation()
+    entries = entries.observe(seen, F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+    append_batch(stamp(entries, BATCH_ID, batch_id), out.ledger, cfg.fmt)
+    return seen.get["rows"]
 
 
 # --- clean ----------------------------------------------------------------
@@ -182,8 +222,13 @@ def conform(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     return add_date_parts(typed(df, spec), spec.event_time, spec.event_prefix)
 
 
-def clean_rows(df: DataFrame, spec: DatasetSpec, as_of: str) -> DataFrame:
-    """The clean table of a bronze frame: valid rows, one per key."""
+def clean_rows(
+    df: DataFrame, spec: DatasetSpec, as_of: str, passed: Observation | None = None
+) -> DataFrame:
+    """The clean table of a bronze frame: valid rows, one per key.
+
+    ``passed`` counts the valid rows, before duplicates go, as ``rows``.
+    """
     # Only what decides between duplicates goes through the shuffle: the ingest
     # metadata is dropped before it, the date parts are derived after it.
     rows = typed(df, spec).drop(*INGEST_METADATA)
@@ -194,6 +239,8 @@ def clean_rows(df: DataFrame, spec: DatasetSpec, as_of: str) -> DataFrame:
     if stored:
         rows = rows.filter(~build_mask(rows, stored, as_of))
     valid = _pinned(rows).filter(~build_mask(rows, spec.rules, as_of))
+    if passed is not None:
+        valid = valid.observe(passed, F.count(F.lit(1)).alias("rows"))
     unique = dedup(valid, spec.dedup_keys, spec.dedup_order)
     return stamp(
         add_date_parts(unique, spec.event_time, spec.event_prefix), PROCESSED_AT
@@ -210,39 +257,45 @@ def clean(
     """
     spec, out = cfg.spec, cfg.layout
     as_of = as_of or local_now(spark)
-    bronze = read_table(spark, out.bronze, cfg.fmt)
+    bronze = read_table(spark, out.bronze, cfg.fmt, cfg.evolve)
     conformed = conform(bronze, spec)
     routed = conformed.withColumn(ROUTE, route(build_mask(conformed, spec.rules, as_of)))
 
-    rejects, seen = _write_rejects(routed, cfg)
-    silver = clean_rows(bronze, spec, as_of)
-    if cfg.silver_partition_by:
-        overwrite_table(silver, out.silver, cfg.fmt, cfg.silver_partition_by)
-        rows = read_table(spark, out.silver, cfg.fmt).count()
-    else:
-        rows = overwrite_with_counts(silver, out.silver, cfg.fmt)["rows"]
+    rejects_folder, rejects, seen = _write_rejects(routed, cfg)
+    # What the second scan lets through is counted there: were it to disagree with the
+    # first, the report would show it.
+    passed = Observation()
+    silver = clean_rows(bronze, spec, as_of, passed)
+    silver_folder, written = write_with_counts(
+        silver, out.silver, cfg.fmt, partition_by=cfg.silver_partition_by
+    )
+    # Both tables change only now that both are written.
+    publish(spark, {out.rejects: rejects_folder, out.silver: silver_folder})
     return [
         StageRow("clean", QUARANTINE, seen, rejects[QUARANTINE]),
         StageRow("clean", UNROUTABLE, seen, rejects[UNROUTABLE]),
-        StageRow("clean", "silver", seen - sum(rejects.values()), rows),
+        StageRow("clean", "silver", passed.get["rows"], written["rows"]),
     ]
 
 
-def _write_rejects(routed: DataFrame, cfg: RunConfig) -> tuple[dict[str, int], int]:
-    """Write the rows that are not valid; their counts, and the rows read.
+def _write_rejects(
+    routed: DataFrame, cfg: RunConfig
+) -> tuple[str, dict[str, int], int]:
+    """Write the rows that are not valid; their folder, counts, and the rows read.
 
     No shuffle lies between the scan and the write, so the counters observed at
     the scan are taken in the writing stage as well.
     """
     seen = Observation()
     routed = routed.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counts = overwrite_with_counts(
+    folder, counts = write_with_counts(
         routed.filter(F.col(ROUTE) != VALID),
         cfg.layout.rejects,
         cfg.fmt,
         {r: F.count_if(F.col(ROUTE) == r) for r in (QUARANTINE, UNROUTABLE)},
     )
-    return {r: counts[r] for r in (QUARANTINE, UNROUTABLE)}, seen.get["rows"]
+    kinds = {r: counts[r] for r in (QUARANTINE, UNROUTABLE)}
+    return folder, kinds, seen.get["rows"]
 
 
 def read_rejects(spark: SparkSession, cfg: RunConfig, kind: str = QUARANTINE) -> DataFrame:
@@ -264,14 +317,17 @@ def validate(spark: SparkSession, cfg: RunConfig) -> list[StageRow]:
 # --- aggregate ------------------------------------------------------------
 
 
-def aggregate(
-    spark: SparkSession, cfg: RunConfig, rank_mode: str = "auto"
-) -> list[StageRow]:
-    """Rebuild the four summary tables from one scan of the clean table."""
+def aggregate(spark: SparkSession, cfg: RunConfig) -> list[StageRow]:
+    """Rebuild the four summary tables from one scan of the clean table.
+
+    They change together, when all are written.
+    """
     silver = read_table(spark, cfg.layout.silver, cfg.fmt)
-    report = []
+    report, folders = [], {}
     with scratch_scope(spark):
-        for name, table in gold_tables(silver, cfg.spec.gold, rank_mode).items():
-            counts = overwrite_with_counts(table, cfg.layout.gold_table(name), cfg.fmt)
+        for name, table in gold_tables(silver, cfg.spec.gold).items():
+            path = cfg.layout.gold_table(name)
+            folders[path], counts = write_with_counts(table, path, cfg.fmt)
             report.append(StageRow("aggregate", name, None, counts["rows"]))
+        publish(spark, folders)
     return report

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltstone.config import BATCH_ID, SOURCE_FILE
 from siltstone.functions import base_name, decode_path
+from siltstone.operators.schema import lowercase_columns
+from siltstone.sources.paths import qualified
 from siltstone.sources.tables import read_batches, read_table, stored_batches
 
 def list_source_files(
@@ -19,9 +22,13 @@ def list_source_files(
 
     The file contents are not read.
     """
+    # Without the recursive lookup Spark would take folders named key=value for
+    # partitions, and leave out the files beside them.
+    here = qualified(spark, directory).rstrip("/")
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
         .load(directory)
         .select(
             "path",
@@ -29,6 +36,7 @@ def list_source_files(
             "length",
             F.col("modificationTime").alias("modified"),
         )
+        .filter(F.col("path") == F.concat(F.lit(f"{here}/"), "file_name"))
     )
 
 
@@ -44,24 +52,36 @@ def file_names(df: DataFrame, column: str = SOURCE_FILE) -> DataFrame:
 def ingested_files(
     spark: SparkSession, bronze: str, ledger: str, fmt: str = "parquet"
 ) -> DataFrame:
-    """Names of the files whose rows are in bronze: (file_name).
+    """Names of the files whose rows are in bronze, or that have none: (file_name).
 
-    Bronze is the authority: a name counts when its batch is there. The ledger
-    holds the names batch by batch, so that only batches it lacks (a run that
-    died before recording them) are read from bronze.
+    A batch counts once the ledger has it, which is written last: what bronze holds of
+    other batches may be incomplete. Entries of batches that bronze has lost do not count.
     """
     stored = stored_batches(spark, bronze, fmt)
     recorded = stored_batches(spark, ledger, fmt)
-    known = spark.createDataFrame([], "file_name string")
-    if stored & recorded:
-        entries = read_table(spark, ledger, fmt)
-        if recorded - stored:
-            entries = entries.filter(~F.col(BATCH_ID).isin(list(recorded - stored)))
-        known = known.unionAll(entries.select("file_name"))
-    if stored - recorded:
-        unlisted = read_batches(spark, bronze, stored - recorded, fmt)
-        known = known.unionAll(file_names(unlisted))
-    return known.distinct()
+    if not recorded:
+        return spark.createDataFrame([], "file_name string")
+    entries = read_table(spark, ledger, fmt)
+    if recorded - stored:
+        lost = F.col(BATCH_ID).isin(list(recorded - stored))
+        entries = entries.filter(~lost | (F.col("rows") == 0))
+    return entries.select("file_name").distinct()
+
+
+def unfinished_files(
+    spark: SparkSession, bronze: str, ledger: str, fmt: str = "parquet"
+) -> DataFrame:
+    """(file_name, _batch_id) of batches that have rows but no ledger entry.
+
+    Such a batch may lack files altogether; these are in no other batch and so are new.
+    """
+    unfinished = stored_batches(spark, bronze, fmt) - stored_batches(spark, ledger, fmt)
+    if not unfinished:
+        return spark.createDataFrame([], f"file_name string, {BATCH_ID} string")
+    rows = read_batches(spark, bronze, unfinished, fmt).filter(F.col(SOURCE_FILE) != "")
+    found = rows.select(SOURCE_FILE, BATCH_ID).distinct()
+    named = found.select(base_name(decode_path(SOURCE_FILE)).alias("file_name"), BATCH_ID)
+    return named.groupBy("file_name").agg(F.min(BATCH_ID).alias(BATCH_ID))
 
 
 def select_new_files(files: DataFrame, ingested: DataFrame) -> DataFrame:
@@ -69,15 +89,6 @@ def select_new_files(files: DataFrame, ingested: DataFrame) -> DataFrame:
     return files.join(ingested, "file_name", "left_anti")
 
 
-def _fingerprint(fields: Iterable[tuple[str, str]]) -> str:
-    fields = sorted(fields)
-    names = [name.lower() for name, _ in fields]
-    if len(set(names)) < len(names):
-        clashes = sorted({n for n in names if names.count(n) > 1})
-        raise ValueError(f"columns differ only in case: {clashes}")
-    return ", ".join(f"{name} {kind}" for name, kind in fields)
-
-
 def _footer_reader():
     """The function that tasks run. It is defined here, and imports what it needs
     itself, so that Spark ships it whole: executors need not have this package."""
@@ -94,50 +105,48 @@ def _footer_reader():
         store, name = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
         return parquet.read_schema(name, filesystem=store)
 
+    def described(path):
+        schema = open_schema(path)
+        names = [n.lower() for n in schema.names]
+        clashes = sorted({n for n in names if names.count(n) > 1})
+        if clashes:
+            raise ValueError(f"columns differ only in case: {clashes}")
+        return ", ".join(sorted(f"{n} {t}" for n, t in zip(schema.names, schema.types)))
+
     def read(batches):
         import pyarrow as pa
 
         for batch in batches:
-            schemas = [open_schema(p) for p in batch.column("path").to_pylist()]
-            columns = [
-                batch.column("path"),
-                pa.array([s.names for s in schemas], pa.list_(pa.string())),
-                pa.array(
-                    [[str(t) for t in s.types] for s in schemas], pa.list_(pa.string())
-                ),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["path", "names", "types"])
+            found = [described(p) for p in batch.column("path").to_pylist()]
+            columns = [*batch.columns, pa.array(found, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "footer"])
 
     return read
 
 
-def read_footers(
-    spark: SparkSession, paths: list[str], reader: str = "executors"
-) -> dict[str, str]:
-    """Footer schema of each file, as text, for one bounded batch of paths.
+def read_footers(spark: SparkSession, files: DataFrame, reader: str = "executors"):
+    """``files`` with the schema in each one's footer, as text, in a column ``footer``.
 
     "executors" opens the footers in parallel tasks; only paths reach Python.
-    "spark" lets Spark infer each schema, one file at a time per thread.
+    "spark" lets Spark infer each schema, one file at a time per thread, for stores
+    that only Spark can reach; the paths then come to the driver.
     """
     if reader == "executors":
         # A list of paths is tiny, so adaptive execution would leave it in one task.
-        tasks = min(len(paths), spark.sparkContext.defaultParallelism)
-        listed = spark.createDataFrame([(p,) for p in paths], "path string")
-        found = listed.repartition(tasks).mapInArrow(
-            _footer_reader(), "path string, names array<string>, types array<string>"
-        )
-        return {
-            r["path"]: _fingerprint(zip(r["names"], r["types"])) for r in found.collect()
-        }
+        tasks = spark.sparkContext.defaultParallelism
+        kinds = ", ".join(f"{n} {t}" for n, t in files.dtypes)
+        return files.repartition(tasks).mapInArrow(_footer_reader(), f"{kinds}, footer string")
     if reader != "spark":
         raise ValueError(f"unknown footer reader {reader!r}")
 
-    def inferred(path: str) -> str:
-        schema = spark.read.parquet(escape_glob(path)).schema
-        return _fingerprint((f.name, f.dataType.simpleString()) for f in schema.fields)
+    def inferred(row) -> tuple:
+        schema = lowercase_columns(spark.read.parquet(escape_glob(row["path"]))).schema
+        return (*row, ", ".join(sorted(f"{f.name} {f.dataType.simpleString()}" for f in schema)))
 
     with ThreadPoolExecutor(16) as pool:
-        return dict(zip(paths, pool.map(inferred, paths)))
+        rows = list(pool.map(inferred, files.toLocalIterator()))
+    kinds = ", ".join(f"{n} {t}" for n, t in files.dtypes)
+    return spark.createDataFrame(rows, f"{kinds}, footer string")
 
 
 def escape_glob(path: str) -> str:
@@ -145,18 +154,39 @@ def escape_glob(path: str) -> str:
     return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in path)
 
 
+def footer_schemas(spark: SparkSession, files: DataFrame) -> dict[str, StructType]:
+    """Schema, as Spark reads it, of each distinct footer, by the order of file names.
+
+    Only the footers and an example of each reach the driver.
+    """
+    examples = files.groupBy("footer").agg(
+        F.min(F.struct("file_name", "path")).alias("first")
+    )
+    rows = sorted(examples.collect(), key=lambda r: r["first"])
+    return {
+        r["footer"]: spark.read.parquet(escape_glob(r["first"]["path"])).schema
+        for r in rows
+    }
+
+
 def read_schema_groups(
-    spark: SparkSession, paths: list[str], footers: dict[str, str]
+    spark: SparkSession,
+    files: Iterable[tuple[str, str]],
+    schemas: Mapping[str, StructType],
 ) -> list[DataFrame]:
-    """One scan per distinct footer schema, each row tagged with its file.
+    """One scan per distinct footer of some files (path, footer), tagged by file.
 
-    The groups come in the order in which their first file appears. The plan
-    grows with the number of schemas, not of files.
+    The groups come in the order of ``schemas``. The plan grows with the number of
+    schemas, not of files, and no footer is read again.
     """
-    groups: dict[str, list[str]] = {}
-    for path in paths:
-        groups.setdefault(footers[path], []).append(escape_glob(path))
-    return [tag_source(spark.read.parquet(*group)) for group in groups.values()]
+    groups: dict[str, list[str]] = {footer: [] for footer in schemas}
+    for path, footer in files:
+        groups[footer].append(escape_glob(path))
+    return [
+        tag_source(spark.read.schema(schemas[footer]).parquet(*group))
+        for footer, group in groups.items()
+        if group
+    ]
 
 
 def tag_source(df: DataFrame) -> DataFrame:

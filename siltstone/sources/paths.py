@@ -28,3 +28,23 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def delete_folder(spark: SparkSession, path: str) -> None:
     filesystem, target = _filesystem(spark, path)
     filesystem.delete(target, True)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and authority, as Spark's file listings spell it."""
+    filesystem, target = _filesystem(spark, path)
+    return filesystem.makeQualified(target).toString()
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a path; 0 if there is none."""
+    filesystem, target = _filesystem(spark, path)
+    if not filesystem.exists(target):
+        return 0
+    return filesystem.getContentSummary(target).getLength()
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    """Make an empty file that must not exist yet."""
+    filesystem, target = _filesystem(spark, path)
+    filesystem.create(target, False).close()

@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import NullType, StringType, StructField, StructType
 
 from siltstone.config import BATCH_ID
-from siltstone.sources.paths import child_names, path_exists
+from siltstone.sources.paths import (
+    child_names,
+    create_empty,
+    delete_folder,
+    path_exists,
+)
 
 # Formats that keep each batch in a folder of its own and nothing elsewhere.
 FOLDER_FORMATS = ("parquet", "orc")
 
+# An overwritten table keeps each version in a folder, and an empty file whose name
+# numbers the version that counts.
+CURRENT = "_current."
+
 
 class SchemaDriftError(ValueError):
     """A batch does not fit the stored table."""
@@ -22,6 +32,7 @@ class SchemaDriftError(ValueError):
 
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     """Whether a table can be read at ``path``; other read errors propagate."""
+    path = current_folder(spark, path)
     if not path_exists(spark, path):
         return False
     try:
@@ -39,9 +50,29 @@ def is_stream_table(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_spark_metadata")
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Scan a stored table. Batch ids are text, whatever they look like."""
-    return _load(spark.read.format(fmt), path)
+def _versions(names: Collection[str]) -> list[tuple[int, str]]:
+    """(number, folder) of the published versions, oldest first."""
+    found = [n.removeprefix(CURRENT).split(".", 1) for n in names if n.startswith(CURRENT)]
+    return sorted((int(number), folder) for number, folder in found)
+
+
+def current_folder(spark: SparkSession, path: str) -> str:
+    """Where the rows of the table at ``path`` are: its last version, or itself."""
+    versions = _versions(child_names(spark, path))
+    return f"{path}/{versions[-1][1]}" if versions else path
+
+
+def read_table(
+    spark: SparkSession, path: str, fmt: str = "parquet", merge: bool = False
+) -> DataFrame:
+    """Scan a stored table. Batch ids are text, whatever they look like.
+
+    ``merge`` unites the columns of all files, for tables that gain columns.
+    """
+    reader = spark.read.format(fmt)
+    if merge:
+        reader = reader.option("mergeSchema", "true")
+    return _load(reader, current_folder(spark, path))
 
 
 def _load(reader: DataFrameReader, paths: str | list[str]) -> DataFrame:
@@ -75,90 +106,158 @@ def stored_batches(spark: SparkSession, path: str, fmt: str = "parquet") -> set[
 
 
 def read_batches(
-    spark: SparkSession, path: str, ids: Collection[str], fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    ids: Collection[str],
+    fmt: str = "parquet",
+    merge: bool = False,
 ) -> DataFrame:
     """Scan some batches of a table, without listing the files of the others."""
     if fmt not in FOLDER_FORMATS:
         return read_table(spark, path, fmt).filter(F.col(BATCH_ID).isin(list(ids)))
     folders = [f"{path}/{BATCH_ID}={i}" for i in sorted(ids)]
-    return _load(spark.read.format(fmt).option("basePath", path), folders)
+    reader = spark.read.format(fmt).option("basePath", path)
+    return _load(reader.option("mergeSchema", "true") if merge else reader, folders)
 
 
-def overwrite_table(
+def write_version(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
-) -> None:
-    """Replace the table at ``path``, which ``df`` must not read from."""
-    writer = df.write.format(fmt).mode("overwrite")
+) -> str:
+    """Write ``df`` as a new version of the table at ``path``; the folder's name.
+
+    Readers go on seeing the version before, until ``publish``.
+    """
+    folder = f"v-{uuid.uuid4().hex}"
     if partition_by:
         # Gather each partition value in few tasks; adaptive execution splits
         # the large ones again, so a value may hold any share of the rows.
-        writer = (
-            df.hint("rebalance", *partition_by)
-            .write.format(fmt)
-            .mode("overwrite")
-            .partitionBy(*partition_by)
-        )
-    writer.save(path)
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(f"{path}/{folder}")
+    return folder
+
+
+def publish(spark: SparkSession, written: Mapping[str, str]) -> None:
+    """Make the written version of each table the one that counts.
+
+    Creating a marker is atomic; several tables change one after the other. What a
+    running reader may still need, the version before, is deleted by the next one;
+    so are versions that were never published.
+    """
+    before = {path: _versions(child_names(spark, path)) for path in written}
+    for path, folder in written.items():
+        number = before[path][-1][0] + 1 if before[path] else 1
+        create_empty(spark, f"{path}/{CURRENT}{number:08d}.{folder}")
+    for path, folder in written.items():
+        keep = {folder, *(f for _, f in before[path][-1:])}
+        for name in child_names(spark, path):
+            stale = name.split(".", 2)[-1] if name.startswith(CURRENT) else name
+            if stale not in keep:
+                delete_folder(spark, f"{path}/{name}")
+
+
+def overwrite_table(
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
+) -> None:
+    """Replace the table at ``path``. If the write fails, the old one stays."""
+    publish(df.sparkSession, {path: write_version(df, path, fmt, partition_by)})
 
 
-def fit_to_table(df: DataFrame, target: StructType) -> DataFrame:
+def fit_to_table(df: DataFrame, target: StructType, evolve: bool = False) -> DataFrame:
     """Order and complete a batch's columns for the table it is appended to.
 
-    Absent columns become NULL; unknown columns and changed types are errors.
+    Absent columns become NULL; changed types are errors, and so are unknown columns,
+    unless the table is to ``evolve``: then they come last.
     """
     known = {f.name: f.dataType for f in target.fields}
     extra = [c for c in df.columns if c not in known]
     changed = [
         f"{f.name} ({f.dataType.simpleString()}, stored as {known[f.name].simpleString()})"
         for f in df.schema.fields
-        if f.name in known and f.dataType != known[f.name]
+        if f.name in known and f.dataType not in (known[f.name], NullType())
     ]
-    if extra or changed:
+    if (extra and not evolve) or changed:
         raise SchemaDriftError(f"new columns: {extra}; changed types: {changed}")
+    present = {f.name for f in df.schema.fields if f.dataType != NullType()}
     return df.select(
         *[
-            F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c)
+            F.col(c) if c in present else F.lit(None).cast(t).alias(c)
             for c, t in known.items()
-        ]
+        ],
+        *extra,
     )
 
 
-def append_batch(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def append_batch(
+    df: DataFrame, path: str, fmt: str = "parquet", more: bool = False
+) -> None:
     """Add one batch, a frame with a single ``_batch_id``, to the table.
 
     The batch is a partition of its own and is written by dynamic partition
-    overwrite: a retry of the same batch replaces it instead of doubling it.
+    overwrite: a retry of the same batch replaces it instead of doubling it. With
+    ``more``, the rows are added to what the batch has.
     """
     spark = df.sparkSession
     if is_stream_table(spark, path):
         raise ValueError(f"{path} is written by a stream; do not append batches to it")
-    stored = stored_batches(spark, path, fmt)
-    if stored:
-        # Every batch was fitted to the first, so any one tells the schema.
-        df = fit_to_table(df, read_batches(spark, path, [max(stored)], fmt).schema)
     (
         df.write.format(fmt)
-        .mode("overwrite")
+        .mode("append" if more else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH_ID)
         .save(path)
     )
 
 
-def overwrite_with_counts(
+def stored_schema(
+    spark: SparkSession, path: str, fmt: str = "parquet", merge: bool = False
+) -> StructType | None:
+    """Schema that batches have to fit; None if no batch is stored.
+
+    Every batch was fitted to the first, so any one tells it, unless columns were
+    added since.
+    """
+    stored = stored_batches(spark, path, fmt)
+    if not stored:
+        return None
+    if merge:
+        return read_table(spark, path, fmt, merge).schema
+    return read_batches(spark, path, [max(stored)], fmt).schema
+
+
+def write_with_counts(
     df: DataFrame,
     path: str,
     fmt: str = "parquet",
     counts: Mapping[str, Column] | None = None,
-) -> dict[str, int]:
-    """``overwrite_table`` that also returns ``rows`` and further aggregates.
+    partition_by: Sequence[str] = (),
+) -> tuple[str, dict[str, int]]:
+    """``write_version`` that also returns ``rows`` and further aggregates.
 
     The counters sit on top of the plan, in the stage that writes, where Spark
-    counts a repeated task once; no second pass over the data is made.
+    counts a repeated task once; no second pass over the data is made. Partitioned
+    tables are shuffled on the way and are counted when they are written.
     """
     observation = Observation()
     exprs = {"rows": F.count(F.lit(1)), **(counts or {})}
-    overwrite_table(
-        df.observe(observation, *[e.alias(n) for n, e in exprs.items()]), path, fmt
-    )
-    return {n: observation.get[n] for n in exprs}
+    named = [e.alias(n) for n, e in exprs.items()]
+    if partition_by:
+        folder = write_version(df, path, fmt, partition_by)
+        row = df.sparkSession.read.format(fmt).load(f"{path}/{folder}").agg(*named).first()
+        return folder, row.asDict()
+    folder = write_version(df.observe(observation, *named), path, fmt)
+    return folder, {n: observation.get[n] for n in exprs}
+
+
+def overwrite_with_counts(
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    counts: Mapping[str, Column] | None = None,
+) -> dict[str, int]:
+    """``overwrite_table`` that also returns ``rows`` and further aggregates."""
+    folder, found = write_with_counts(df, path, fmt, counts)
+    publish(df.sparkSession, {path: folder})
+    return found

@@ -26,19 +26,19 @@ def start_ingest_stream(
     schema; files that drift go through the batch ingest, into another table.
     """
     out = cfg.layout
-    if table_exists(spark, out.bronze) and not is_stream_table(spark, out.bronze):
+    if table_exists(spark, out.bronze, cfg.fmt) and not is_stream_table(spark, out.bronze):
         raise ValueError(f"{out.bronze} is written by batches; use another table")
     files = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", cfg.glob)
-        .option("maxFilesPerTrigger", cfg.max_files_per_batch)
+        .option("maxFilesPerTrigger", cfg.max_files_per_write)
         .parquet(out.raw)
     )
     # The tag is added before the names are lowered; both keep it last.
     rows = standardize(tag_source(files), cfg.spec.raw_casts)
     rows = stamp(stamp(rows, INGESTED_AT), BATCH_ID, batch_id or new_batch_id())
     return (
-        rows.writeStream.format("parquet")
+        rows.writeStream.format(cfg.fmt)
         .option("checkpointLocation", out.stream_checkpoint)
         .partitionBy(BATCH_ID)
         .trigger(availableNow=True)

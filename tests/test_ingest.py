@@ -8,15 +8,20 @@ from pyspark.sql import functions as F
 from taxi_rows import at, raw_frame, spec, trip
 
 from siltstone.config import Layout, RunConfig
-from siltstone.plans.stages import _free_ids, ingest
+from siltstone.plans.stages import clean, free_id, ingest
 from siltstone.sources.files import (
     file_names,
-    ingested_files,
     list_source_files,
     read_footers,
 )
 from siltstone.sources.scratch import scratch_dir
-from siltstone.sources.tables import SchemaDriftError, append_batch, read_table
+from siltstone.sources.tables import (
+    SchemaDriftError,
+    append_batch,
+    fit_to_table,
+    overwrite_table,
+    read_table,
+)
 
 
 def write_file(spark, df, path: str) -> None:
@@ -79,9 +84,10 @@ def test_drifting_files_once(spark, cfg, reader):
     fees = bronze.filter("airport_fee is null").select("_source_file").distinct()
     assert [r[0].endswith("/C.parquet") for r in fees.collect()] == [True]
 
-    # Only the empty file, which leaves no row, is offered again.
-    assert [r.rows_out for r in ingest(spark, cfg, "b_2")] == [0]
-    assert per_file(spark, cfg) == EXPECTED
+    # The ledger has the empty file too.
+    ledger = read_table(spark, cfg.layout.ledger)
+    assert {r.file_name: r.rows for r in ledger.collect()} == EXPECTED | {"E.parquet": 0}
+    assert ingest(spark, cfg, "b_2") == []
 
 
 def test_nothing_new_writes_nothing(spark, cfg):
@@ -92,12 +98,76 @@ def test_nothing_new_writes_nothing(spark, cfg):
     assert sorted(os.listdir(cfg.layout.bronze)) == before
 
 
-def test_batches_are_bounded_but_complete(spark, cfg):
-    land_drifting(spark, cfg)
-    cfg = RunConfig(cfg.spec, cfg.layout, max_files_per_batch=2)
-    report = ingest(spark, cfg, "b_1")
-    assert [r.table for r in report] == ["b_1", "b_1.0001", "b_1.0002"]
-    assert per_file(spark, cfg) == EXPECTED
+def data_of(spark, cfg):
+    df = read_table(spark, cfg.layout.bronze).drop("_ingestion_timestamp")
+    return df.dtypes, sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("change", ["drift", "added", "zone"])
+def test_the_number_of_writes_changes_nothing(spark, cfg, tmp_path, change):
+    """One batch of one schema, also where the first file lacks what later ones have."""
+    if change == "drift":
+        land_drifting(spark, cfg)
+    elif change == "added":
+        land(spark, cfg, "A.parquet", month(spark, 3, 0))
+        land(spark, cfg, "B.parquet", month(spark, 4, 10, extra_fee=F.lit(1.5)))
+    else:
+        land(spark, cfg, "A.parquet", month(spark, 3, 0))
+        zoned = F.col("tpep_pickup_datetime").cast("timestamp")
+        land(spark, cfg, "B.parquet", month(spark, 4, 10, tpep_pickup_datetime=zoned))
+    found = []
+    for limit in (10_000, 1):
+        layout = Layout.under(str(tmp_path / f"lake{limit}"), cfg.layout.raw)
+        own = RunConfig(cfg.spec, layout, max_files_per_write=limit)
+        report = ingest(spark, own, "b_1")
+        assert [r.table for r in report] == ["b_1"]
+        found.append(data_of(spark, own))
+        assert ingest(spark, own, "b_2") == []
+    assert found[0] == found[1]
+
+
+def test_columns_that_the_stored_table_lacks(spark, cfg):
+    land(spark, cfg, "A.parquet", month(spark, 3, 0))
+    ingest(spark, cfg, "b_1")
+    land(spark, cfg, "B.parquet", month(spark, 4, 10, extra_fee=F.lit(1.5)))
+    with pytest.raises(SchemaDriftError):
+        ingest(spark, cfg, "b_2")
+    cfg = RunConfig(cfg.spec, cfg.layout, evolve=True)
+    assert [r.rows_out for r in ingest(spark, cfg, "b_3")] == [4]
+    bronze = read_table(spark, cfg.layout.bronze, merge=True)
+    fees = {(r[0], r[1]) for r in bronze.groupBy("extra_fee").count().collect()}
+    assert fees == {(None, 3), (1.5, 4)}
+    clean(spark, cfg)
+    assert "extra_fee" in read_table(spark, cfg.layout.silver).columns
+
+
+def test_folders_beside_the_files_are_not_looked_into(spark, cfg):
+    land(spark, cfg, "A.parquet", month(spark, 3, 0))
+    land(spark, cfg, "m=1/p.parquet", month(spark, 5, 10))
+    ingest(spark, cfg, "b_1")
+    land(spark, cfg, "m=2/p.parquet", month(spark, 6, 20))
+    land(spark, cfg, "B.parquet", month(spark, 4, 30))
+    ingest(spark, cfg, "b_2")
+    assert per_file(spark, cfg) == {"A.parquet": 3, "B.parquet": 4}
+    assert "m" not in read_table(spark, cfg.layout.bronze).columns
+
+
+def test_unfinished_batch_is_written_again_under_its_id(spark, cfg):
+    """Half of one file's rows arrived, another file's not at all, and no ledger entry."""
+    land(spark, cfg, "A.parquet", month(spark, 3, 0))
+    ingest(spark, cfg, "b_1")
+    land(spark, cfg, "B.parquet", month(spark, 6, 10))
+    ingest(spark, cfg, "b_2")
+    out = cfg.layout
+    batch = read_table(spark, out.bronze).filter("_batch_id = 'b_2'").limit(2).collect()
+    schema = read_table(spark, out.bronze).schema
+    append_batch(spark.createDataFrame(batch, schema), out.bronze)
+    shutil.rmtree(f"{out.ledger}/_batch_id=b_2")
+    land(spark, cfg, "C.parquet", month(spark, 5, 20))
+    report = ingest(spark, cfg, "b_3")
+    assert [(r.table, r.rows_out) for r in report] == [("b_2", 6), ("b_3", 5)]
+    assert per_file(spark, cfg) == {"A.parquet": 3, "B.parquet": 6, "C.parquet": 5}
+    assert ingest(spark, cfg, "b_4") == []
 
 
 def test_reused_batch_id_keeps_earlier_rows(spark, cfg):
@@ -113,31 +183,18 @@ def test_odd_batch_id_is_refused(spark, cfg):
         ingest(spark, cfg, "a/b")
 
 
-def test_free_ids():
-    ids = _free_ids({"x", "x.0002"}, "x")
-    assert [next(ids) for _ in range(2)] == ["x.0001", "x.0003"]
-
-
-def test_ledger_is_rebuilt_from_bronze(spark, cfg):
-    """A run that dies between the bronze write and the ledger write."""
-    land(spark, cfg, "A.parquet", month(spark, 3, 0))
-    ingest(spark, cfg, "b_1")
-    land(spark, cfg, "B.parquet", month(spark, 4, 10))
-    ingest(spark, cfg, "b_2")
-    out = cfg.layout
-    shutil.rmtree(f"{out.ledger}/_batch_id=b_2")
-    known = ingested_files(spark, out.bronze, out.ledger)
-    assert sorted(r[0] for r in known.collect()) == ["A.parquet", "B.parquet"]
-    shutil.rmtree(out.ledger)
-    assert ingest(spark, cfg, "b_3") == []
+def test_free_id():
+    assert free_id({"x", "x.0002"}, "x") == "x.0001"
+    assert free_id({"x", "x.0001"}, "x") == "x.0002"
+    assert free_id({"y"}, "x") == "x"
 
 
 def test_ledger_entry_of_a_lost_batch_does_not_count(spark, cfg):
     land(spark, cfg, "A.parquet", month(spark, 3, 0))
+    ingest(spark, cfg, "b_0")
     land(spark, cfg, "B.parquet", month(spark, 4, 10))
-    cfg = RunConfig(cfg.spec, cfg.layout, max_files_per_batch=1)
     ingest(spark, cfg, "b_1")
-    shutil.rmtree(f"{cfg.layout.bronze}/_batch_id=b_1.0001")
+    shutil.rmtree(f"{cfg.layout.bronze}/_batch_id=b_1")
     assert [r.rows_out for r in ingest(spark, cfg, "b_2")] == [4]
     assert per_file(spark, cfg) == {"A.parquet": 3, "B.parquet": 4}
 
@@ -154,19 +211,34 @@ def test_repeated_append_replaces_the_batch(spark, tmp_path):
     assert got == {"20230101": 5, "0020230102": 5}
 
 
-def test_append_fills_missing_and_refuses_drift(spark, tmp_path):
-    path = str(tmp_path / "t")
-    df = spark.createDataFrame([(1, "x", "b_1")], "a int, b string, _batch_id string")
-    append_batch(df, path)
-    append_batch(df.drop("b").withColumn("_batch_id", F.lit("b_2")), path)
-    table = read_table(spark, path)
-    assert {(r.a, r.b, r._batch_id) for r in table.collect()} == {
-        (1, "x", "b_1"),
-        (1, None, "b_2"),
-    }
-    for bad in (df.withColumn("new", F.lit(1)), df.withColumn("a", F.lit("1"))):
+def test_fitting_fills_missing_and_refuses_drift(spark):
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    fitted = fit_to_table(df.drop("b"), df.schema)
+    assert [tuple(r) for r in fitted.collect()] == [(1, None)]
+    assert fitted.schema == df.schema
+    with pytest.raises(SchemaDriftError):
+        fit_to_table(df.withColumn("new", F.lit(1)), df.schema)
+    assert fit_to_table(df.withColumn("new", F.lit(1)), df.schema, True).columns == ["a", "b", "new"]
+    for evolve in (False, True):
         with pytest.raises(SchemaDriftError):
-            append_batch(bad.withColumn("_batch_id", F.lit("b_3")), path)
+            fit_to_table(df.withColumn("a", F.lit("1")), df.schema, evolve)
+
+
+def test_failed_overwrite_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_table(spark.range(5), path)
+    broken = spark.range(5, 90, 1, 4).select(
+        F.when(F.col("id") < 80, F.col("id")).otherwise(F.raise_error("half-way")).alias("id")
+    )
+    for _ in range(2):
+        with pytest.raises(Exception, match="half-way"):
+            overwrite_table(broken, path)
+        assert read_table(spark, path).count() == 5
+    for n in (6, 7, 8):
+        overwrite_table(spark.range(n), path)
+        assert read_table(spark, path).count() == n
+    # The last version and the one before it are left, with a marker each.
+    assert len(os.listdir(path)) - sum(f.endswith(".crc") for f in os.listdir(path)) == 4
 
 
 def test_a_column_without_any_value(spark, cfg):
@@ -194,9 +266,9 @@ def test_names_that_collide_are_refused(spark, cfg, reader):
         land(spark, cfg, "F.parquet", spark.createDataFrame([(1, 2)], "A int, a int"))
     finally:
         spark.conf.unset("spark.sql.caseSensitive")
-    path = list_source_files(spark, cfg.layout.raw).first().path
+    files = list_source_files(spark, cfg.layout.raw)
     with pytest.raises(Exception, match="(?i)case|already exists"):
-        read_footers(spark, [path], reader)
+        read_footers(spark, files.select("path", "file_name"), reader).collect()
 
 
 @pytest.mark.parametrize("name", ["x{1}.parquet", "y[2].parquet", "z%20.parquet", "é.parquet"])

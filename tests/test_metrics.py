@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -5,11 +7,18 @@ from plans import physical
 from pyspark.sql import functions as F
 from taxi_rows import AS_OF, at, raw_frame, trip
 
+from siltstone.config import GoldColumns
 from siltstone.functions import base_name, decode_path, label_codes
-from siltstone.operators import ranking
 from siltstone.operators.metrics import Metric, MetricSet, summarize_sets, top_k
 from siltstone.operators.ranking import add_ranks
 from siltstone.plans import gold
+from siltstone.plans.gold import (
+    category_summary,
+    daily_summary,
+    gold_tables,
+    location_summary,
+    monthly_trends,
+)
 from siltstone.plans.stages import clean_rows
 from siltstone.presets import TAXI
 
@@ -135,15 +144,35 @@ def test_rank_modes_agree(spark, values):
     assert rows(window) == rows(spread)
 
 
-def test_distributed_rank_with_a_hot_value(spark, monkeypatch):
+def test_distributed_rank_with_a_hot_value(spark):
     """A third of the rows share one value; it is joined by broadcast."""
-    monkeypatch.setattr(ranking, "MAX_WINDOW_ROWS", 10)
     v = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 2000)
     df = spark.range(20_000).select("id", v.alias("v"), (F.col("id") % 10).alias("w"))
     ranks = {"by_v": "v", "by_w": "w"}
     assert rows(add_ranks(df, ranks)) == rows(add_ranks(df, ranks, "window"))
 
 
+def test_distributed_rank_has_no_task_for_all_rows(spark):
+    df = spark.range(5000).select("id", (F.col("id") % 700).alias("v"))
+    plan = physical(add_ranks(df, {"r": "v"}, "distributed"))
+    # What goes to one task is a row per partition of the distinct values.
+    below = plan.split("SinglePartition")[1:]
+    assert below and all("keys=[_part" in p.split("FileScan")[0] for p in below)
+    with pytest.raises(ValueError, match="rank mode"):
+        add_ranks(df, {"r": "v"}, "auto")
+
+
+def test_one_column_in_two_roles(spark):
+    df = spark.createDataFrame(
+        [(1, dt.date(2024, 1, 1), 5.0), (1, dt.date(2024, 2, 1), 2.0), (2, None, 1.0)],
+        "k int, d date, v double",
+    ).withColumns({"y": F.year("d"), "m": F.month("d")})
+    columns = GoldColumns("d", "y", "m", "k", "k", "v", "v", "v", "v")
+    singles = (daily_summary, location_summary, monthly_trends, category_summary)
+    for table, single in zip(gold_tables(df, columns).values(), singles):
+        assert rows(table) == rows(single(df, columns))
+
+
 def test_ties_share_a_rank_without_gaps(spark):
     df = spark.createDataFrame([("a", 5), ("b", 5), ("c", 3), ("d", None)], "k string, n int")
     ranked = add_ranks(df, {"r": "n"})

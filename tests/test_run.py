@@ -1,16 +1,19 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from taxi_rows import AS_OF, at, raw_frame, trip
 from test_ingest import land
 
 from siltstone.config import Layout, RunConfig
 from siltstone.operators.checks import QualityGateError
 from siltstone.plans.run import run_pipeline, run_report
-from siltstone.plans.stages import clean, ingest, read_rejects, validate
+from siltstone.plans import stages
+from siltstone.plans.stages import aggregate, clean, ingest, read_rejects, validate
 from siltstone.presets import taxi
-from siltstone.session import shuffle_partitions
-from siltstone.sources.tables import read_table
+from siltstone.session import MAX_PARTITIONS, shuffle_partitions
+from siltstone.sources.paths import folder_bytes
+from siltstone.sources.tables import current_folder, read_table
 
 GOOD = [trip(**at(i), pulocationid=100 + i % 2) for i in range(10)]
 REJECTED = [
@@ -106,7 +109,8 @@ def test_partitioned_silver(spark, cfg):
     report = run_pipeline(spark, cfg, "b_1", AS_OF)
     assert report[3].rows_out == 13
     assert report[-2] == ("aggregate", "monthly_trends", None, 2)
-    assert sorted(os.listdir(f"{cfg.layout.silver}/pickup_year=2023"))[:2] == [
+    silver = current_folder(spark, cfg.layout.silver)
+    assert sorted(os.listdir(f"{silver}/pickup_year=2023"))[:2] == [
         "pickup_month=1",
         "pickup_month=2",
     ]
@@ -128,10 +132,58 @@ def test_command_line(spark, cfg, capsys):
     args = ["--base", base, "--raw", cfg.layout.raw, "--as-of", AS_OF, "--batch-id", "b_1"]
     assert main(["all", *args]) == 1
     assert "min_rows" in capsys.readouterr().err
-    assert main(["aggregate", *args]) == 0
-    assert "daily_summary" in capsys.readouterr().out
+    assert main(["aggregate", "--preview", "3", *args]) == 0
+    shown = capsys.readouterr().out
+    assert "daily_summary" in shown and "rank_by_trips" in shown
 
 
-def test_shuffle_sizing():
+def test_shuffle_sizing(spark, tmp_path):
     assert shuffle_partitions(0) == 200
-    assert shuffle_partitions(100 * 2**40) == 819_200
+    assert shuffle_partitions(2**40) == 8192
+    assert shuffle_partitions(100 * 2**40) == MAX_PARTITIONS < 100_000
+    assert folder_bytes(spark, str(tmp_path / "none")) == 0
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    assert folder_bytes(spark, str(tmp_path)) > 4000
+
+
+def tables(spark, cfg):
+    out = cfg.layout
+    paths = [out.silver, out.rejects, *(out.gold_table(n) for n in GOLD)]
+    found = []
+    for path in paths:
+        df = read_table(spark, path, cfg.fmt).drop("_silver_processed_at")
+        found.append(sorted(map(str, df.collect())))
+    return found
+
+
+GOLD = ("daily_summary", "location_summary", "monthly_trends", "payment_type_summary")
+
+
+@pytest.mark.parametrize("stage", ["clean", "aggregate"])
+def test_a_failed_stage_leaves_the_tables_of_the_run_before(spark, cfg, monkeypatch, stage):
+    land(spark, cfg, "A.parquet", raw_frame(spark, GOOD + REJECTED))
+    run_pipeline(spark, cfg, "b_1", AS_OF)
+    before = tables(spark, cfg)
+    land(spark, cfg, "B.parquet", raw_frame(spark, [trip(**at(i, day=6)) for i in range(9)]))
+    ingest(spark, cfg, "b_2")
+    real = stages.write_with_counts
+
+    def breaks(df, path, *args, **more):
+        """The second table of a stage fails while it is written."""
+        if path in (cfg.layout.silver, cfg.layout.gold_table("location_summary")):
+            column = df.columns[0]
+            value = F.raise_error("half-way").cast(df.schema[column].dataType)
+            df = df.withColumn(column, F.when(F.rand(1) < 2, value))
+        return real(df, path, *args, **more)
+
+    if stage == "aggregate":
+        clean(spark, cfg, AS_OF)
+        before = tables(spark, cfg)
+    monkeypatch.setattr(stages, "write_with_counts", breaks)
+    with pytest.raises(Exception, match="half-way"):
+        clean(spark, cfg, AS_OF) if stage == "clean" else aggregate(spark, cfg)
+    assert tables(spark, cfg) == before
+    monkeypatch.undo()
+    clean(spark, cfg, AS_OF)
+    aggregate(spark, cfg)
+    assert tables(spark, cfg) != before

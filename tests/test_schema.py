@@ -28,6 +28,20 @@ def one(df):
         ("abc", "string", "bigint", None),
         ("abc", "string", "double", None),
         ("12", "string", "bigint", 12),
+        ("1.0", "string", "bigint", 1),
+        ("2.7", "string", "bigint", 2),
+        ("-2.7", "string", "int", -2),
+        (" 4 ", "string", "bigint", 4),
+        ("7.", "string", "int", 7),
+        (".5", "string", "int", 0),
+        ("0.99999999999999999999", "string", "int", 0),
+        ("9223372036854775807.9", "string", "bigint", 2**63 - 1),
+        ("9223372036854775808", "string", "bigint", None),
+        ("2147483648.1", "string", "int", None),
+        ("1e3", "string", "bigint", None),
+        ("1.2.3", "string", "bigint", None),
+        ("", "string", "bigint", None),
+        (".", "string", "bigint", None),
         (2147483647.9, "double", "int", 2147483647),
         (2147483648.0, "double", "int", None),
         (-2147483648.9, "double", "int", -2147483648),

@@ -1,9 +1,9 @@
 import pytest
-from taxi_rows import spec
+from taxi_rows import AS_OF, spec
 from test_ingest import land, month
 
 from siltstone.config import Layout, RunConfig
-from siltstone.plans.stages import ingest
+from siltstone.plans.stages import clean, ingest
 from siltstone.sources.tables import read_table
 from siltstone.streaming.file_stream import ingest_stream
 
@@ -35,6 +35,16 @@ def test_each_file_once(spark, cfg):
     assert dict(bronze.dtypes)["passenger_count"] == "double"
 
 
+def test_another_table_format(spark, cfg):
+    cfg = RunConfig(cfg.spec, cfg.layout, fmt="orc")
+    first = month(spark, 3, 0)
+    land(spark, cfg, "a.parquet", first)
+    ingest_stream(spark, cfg, first.schema, "s_1")
+    ingest_stream(spark, cfg, first.schema, "s_2")
+    assert read_table(spark, cfg.layout.bronze, "orc").count() == 3
+    assert clean(spark, cfg, AS_OF)[-1].rows_out == 3
+
+
 def test_batches_and_streams_do_not_mix(spark, cfg, tmp_path):
     first = month(spark, 2, 0)
     land(spark, cfg, "a.parquet", first)
