@@ -15,10 +15,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.tables import empty_text, materialize, row_slices, sampled
+from siltstone.llm.tables import materialize, sampled
 
 BUCKETS = 1 << 15
 _KEEP = bytes(
@@ -136,31 +136,26 @@ def visible_text(html: Column) -> Column:
     return F.regexp_replace(html, hidden, " ")
 
 
-def score_text(df: DataFrame, model: TextModel, text: str, enough: int) -> DataFrame:
-    """``df`` with ``log_text`` (one number per label) and ``n_grams`` in place of text.
+def text_scores(spark: SparkSession, model: TextModel, enough: int):
+    """Function of a text column: (log_text, one number per label, and n_grams).
 
     Trigrams overlap, so the mean log likelihood counts as that of ``enough`` at most.
+    Only the text goes to Python; the other columns of a row stay where they are.
     """
-    shared = df.sparkSession.sparkContext.broadcast((model.labels, model.weights))
-    kept = [c for c in df.columns if c != text]
+    shared = spark.sparkContext.broadcast((model.labels, model.weights))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<log_text: array<double>, n_grams: bigint>")
+    def score(texts: pa.Array) -> pa.Array:
         own = TextModel(*shared.value)
-        for batch in row_slices(batches):
-            logs, sizes = [], []
-            for value in batch.column(len(kept)).to_pylist():
-                mean, n = own.mean_log_likelihood(value)
-                logs.append(mean * min(n, enough))
-                sizes.append(n)
-            columns = [
-                *batch.columns[: len(kept)],
-                pa.array(logs, pa.list_(pa.float64())),
-                pa.array(sizes, pa.int64()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "log_text", "n_grams"])
-
-    schema = df.select(*kept, F.array(F.lit(0.0)).alias("log_text"), F.lit(0).cast("long").alias("n_grams")).schema
-    return df.select(*kept, empty_text(text)).mapInArrow(score, schema)
+        logs, sizes = [], []
+        for text in texts:
+            mean, n = own.mean_log_likelihood(text.as_py() or "")
+            logs.append(mean * min(n, enough))
+            sizes.append(n)
+        columns = [pa.array(logs, pa.list_(pa.float64())), pa.array(sizes, pa.int64())]
+        return pa.StructArray.from_arrays(columns, names=["log_text", "n_grams"])
+
+    return score
 
 
 def softmax(logs: Column) -> Column:
@@ -220,9 +215,8 @@ def identify(
         ).alias("row"),
         F.lower(nothing if declared is None else declared).alias("declared"),
         (nothing if host is None else host).alias("host"),
-        text.alias("text"),
-    )
-    rows = score_text(rows, model, "text", enough)
+        text_scores(df.sparkSession, model, enough)(text).alias("s"),
+    ).select("row", "declared", "host", "s.log_text", "s.n_grams")
     scored = materialize(rows.withColumn("share", softmax(F.col("log_text"))))
     told = scored.filter("n_grams > 0")
 
