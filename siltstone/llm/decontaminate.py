@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.tables import empty_text, materialize, row_slices
+from siltstone.llm.tables import empty_text, materialize
 
 WORD = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 # A-Z lowered; bytes that cannot be part of a word become blanks.
@@ -27,6 +27,7 @@ _FOLD = bytes(
     for b in range(256)
 )
 BLOCK_WORDS = 50_000
+FOUND = "struct<n_words: bigint, spans: array<struct<a: int, b: int>>, items: array<string>>"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -187,12 +188,11 @@ def find_leaks(
     text_column: str = "text",
     item_id_column: str = "item_id",
     item_text_column: str = "text",
-    keep_text: bool = True,
 ) -> DataFrame:
     """Each row of ``docs`` with what it shares with the items.
 
     Columns: row (a struct c0, c1, ... of the columns other than the text, in their
-    order), text (null unless ``keep_text``), n_words, spans (disjoint word ranges that
+    order), text, n_words, spans (disjoint word ranges that
     are hit), items (ids found, as text, sorted). Words are runs of ASCII letters and
     digits and of other characters than ASCII, with A-Z lowered; a null has none. An
     item without id takes part, but is not listed; items with equal ids are listed
@@ -207,53 +207,44 @@ def find_leaks(
             F.lit(0).alias("end"),
         ).alias("row"),
         F.col(f"`{text_column}`").cast("string").alias("text"),
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast("array<struct<a:int,b:int>>").alias("spans"),
-        F.array().cast("array<string>").alias("items"),
+        F.lit(None).cast(FOUND).alias("found"),
     )
-    schema = frame.schema
     share = docs.sparkSession.sparkContext.broadcast
     blocks = item_blocks(items, window, block_words, item_id_column, item_text_column)
     block = next(blocks, [])
     while True:
-        following = next(blocks, None)
-        drop_text = following is None and not keep_text
         # Plain values: executors need not have this package to read a broadcast.
         shared = share(tuple(vars(Automaton.build(block, window)).values()))
-        frame = frame.mapInArrow(_matcher(shared, drop_text), schema)
-        if following is None:
-            return frame
+        frame = frame.withColumn("found", matcher(shared)("text", "found"))
+        block = next(blocks, None)
+        if block is None:
+            break
         frame = materialize(frame)  # one automaton at a time in a task
-        block = following
+    return frame.select("row", "text", "found.n_words", "found.spans", "found.items")
 
 
-def _matcher(shared, drop_text: bool):
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def matcher(shared):
+    """Function of a text and of what earlier blocks found in it; ``FOUND``.
+
+    Only these columns go to Python; the others of a row stay where they are.
+    """
+
+    @F.arrow_udf(FOUND)
+    def match(texts: pa.Array, before: pa.Array) -> pa.Array:
         automaton = Automaton(*shared.value)
-        for batch in row_slices(batches):
-            counts, spans, items = [], [], []
-            for text, old_spans, old_items in zip(
-                batch.column(1).to_pylist(),
-                batch.column(3).to_pylist(),
-                batch.column(4).to_pylist(),
-            ):
-                words = words_of(text)
-                hit, found = automaton.scan(words)
-                counts.append(len(words))
-                hit += [(s["a"], s["b"]) for s in old_spans]
-                spans.append([{"a": a, "b": b} for a, b in merge(hit)])
-                found = {str(i) for i in found if i is not None}
-                items.append(sorted(found | set(old_items)))
-            kinds = batch.schema
-            texts = pa.nulls(batch.num_rows, kinds.field(1).type)
-            columns = [
-                batch.column(0),
-                texts if drop_text else batch.column(1),
-                pa.array(counts, pa.int64()),
-                pa.array(spans, kinds.field(3).type),
-                pa.array(items, kinds.field(4).type),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=kinds.names)
+        rows = []
+        for text, old in zip(texts, before):
+            words = words_of(text.as_py())
+            hit, found = automaton.scan(words)
+            found = {str(i) for i in found if i is not None}
+            if (old := old.as_py()) is not None:
+                hit += [(s["a"], s["b"]) for s in old["spans"]]
+                found |= set(old["items"])
+            spans = [{"a": a, "b": b} for a, b in merge(hit)]
+            rows.append({"n_words": len(words), "spans": spans, "items": sorted(found)})
+        span = pa.struct([("a", pa.int32()), ("b", pa.int32())])
+        kinds = [("n_words", pa.int64()), ("spans", pa.list_(span)), ("items", pa.list_(pa.string()))]
+        return pa.array(rows, pa.struct(kinds))
 
     return match
 

@@ -79,7 +79,7 @@ def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     items = load(spark, sf_dir, "benchmark").select("item_id", "text")
-    found = decontaminate.find_leaks(docs, items, window=10, keep_text=False)
+    found = decontaminate.find_leaks(docs, items, window=10)
     return found.select(
         F.col("row.c0").alias("doc_id"),
         "n_words",
