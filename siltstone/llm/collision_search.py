@@ -33,7 +33,7 @@ class Settings:
 
     projections: int = 48
     share: float = 0.6
-    first: float = 0.1
+    first: float = 0.4
     growth: float = 1.5
     spare: int = 8
     seed: int = 17
@@ -85,27 +85,34 @@ class Part:
         widths = [s.first]
         while widths[-1] < 2 * np.abs(self.axes).sum():
             widths.append(widths[-1] * s.growth)
+        ends: dict[float, tuple[list, list]] = {}
+
+        def window(width: float) -> tuple[list, list]:
+            """Where all queries' windows of a width begin and end in each array."""
+            if width not in ends:
+                sides = [
+                    np.stack([np.searchsorted(v, c) for v, c in zip(self.values, side.T)], 1)
+                    for side in (at - width, at + width)
+                ]
+                ends[width] = (sides[0].tolist(), sides[1].tolist())
+            return ends[width]
+
         for q in range(len(ids)):
             own = int(ids[q])
-            counts = np.zeros(n, np.int32)
+            counts = np.zeros(n, np.int64)
             lows = highs = None
             seen = np.zeros(n, bool)
             found = np.zeros(0, np.int64)
             scores = np.zeros(0)
             for width in widths:
-                pieces = []
-                low, high = [], []
-                for j in range(s.projections):
-                    a, b = np.searchsorted(self.values[j], (at[q, j] - width, at[q, j] + width))
-                    low.append(a)
-                    high.append(b)
-                    if lows is None:
-                        pieces.append(self.order[j, a:b])
-                    else:
-                        pieces.append(self.order[j, a : lows[j]])
-                        pieces.append(self.order[j, highs[j] : b])
+                low, high = window(width)[0][q], window(width)[1][q]
+                if lows is None:
+                    pieces = [o[a:b] for o, a, b in zip(self.order, low, high)]
+                else:
+                    pieces = [o[a:b] for o, a, b in zip(self.order, low, lows)]
+                    pieces += [o[a:b] for o, a, b in zip(self.order, highs, high)]
                 lows, highs = low, high
-                counts += np.bincount(np.concatenate(pieces), minlength=n).astype(np.int32)
+                counts += np.bincount(np.concatenate(pieces), minlength=n)
                 new = np.flatnonzero((counts >= need) & ~seen)
                 if len(new):
                     seen[new] = True
@@ -180,7 +187,8 @@ def nearest(
 
     def run() -> None:
         shared = spark.sparkContext.broadcast((np.array(block_ids), np.array(block)))
-        found = dealt.groupBy("part").applyInArrow(
+        # The number is given, as the parts are few bytes, but much work.
+        found = dealt.repartition(2 * parts, "part").groupBy("part").applyInArrow(
             searcher(shared), "query_id long, vec_id long, score double"
         )
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
