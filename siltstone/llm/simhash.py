@@ -23,10 +23,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.components import connected_components
-from siltstone.llm.tables import empty_text, materialize, row_slices, whole_row
+from siltstone.llm.tables import (
+    empty_text,
+    materialize,
+    parts_for,
+    row_slices,
+    short_batches,
+    whole_row,
+)
 
 BITS = 64
 BYTES = 8
+# Fingerprints a task posts; each makes tens of entries.
+SPREAD_ROWS = 25_000
 
 
 # --- fingerprints -----------------------------------------------------------
@@ -94,6 +103,7 @@ def fingerprints(
                 names=["doc_id", "row_hash", "fp"],
             )
 
+    short_batches(docs)
     texts = docs.select(
         F.col(id_column).cast("long"), row_hash(docs), empty_text(text_column)
     )
@@ -237,7 +247,10 @@ def links(fps: DataFrame, max_bits: int = 4, long_list: int = 1024) -> DataFrame
     ``fps`` holds distinct values in a column ``fp``. Within a list only as many links
     are given as it takes to join what is joined; none is between others.
     """
-    posted = fps.select(F.explode(F.array(*list_keys("fp", max_bits))).alias("key"), "fp")
+    # A few numbers become many entries here: first spread over enough tasks.
+    spread = fps.repartition(parts_for(fps.count(), SPREAD_ROWS), "fp")
+    keys = F.explode(F.array(*list_keys("fp", max_bits))).alias("key")
+    posted = spread.select(keys, "fp")
     found = materialize(
         posted.repartition("key")
         .sortWithinPartitions("key", "fp")
@@ -269,7 +282,7 @@ def near_duplicates(
     smallest fingerprint as a signed number.
     """
     prints = materialize(fingerprints(docs, shingle, id_column, text_column))
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     found = links(classes.select("fp"), max_bits, long_list)
     labels = connected_components(found)
     linked = classes.join(labels.withColumnRenamed("node", "fp"), "fp")

@@ -10,13 +10,24 @@ from pyspark.sql import functions as F
 
 from siltstone.sources.scratch import materialize
 
-__all__ = ["empty_text", "load", "materialize", "parts_for", "row_slices", "sampled", "whole_row"]
+__all__ = ["empty_text", "load", "materialize", "parts_for", "row_slices", "sampled", "short_batches", "whole_row"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def short_batches(df: DataFrame, rows: int = 2000) -> None:
+    """Let Arrow batches have few rows, as texts are long.
+
+    The default of 10,000 rows is for numbers; of texts it takes each Python worker, and
+    the JVM beside it, hundreds of megabytes. A number set by the caller is kept.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(key) == "10000":
+        conf.set(key, str(rows))
+
+
 def empty_text(column: str) -> Column:
     """The text, with null taken as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
