@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.tables import empty_text, materialize
+from siltstone.llm.tables import empty_text, materialize, short_batches
 
 WORD = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 # A-Z lowered; bytes that cannot be part of a word become blanks.
@@ -200,6 +200,7 @@ def find_leaks(
     """
     if window < 2 or block_words < 2 * window:
         raise ValueError("a window has two words at least, a block two windows")
+    short_batches(docs)
     others = [c for c in docs.columns if c != text_column]
     frame = docs.select(
         F.struct(

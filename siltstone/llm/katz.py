@@ -23,7 +23,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.tables import empty_text, materialize, parts_for, row_slices
+from siltstone.llm.tables import (
+    empty_text,
+    materialize,
+    parts_for,
+    row_slices,
+    short_batches,
+)
 from siltstone.sources.paths import delete_folder
 from siltstone.sources.scratch import scratch_dir
 
@@ -459,6 +465,7 @@ def train_and_score(
     ``bucket_entries`` distinct n-grams of chunks) at a time. A frequent word or n-gram
     is one entry per chunk. The driver gets a few sums per bucket.
     """
+    short_batches(docs)
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), empty_text(text_column).alias("text"))
     texts = texts.select("doc_id", F.coalesce(F.expr(held), F.lit(False)), "text")

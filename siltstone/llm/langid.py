@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.tables import materialize, sampled
+from siltstone.llm.tables import materialize, sampled, short_batches
 
 BUCKETS = 1 << 15
 _KEEP = bytes(
@@ -77,6 +77,7 @@ def fit(
     ids. Rows without id, label or text do not count. The driver gets a row per label and bucket
     at most.
     """
+    short_batches(labelled)
     rows = labelled.select(
         F.col(id_column).cast("string").alias("id"),
         F.col(text_column).cast("string").alias("text"),
@@ -204,6 +205,7 @@ def identify(
     leave out the row itself, so that no text supports itself. Rows with equal ids are
     separate rows.
     """
+    short_batches(df)
     n = len(model.labels)
     if not n:
         raise ValueError("the model has no labels")

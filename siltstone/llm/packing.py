@@ -19,7 +19,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.tables import empty_text, materialize, parts_for, row_slices
+from siltstone.llm.tables import (
+    empty_text,
+    materialize,
+    parts_for,
+    row_slices,
+    short_batches,
+)
 
 PIECE_COLUMNS = (
     "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -97,6 +103,7 @@ def pieces(
     A null text is empty and has the end id alone. A null id stays null, and rows
     with the same id are separate documents. Other columns are not looked at.
     """
+    short_batches(docs)
     open_encoder = encoder or public_encoder()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

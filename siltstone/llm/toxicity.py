@@ -16,7 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.decontaminate import words_of
-from siltstone.llm.tables import empty_text, materialize, row_slices, sampled
+from siltstone.llm.tables import (
+    empty_text,
+    materialize,
+    row_slices,
+    sampled,
+    short_batches,
+)
 
 
 @dataclass(frozen=True)
@@ -230,6 +236,7 @@ def predict(
     grade from 1 on is likelier than none. A null text is empty and has what the
     thresholds alone give. Rows with equal ids are separate; null ids stay null.
     """
+    short_batches(docs)
     plain = (model.vocabulary, model.weights, model.thresholds)
     shared = docs.sparkSession.sparkContext.broadcast(plain)
 
@@ -258,5 +265,6 @@ def severity_model(
     docs: DataFrame, labels: DataFrame, rows_per_label: int = 2000, levels: int = 3
 ) -> OrdinalModel:
     """The model for documents of which some are labelled toxic (0 or 1)."""
+    short_batches(docs)
     counts = materialize(feature_counts(sample(docs, labels, rows_per_label, "toxic")))
     return fit(materialize(graded(counts, levels)))

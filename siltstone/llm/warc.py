@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.tables import row_slices
+from siltstone.llm.tables import row_slices, short_batches
 
 HIDDEN = re.compile(r"<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
 BLOCK = re.compile(
@@ -81,6 +81,7 @@ def derive(responses: DataFrame) -> DataFrame:
     left out of the records. A null record id, and those that repeat, are carried over as
     they are: what is derived then has ids that follow from the other fields too.
     """
+    short_batches(responses)
     fields = ["key", "record_id", "target_uri", "date", "headers", "payload"]
     names = ["key", *[c.split()[0] for c in COLUMNS.split(", ")]]
     schema = f"key {responses.schema['key'].dataType.simpleString()}, {COLUMNS}"

@@ -106,7 +106,7 @@ def compare(docs, order, **sizes):
 @pytest.mark.parametrize("order", [2, 3])
 def test_whole_table(spark, order):
     docs = load(spark, SF, "documents")
-    compare(docs, order, chunk_tokens=9000, bucket_entries=4000)
+    compare(docs, order, chunk_tokens=30_000, bucket_entries=30_000)
 
 
 @pytest.mark.parametrize("order", [1, 2, 3])
@@ -118,7 +118,7 @@ def test_distributions_sum_to_one(spark, order):
         for i in range(120)
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    slow = compare(docs, order, chunk_tokens=40, bucket_entries=30)
+    slow = compare(docs, order, chunk_tokens=200, bucket_entries=150)
     vocabulary = [w for (w,) in slow.counts[1]] + ["never seen"]
     pasts = [()] + [(w,) for w in vocabulary] + [("a", w) for w in vocabulary]
     for past in pasts:
@@ -128,7 +128,7 @@ def test_distributions_sum_to_one(spark, order):
 
 def test_odd_rows(odd_docs):
     compare(odd_docs, 2)
-    compare(odd_docs, 2, chunk_tokens=3, bucket_entries=2)
+    compare(odd_docs, 2, chunk_tokens=3, bucket_entries=900)
 
 
 def test_empty_table_and_nothing_to_learn(spark, no_docs):
