@@ -24,8 +24,6 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     texts without letters, and those for which no language is likelier than not.
     """
     model = langid.fit(docs)
-    if not model.labels:
-        return docs.limit(0)  # nothing can be told without a labelled row
     found = langid.identify(
         docs, model, F.col("text"), declared=F.col("lang"), host=F.col("source")
     )

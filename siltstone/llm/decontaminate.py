@@ -311,3 +311,43 @@ def hit_words(spans: str) -> Column:
     return F.aggregate(
         spans, F.lit(0).cast("long"), lambda n, s: n + (s["b"] - s["a"]).cast("long")
     )
+
+
+# What find_leaks gives for windows of ten words, by comparing every run of words.
+ORACLE = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_id, doc_id,
+        regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), items AS (
+    SELECT item_id,
+        regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(words[i : i + size - 1], ' ') AS run
+    FROM (SELECT item_id, words, least(10, len(words)) AS size,
+            unnest(range(1, greatest(len(words) - 10, 0) + 2)) AS i
+        FROM items WHERE len(words) > 0)
+), runs AS (
+    SELECT row_id, i, size, array_to_string(words[i : i + size - 1], ' ') AS run
+    FROM (SELECT row_id, words, size, unnest(range(1, len(words) - size + 2)) AS i
+        FROM texts CROSS JOIN (SELECT DISTINCT size FROM windows))
+), hits AS (
+    SELECT row_id, i, size, item_id FROM runs JOIN windows USING (size, run)
+), hit_words AS (
+    SELECT row_id, count(DISTINCT word) AS n
+    FROM (SELECT row_id, unnest(range(i, i + size)) AS word FROM hits) GROUP BY row_id
+), hit_items AS (
+    SELECT row_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT row_id, cast(item_id AS varchar) AS item FROM hits
+        WHERE item_id IS NOT NULL) GROUP BY row_id
+)
+SELECT t.doc_id, cast(len(t.words) AS bigint) AS n_words, coalesce(w.n, 0) AS n_hit,
+    coalesce(i.n, 0) AS n_items, sha256(coalesce(i.listed, '')) AS items_sha256,
+    coalesce(w.n, 0) > 0 AS contaminated
+FROM texts t LEFT JOIN hit_words w USING (row_id) LEFT JOIN hit_items i USING (row_id)
+"""

@@ -184,12 +184,11 @@ def questions(
 ) -> Iterator[tuple]:
     """Rows of ``ASK_COLUMNS``; ``values`` has a row for each key."""
     edges = cuts(keys, buckets)
-    for b in range(buckets):
+    for b in np.flatnonzero(np.diff(edges)).tolist():
         part = slice(edges[b], edges[b + 1])
+        block = np.ascontiguousarray(values[part]).reshape(-1)
         size = int(edges[b + 1] - edges[b])
-        if size:
-            block = np.ascontiguousarray(values[part]).reshape(-1)
-            yield chunk, kind, b, size, packed_keys(keys[part]), packed(block)
+        yield chunk, kind, b, size, packed_keys(keys[part]), packed(block)
 
 
 def answers(rows: Sequence[dict], kind: str, size: int, dtype, width: int) -> np.ndarray:

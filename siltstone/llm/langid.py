@@ -200,15 +200,13 @@ def identify(
 
     Columns: row (a struct c0, c1, ... of the columns of ``df``; null unless ``keep``),
     language, posterior, text_language, declared, host, n_grams. Language and posterior
-    are null where the text has no letter. Ties go to the first label in
+    are null where the text has no letter, or the model no label. Ties go to the first label in
     alphabetical order. Null declarations and hosts are no evidence. A host's counts
     leave out the row itself, so that no text supports itself. Rows with equal ids are
     separate rows.
     """
     short_batches(df)
     n = len(model.labels)
-    if not n:
-        raise ValueError("the model has no labels")
     nothing = F.lit(None).cast("string")
     rows = df.select(
         F.struct(
@@ -217,7 +215,23 @@ def identify(
         ).alias("row"),
         F.lower(nothing if declared is None else declared).alias("declared"),
         (nothing if host is None else host).alias("host"),
-        text_scores(df.sparkSession, model, enough)(text).alias("s"),
+        text.alias("text"),
+    )
+    if not n:
+        return rows.select(
+            "row",
+            nothing.alias("language"),
+            F.lit(None).cast("double").alias("posterior"),
+            nothing.alias("text_language"),
+            "declared",
+            "host",
+            F.lit(0).cast("long").alias("n_grams"),
+        )
+    rows = rows.select(
+        "row",
+        "declared",
+        "host",
+        text_scores(df.sparkSession, model, enough)("text").alias("s"),
     ).select("row", "declared", "host", "s.log_text", "s.n_grams")
     scored = materialize(rows.withColumn("share", softmax(F.col("log_text"))))
     told = scored.filter("n_grams > 0")

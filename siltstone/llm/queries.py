@@ -141,4 +141,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_filters": url_filter.ORACLE}
+    return {
+        "op3_secret_scans": secrets.ORACLE,
+        "op7_benchmark_decontamination": decontaminate.ORACLE,
+        "op10_url_filters": url_filter.ORACLE,
+    }

@@ -421,3 +421,111 @@ def redact(
             value = F.when(changed, size).otherwise(value)
         columns.append(value.alias(c))
     return found.select(*columns)
+
+
+# The query over the documents table, by the same definitions, one row per match.
+ORACLE = rf"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents
+), patterns(kind, rank, pattern) AS (VALUES
+    ('assign', 0, '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?[A-Za-z0-9+/_.=-]+'),
+    ('access', 1, 'AKIA[A-Z0-9]+'),
+    ('hex', 2, '[0-9a-f]{{24,}}'),
+    ('random', 3, '[A-Za-z0-9+/_=-]{{20,}}')
+), found AS (
+    SELECT row_id, kind, rank, regexp_extract_all(text, pattern) AS hits,
+        string_split_regex(text, pattern) AS gaps
+    FROM docs CROSS JOIN patterns
+), placed AS (
+    SELECT row_id, kind, rank, hits[i] AS token,
+        list_sum(list_transform(range(1, i + 1), lambda j: length(gaps[j]) + length(hits[j]))) AS e
+    FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM found WHERE len(hits) > 0)
+), spans AS (
+    SELECT row_id, kind, rank, token, cast(e - length(token) AS bigint) AS s, cast(e AS bigint) AS e
+    FROM placed
+), base AS (
+    SELECT row_id, kind, rank, s, e FROM spans
+    WHERE (kind = 'assign' AND length(regexp_extract(token, '[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1)) >= 6)
+        OR (kind = 'access' AND length(token) >= 20) OR kind = 'hex'
+), tokens AS (
+    SELECT * FROM spans t WHERE kind = 'random' AND NOT EXISTS (
+        SELECT 1 FROM base b WHERE b.row_id = t.row_id AND b.s <= t.s AND t.e <= b.e)
+), encodings(place, pattern, alphabet, effect) AS (VALUES
+    (0, '^[0-9a-f]*[0-9][0-9a-f]*$', '{DIGITS}abcdef', 1.0::DOUBLE),
+    (1, '^[0-9A-F]*[0-9][0-9A-F]*$', '{DIGITS}ABCDEF', 1.0),
+    (2, '^[A-Z2-7]*[2-7][A-Z2-7]*$', '{UPPER}234567', 1.0),
+    (3, '^[a-z]+$', '{LOWER}', 0.7), (4, '^[A-Z]+$', '{UPPER}', 0.7),
+    (5, '^[a-z0-9]+$', '{LOWER}{DIGITS}', 1.3), (6, '^[A-Z0-9]+$', '{UPPER}{DIGITS}', 1.3),
+    (7, '^[^+/]*[_-][^+/]*$', '{UPPER}{LOWER}{DIGITS}-_', 3.2),
+    (8, '.*', '{UPPER}{LOWER}{DIGITS}+/', 3.2)
+), bare AS (
+    SELECT *, regexp_replace(token, '=+$', '') AS t FROM tokens
+), encoded AS (
+    SELECT b.*, c.alphabet, c.effect, length(c.alphabet) AS k, length(t)::DOUBLE AS n,
+        string_split(c.alphabet, '') AS letters
+    FROM bare b JOIN encodings c ON c.place = (
+        SELECT min(x.place) FROM encodings x WHERE regexp_matches(b.t, x.pattern))
+), sided AS (
+    SELECT *, translate(t, alphabet, repeat('0', k // 2) || repeat('1', k - k // 2)) AS sides,
+        list_transform(string_split(t, ''), lambda c: instr(alphabet, c)::DOUBLE) AS xs,
+        list_sum(list_transform(letters, lambda c: pow(length(t) - length(replace(t, c, '')), 2)))
+            * k / n - n AS chi
+    FROM encoded WHERE n >= 2
+), counted AS (
+    SELECT *, (length(sides) - length(replace(sides, '0', '')))::DOUBLE AS c0,
+        (length(sides) - length(replace(sides, '1', '')))::DOUBLE AS c1,
+        1 + (length(sides) - length(replace(sides, '01', ''))) / 2
+            + (length(sides) - length(replace(sides, '10', ''))) / 2 AS runs,
+        list_sum(xs) / n AS mean
+    FROM sided
+), moments AS (
+    SELECT *, 1 + 2 * c0 * c1 / (c0 + c1) AS m,
+        list_sum(list_transform(xs, lambda x: x * x)) - mean * mean * n AS spread,
+        list_sum(list_transform(range(1, len(xs)), lambda i: (xs[i] - mean) * (xs[i + 1] - mean))) AS lagged
+    FROM counted
+), tested AS (
+    SELECT *, (m - 1) * (m - 2) / (c0 + c1 - 1) AS variance,
+        (chi - (k - 1 + n * effect)) / sqrt(2 * (k - 1 + 2 * n * effect)) AS z
+    FROM moments
+), valued AS (
+    SELECT row_id, s, e, abs(z) / sqrt(2.0) AS x, z,
+        coalesce(variance > 0 AND spread > 0
+            AND abs((runs - m) / sqrt(greatest(variance, 1e-300))) < 3.3
+            AND abs(lagged / greatest(spread, 1e-300) * sqrt(n - 1.0)) < 3.3, false) AS plain
+    FROM tested
+), tails AS (
+    SELECT *, 1 / (1 + 0.3275911::DOUBLE * x) AS y FROM valued
+), areas AS (
+    SELECT *, y * (0.254829592::DOUBLE + y * (-0.284496736::DOUBLE + y * (1.421413741::DOUBLE
+        + y * (-1.453152027::DOUBLE + y * 1.061405429::DOUBLE)))) * exp(-x * x) / 2 AS tail
+    FROM tails
+), graded AS (
+    SELECT row_id, s, e, cast(floor(log2(e - s)) AS int) AS size,
+        cast(least(floor(-4 * log2(greatest(CASE WHEN NOT plain THEN 1.0
+            WHEN z < 0 THEN tail ELSE 1 - tail END, pow(2.0, -20)))), 80) AS int) AS grid
+    FROM areas
+    UNION ALL SELECT row_id, s, e, cast(floor(log2(e - s)) AS int), 0 FROM encoded WHERE n < 2
+), sizes AS (
+    SELECT size, count(*) AS total FROM graded GROUP BY size
+), cuts AS (
+    SELECT size, min(b) AS cut FROM (
+        SELECT z.size, b, z.total,
+            (SELECT count(*) FROM graded g WHERE g.size = z.size AND g.grid >= b) AS passed
+        FROM sizes z CROSS JOIN (SELECT unnest(range(0, 81)) AS b))
+    WHERE passed > 0 AND pow(2.0, -b / 4.0) <= 0.01::DOUBLE * passed / total GROUP BY size
+), kept AS (
+    SELECT row_id, kind, rank, s, e FROM base
+    UNION ALL SELECT row_id, 'random', 3, s, e FROM graded JOIN cuts USING (size) WHERE grid >= cut
+), texts AS (
+    SELECT row_id,
+        count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+        count(*) FILTER (kind = 'hex') AS n_hex,
+        coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 3), '') AS base,
+        string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans
+    FROM kept GROUP BY row_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+    coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+    coalesce(spans, '') AS spans
+FROM docs d LEFT JOIN texts USING (row_id)
+"""

@@ -4,8 +4,10 @@ import random
 import pytest
 
 from siltstone.llm import decontaminate
-from siltstone.llm.queries import op7_benchmark_decontamination
+from siltstone.llm.queries import op7_benchmark_decontamination, oracle_sql, queries
 from siltstone.llm.tables import load
+from tests.oracle_compare import compare as compare_sql
+from tests.oracle_compare import connect
 
 SF = "/root/testdata/sf0.001"
 
@@ -102,6 +104,11 @@ def test_query_against_brute_force(spark):
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256) == want
 
 
+def test_query_against_sql(spark):
+    sf_dir, name = "/root/testdata/sf0.01", "op7_benchmark_decontamination"
+    assert compare_sql(queries()[name](spark, sf_dir), connect(sf_dir), oracle_sql()[name]) == []
+
+
 def test_removal(spark):
     item = "One two three four five six seven eight nine ten eleven"
     docs = spark.createDataFrame(

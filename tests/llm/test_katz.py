@@ -45,6 +45,7 @@ class Slow:
             for gram, c in self.counts[k].items():
                 self.followers.setdefault(gram[:-1], []).append((gram[-1], c))
         self.n = sum(self.counts[1].values())
+        self.singles = sum(self.kept(1, c) for c in self.counts[1].values())
         self.cache = {}
 
     def kept(self, k, c):
@@ -55,7 +56,7 @@ class Slow:
 
     def p(self, word, past):
         if not past:
-            kept = sum(self.kept(1, c) for c in self.counts[1].values())
+            kept = self.singles
             by = self.share(self.n, kept)
             c = self.counts[1][(word,)]
             return self.kept(1, c) / by if c else (1 - kept / by if self.n else 1.0)
