@@ -37,6 +37,8 @@ from siltstone.sources.scratch import scratch_dir
 RELIABLE = 5
 CHUNK_TOKENS = 1_500_000
 BUCKET_ENTRIES = 2_000_000
+# Buckets of the table of chunks; with more chunks, a task takes several, one by one.
+MAX_FILES = 20_000
 
 START, END = np.uint64(0x53D4A1), np.uint64(0xE4D)
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -471,7 +473,7 @@ def train_and_score(
     path, name = scratch_dir(spark), f"katz_{uuid.uuid4().hex}"
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # Bucketed by chunk: answers are sent to the chunks, which stay where they are.
-    files = parts_for(n_bytes, 6 * chunk_tokens)
+    files = min(parts_for(n_bytes, 6 * chunk_tokens), MAX_FILES)
     chunks = tokenized(texts, chunk_tokens)
     chunks.write.bucketBy(files, "chunk").option("path", path).saveAsTable(name)
     chunks = spark.table(name)
