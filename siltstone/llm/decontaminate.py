@@ -13,7 +13,6 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +26,10 @@ _FOLD = bytes(
     for b in range(256)
 )
 BLOCK_WORDS = 50_000
-FOUND = "struct<n_words: bigint, spans: array<struct<a: int, b: int>>, items: array<string>>"
+FOUND = (
+    "struct<n_words: bigint, spans: array<struct<a: int, b: int>>, items: array<string>, "
+    "cleaned: string>"
+)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -188,6 +190,7 @@ def find_leaks(
     text_column: str = "text",
     item_id_column: str = "item_id",
     item_text_column: str = "text",
+    min_span: int | None = None,
 ) -> DataFrame:
     """Each row of ``docs`` with what it shares with the items.
 
@@ -196,7 +199,8 @@ def find_leaks(
     are hit), items (ids found, as text, sorted). Words are runs of ASCII letters and
     digits and of other characters than ASCII, with A-Z lowered; a null has none. An
     item without id takes part, but is not listed; items with equal ids are listed
-    once. Rows with equal ids are separate.
+    once. Rows with equal ids are separate. With ``min_span``, a column cleaned has the
+    text without spans of that many words or more; it is null where there is none.
     """
     if window < 2 or block_words < 2 * window:
         raise ValueError("a window has two words at least, a block two windows")
@@ -214,17 +218,20 @@ def find_leaks(
     blocks = item_blocks(items, window, block_words, item_id_column, item_text_column)
     block = next(blocks, [])
     while True:
+        following = next(blocks, None)
         # Plain values: executors need not have this package to read a broadcast.
         shared = share(tuple(vars(Automaton.build(block, window)).values()))
-        frame = frame.withColumn("found", matcher(shared)("text", "found"))
-        block = next(blocks, None)
-        if block is None:
+        match = matcher(shared, min_span if following is None else None)
+        frame = frame.withColumn("found", match("text", "found"))
+        if following is None:
             break
         frame = materialize(frame)  # one automaton at a time in a task
-    return frame.select("row", "text", "found.n_words", "found.spans", "found.items")
+        block = following
+    fields = ["n_words", "spans", "items", *["cleaned"] * (min_span is not None)]
+    return frame.select("row", "text", *[f"found.{f}" for f in fields])
 
 
-def matcher(shared):
+def matcher(shared, min_span: int | None):
     """Function of a text and of what earlier blocks found in it; ``FOUND``.
 
     Only these columns go to Python; the others of a row stay where they are.
@@ -235,19 +242,27 @@ def matcher(shared):
         automaton = Automaton(*shared.value)
         rows = []
         for text, old in zip(texts, before):
-            words = words_of(text.as_py())
+            text = text.as_py()
+            words = words_of(text)
             hit, found = automaton.scan(words)
             found = {str(i) for i in found if i is not None}
             if (old := old.as_py()) is not None:
                 hit += [(s["a"], s["b"]) for s in old["spans"]]
                 found |= set(old["items"])
-            spans = [{"a": a, "b": b} for a, b in merge(hit)]
-            rows.append({"n_words": len(words), "spans": spans, "items": sorted(found)})
+            spans, cleaned = merge(hit), None
+            if min_span is not None:
+                long = [(a, b) for a, b in spans if b - a >= min_span]
+                cleaned = without_spans(text, long) if long else None
+            spans = [{"a": a, "b": b} for a, b in spans]
+            rows.append((len(words), spans, sorted(found), cleaned))
         span = pa.struct([("a", pa.int32()), ("b", pa.int32())])
-        kinds = [("n_words", pa.int64()), ("spans", pa.list_(span)), ("items", pa.list_(pa.string()))]
-        return pa.array(rows, pa.struct(kinds))
+        kinds = (pa.int64(), pa.list_(span), pa.list_(pa.string()), pa.string())
+        columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+        return pa.StructArray.from_arrays(columns, names=["n_words", "spans", "items", "cleaned"])
 
-    return match
+    # A deterministic function would be run once for a filter on what it finds and once
+    # more for the rows that pass.
+    return match.asNondeterministic()
 
 
 def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
@@ -277,31 +292,19 @@ def remove_leaks(
     if there, is set to its new length. Documents of which more than ``max_share`` of
     the words are hit go. Others are returned as they are, with their columns.
     """
-    found = find_leaks(docs, items, window, text_column=text_column, **more)
-    found = found.filter(hit_words("spans") <= F.col("n_words") * max_share)
-    leaking = F.exists("spans", lambda s: s["b"] - s["a"] >= min_span)
-
-    @F.pandas_udf("string")
-    def clean(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        def cut(text, found):
-            long = [(s["a"], s["b"]) for s in found if s["b"] - s["a"] >= min_span]
-            return without_spans(text, long) if long else text
-
-        return pd.Series([cut(t, s) for t, s in zip(texts, spans)], dtype=object)
-
-    # Only texts with a leak go to Python a second time.
-    found = found.withColumn("leaking", leaking).withColumn(
-        "cleaned", clean(F.when(F.col("leaking"), F.col("text")), F.col("spans"))
+    found = find_leaks(
+        docs, items, window, text_column=text_column, min_span=min_span, **more
     )
+    found = found.filter(hit_words("spans") <= F.col("n_words") * max_share)
     columns, others = [], [c for c in docs.columns if c != text_column]
     for c in docs.columns:
         if c == text_column:
-            value = F.when(F.col("leaking"), F.col("cleaned")).otherwise(F.col("text"))
+            value = F.coalesce("cleaned", "text")
         else:
             value = F.col(f"row.c{others.index(c)}")
         if c == length_column:
             changed = F.char_length("cleaned").cast(docs.schema[c].dataType)
-            value = F.when(F.col("leaking"), changed).otherwise(value)
+            value = F.coalesce(changed, value)
         columns.append(value.alias(c))
     return found.select(*columns)
 
