@@ -173,7 +173,9 @@ def ingest(
             return report
         table = stored_schema(spark, out.bronze, cfg.fmt, cfg.evolve)
         target = target_schema(spark, schemas.values(), cfg, table)
-        listed = pending.orderBy(BATCH_ID, "file_name").toLocalIterator()
+        # Paths only, in one partition: the iterator runs a job for each.
+        listed = pending.repartition(1).sortWithinPartitions(BATCH_ID, "file_name")
+        listed = listed.toLocalIterator()
         for batch, rows in groupby(listed, key=lambda r: r[BATCH_ID]):
             for n, chunk in enumerate(_chunks(rows, cfg.max_files_per_write)):
                 chosen = [(r["path"], r["footer"]) for r in chunk]
