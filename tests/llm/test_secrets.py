@@ -181,6 +181,29 @@ def test_redaction(spark):
     assert rows[3].text == "[SECRET] x [SECRET]" and rows[3].n_chars == 19
 
 
+def test_one_key_among_many_ordinary_tokens(spark):
+    """Rarer than p-values cut off at 2^-20 could find, which is 1 in 10,486."""
+    draw = random.Random(8)
+    key = token(draw, secrets.ENCODINGS[-1].alphabet, 64)
+    assert slow_p(key) < 0.01 / 100_001
+    words = "andthewordsthatoneiswritinginthistextwithoutanyblankbetweenthemall"
+    docs = spark.range(12_000).select(F.lit(words).alias("text"))
+    docs = docs.union(spark.createDataFrame([(f"a {key} b",)], "text string"))
+    found = secrets.find_secrets(docs).filter(F.size("secrets") > 0).collect()
+    spans = [(r.text, s.kind, s.start, s.end) for r in found for s in r.secrets]
+    assert spans == [(f"a {key} b", "random", 2, 66)]
+    assert secrets.step_up({0: 100_000, 140: 1}, 0.01) == 94
+
+
+def test_far_tail(spark):
+    z = [-4.9, -5.1, -8.0, -20.0, -25.0]
+    df = spark.createDataFrame([(x,) for x in z], "z double")
+    got = [r[0] for r in df.select(secrets.normal_below(F.col("z"))).collect()]
+    want = [math.erfc(-x / math.sqrt(2)) / 2 for x in z]
+    assert got[0] == pytest.approx(want[0], abs=1e-7)
+    assert got[1:] == pytest.approx(want[1:], rel=1e-4)
+
+
 @pytest.mark.parametrize("counts", [{}, {0: 50}, {80: 3, 1: 5}, {40: 1, 26: 1, 10: 98}])
 def test_step_up(counts):
     found = secrets.step_up(dict(counts), 0.01)
