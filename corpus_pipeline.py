@@ -21,13 +21,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language cannot be told.
 
     The declared language is the lang column and the host the source. Rejected are
-    texts without letters, and those for which no language is likelier than not.
+    texts without letters, those for which no language is likelier than not, and those
+    that are unlike the labelled texts of every language, whatever is declared.
     """
     model = langid.fit(docs)
     found = langid.identify(
         docs, model, F.col("text"), declared=F.col("lang"), host=F.col("source")
     )
-    kept = found.filter(F.col("posterior") >= MIN_POSTERIOR)
+    kept = found.filter((F.col("posterior") >= MIN_POSTERIOR) & F.col("known"))
     return kept.select(
         *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)]
     )

@@ -4,7 +4,9 @@ The text's likelihood comes from byte trigrams. The language that the markup dec
 address's suffix and the host add to it: how far a declaration can be trusted and what
 a suffix and a host speak is counted over the table by grouped aggregation, with the
 text's own opinion as weights. Host priors are smoothed towards their domain's, and
-these towards the whole table's.
+these towards the whole table's. The posterior is among the known labels only; whether a
+text is in any of them is told by how likely its trigrams are, held against what the
+labelled texts have and what letters drawn at random would have.
 """
 
 from __future__ import annotations
@@ -31,26 +33,54 @@ _BLANKS = re.compile(rb" {2,}")
 SUFFIX_LANGUAGES = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "uk": "en"}
 
 
-def trigrams(text: str) -> np.ndarray:
-    """The bucket of each byte trigram of the text's letters, lowered; words are padded.
+def letters(text: str) -> np.ndarray:
+    """The bytes of the text's letters, lowered, with a blank around each word.
 
     White space, digits and punctuation count as one blank.
     """
     raw = _BLANKS.sub(b" ", text.lower().encode("utf-8", "replace").translate(_KEEP))
     raw = raw.strip(b" ")
-    if not raw:
+    return np.frombuffer(b" " + raw + b" " if raw else b"", np.uint8)
+
+
+def trigrams(text: str) -> np.ndarray:
+    """The bucket of each byte trigram of the text's letters."""
+    return _buckets(letters(text))
+
+
+def _buckets(found: np.ndarray) -> np.ndarray:
+    if not len(found):
         return np.zeros(0, np.int64)
-    codes = np.frombuffer(b" " + raw + b" ", np.uint8).astype(np.uint32)
+    codes = found.astype(np.uint32)
     mixed = codes[:-2] * np.uint32(65536) + codes[1:-1] * np.uint32(256) + codes[2:]
     return ((mixed * np.uint32(2654435761)) >> np.uint32(17)).astype(np.int64)
 
 
 @dataclass(frozen=True)
 class TextModel:
-    """Log probabilities of the buckets, a row per label."""
+    """Log probabilities of the buckets, a row per label.
+
+    ``usual`` has the mean log likelihood per trigram of each label's own texts, and
+    ``gaps`` how much lower it is for bytes drawn at random as often as all labels' texts
+    have them. A gap is infinite if the label has too few texts to tell.
+    """
 
     labels: tuple[str, ...]
     weights: np.ndarray
+    usual: np.ndarray
+    gaps: np.ndarray
+
+    def strangeness(self, mean: np.ndarray, n: int) -> float | None:
+        """0 for a text as usual in the label it fits best, 1 for one of random letters.
+
+        Texts of less than 128 trigrams vary more, and count as less strange. Null if no
+        label can tell.
+        """
+        told = np.isfinite(self.gaps)
+        if not n or not told.any():
+            return None
+        off = (self.usual[told] - mean[told]) / self.gaps[told]
+        return float(off.min() * min(1.0, n / 128) ** 0.5)
 
     def mean_log_likelihood(self, text: str) -> tuple[np.ndarray, int]:
         total, n = np.zeros(len(self.labels)), 0
@@ -75,7 +105,7 @@ def fit(
 
     The sample is about ``rows_per_label`` rows of each label, chosen by a hash of their
     ids. Rows without id, label or text do not count. The driver gets a row per label and bucket
-    at most.
+    at most. A text's own trigrams are left out where it shows what is usual.
     """
     short_batches(labelled)
     rows = labelled.select(
@@ -86,13 +116,16 @@ def fit(
     chosen = sampled(rows.select("id", "label"), rows_per_label, max_labels)
     # About rows_per_label ids for each of max_labels labels at most.
     sample = rows.join(F.broadcast(chosen), ["id", "label"], "left_semi")
+    sample = materialize(sample.select("text", "label"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
             for text, label in zip(*(c.to_pylist() for c in batch.columns)):
-                own = totals.setdefault(label, np.zeros(BUCKETS, np.int64))
-                own += np.bincount(trigrams(text), minlength=BUCKETS)
+                own = totals.setdefault(label, np.zeros(BUCKETS + 256, np.int64))
+                found = letters(text)
+                own[:BUCKETS] += np.bincount(_buckets(found), minlength=BUCKETS)
+                own[BUCKETS:] += np.bincount(found, minlength=256)
         for label, own in totals.items():
             at = np.flatnonzero(own)
             columns = [pa.array([label] * len(at)), pa.array(at), pa.array(own[at])]
@@ -106,12 +139,53 @@ def fit(
         .toArrow()
     )
     labels = sorted(set(counts.column("label").to_pylist()))
-    table = np.full((len(labels), BUCKETS), smoothing)
+    table = np.zeros((len(labels), BUCKETS + 256))
     place = {label: i for i, label in enumerate(labels)}
     rows_at = [place[x] for x in counts.column("label").to_pylist()]
     table[rows_at, counts.column("bucket").to_numpy()] += counts.column("n").to_numpy()
-    weights = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32)
-    return TextModel(tuple(labels), weights)
+    table, by_byte = table[:, :BUCKETS], table[:, BUCKETS:].sum(axis=0)
+    smooth = table + smoothing
+    weights = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
+    usual, gaps = np.zeros(len(labels)), np.full(len(labels), np.inf)
+    if by_byte.sum():
+        shared = sample.sparkSession.sparkContext.broadcast((place, table))
+        drawn = np.random.default_rng(0).choice(256, 1 << 17, p=by_byte / by_byte.sum())
+        random = weights[:, _buckets(drawn)].mean(axis=1, dtype=np.float64)
+        for label, middle, texts in _own_likelihoods(sample, shared, smoothing):
+            i = place[label]
+            usual[i] = middle
+            if texts >= MIN_TEXTS and middle - random[i] >= MIN_GAP:
+                gaps[i] = middle - random[i]
+    return TextModel(tuple(labels), weights, usual, gaps)
+
+
+# Of texts in a label, and of nats a trigram between them and random letters, if the label
+# is to tell strange texts.
+MIN_TEXTS = 20
+MIN_GAP = 1.0
+
+
+def _own_likelihoods(sample: DataFrame, shared, smoothing: float) -> list:
+    """By label: the median of its texts' mean log likelihoods, and how many texts."""
+
+    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, table = shared.value
+        totals = table.sum(axis=1) + smoothing * BUCKETS
+        for batch in batches:
+            labels, means = [], []
+            for text, label in zip(*(c.to_pylist() for c in batch.columns)):
+                at, n = np.unique(trigrams(text), return_counts=True)
+                if not len(at):
+                    continue
+                others = table[place[label], at] - n + smoothing
+                left = totals[place[label]] - n.sum()
+                labels.append(label)
+                means.append(float((n * np.log(others / left)).sum() / n.sum()))
+            columns = [pa.array(labels, pa.string()), pa.array(means, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["label", "mean"])
+
+    found = sample.select("text", "label").mapInArrow(mean, "label string, mean double")
+    return found.groupBy("label").agg(F.median("mean"), F.count(F.lit(1))).collect()
 
 
 # --- evidence ----------------------------------------------------------------
@@ -138,23 +212,31 @@ def visible_text(html: Column) -> Column:
 
 
 def text_scores(spark: SparkSession, model: TextModel, enough: int):
-    """Function of a text column: (log_text, one number per label, and n_grams).
+    """Function of a text column: (log_text, one number per label, n_grams, strangeness).
 
     Trigrams overlap, so the mean log likelihood counts as that of ``enough`` at most.
     Only the text goes to Python; the other columns of a row stay where they are.
     """
-    shared = spark.sparkContext.broadcast((model.labels, model.weights))
+    shared = spark.sparkContext.broadcast(
+        (model.labels, model.weights, model.usual, model.gaps)
+    )
 
-    @F.arrow_udf("struct<log_text: array<double>, n_grams: bigint>")
+    @F.arrow_udf("struct<log_text: array<double>, n_grams: bigint, strangeness: double>")
     def score(texts: pa.Array) -> pa.Array:
         own = TextModel(*shared.value)
-        logs, sizes = [], []
+        logs, sizes, strange = [], [], []
         for text in texts:
             mean, n = own.mean_log_likelihood(text.as_py() or "")
             logs.append(mean * min(n, enough))
             sizes.append(n)
-        columns = [pa.array(logs, pa.list_(pa.float64())), pa.array(sizes, pa.int64())]
-        return pa.StructArray.from_arrays(columns, names=["log_text", "n_grams"])
+            strange.append(own.strangeness(mean, n))
+        columns = [
+            pa.array(logs, pa.list_(pa.float64())),
+            pa.array(sizes, pa.int64()),
+            pa.array(strange, pa.float64()),
+        ]
+        names = ["log_text", "n_grams", "strangeness"]
+        return pa.StructArray.from_arrays(columns, names=names)
 
     return score
 
@@ -195,13 +277,17 @@ def identify(
     enough: int = 60,
     strength: float = 10.0,
     suffix_languages: Mapping[str, str] = SUFFIX_LANGUAGES,
+    max_strangeness: float = 0.4,
 ) -> DataFrame:
     """Each row of ``df`` with its language.
 
     Columns: row (a struct c0, c1, ... of the columns of ``df``; null unless ``keep``),
-    language, posterior, text_language, declared, host, n_grams. Language and posterior
+    language, posterior, text_language, declared, host, n_grams, known. Language and posterior
     are null where the text has no letter, or the model no label. Ties go to the first label in
-    alphabetical order. Null declarations and hosts are no evidence. A host's counts
+    alphabetical order. Known is null there as well, and otherwise false where the text is
+    over ``max_strangeness`` in every label, as gibberish and other languages are; the
+    evidence around the text has no say, except that a text stays known if its declared
+    label has too few texts to tell. Null declarations and hosts are no evidence. A host's counts
     leave out the row itself, so that no text supports itself. Rows with equal ids are
     separate rows.
     """
@@ -226,13 +312,14 @@ def identify(
             "declared",
             "host",
             F.lit(0).cast("long").alias("n_grams"),
+            F.lit(None).cast("boolean").alias("known"),
         )
     rows = rows.select(
         "row",
         "declared",
         "host",
         text_scores(df.sparkSession, model, enough)("text").alias("s"),
-    ).select("row", "declared", "host", "s.log_text", "s.n_grams")
+    ).select("row", "declared", "host", "s.log_text", "s.n_grams", "s.strangeness")
     scored = materialize(rows.withColumn("share", softmax(F.col("log_text"))))
     told = scored.filter("n_grams > 0")
 
@@ -314,6 +401,9 @@ def identify(
         return F.element_at(labels, F.array_position(values, F.array_max(values)).cast("int"))
 
     seen = F.col("n_grams") > 0
+    known = F.coalesce(F.col("strangeness") <= max_strangeness, F.lit(True))
+    untold = [x for x, gap in zip(model.labels, model.gaps) if not np.isfinite(gap)]
+    known = known | F.coalesce(F.col("declared").isin(untold), F.lit(False))
     return fused.select(
         F.when(F.lit(keep), F.col("row")).alias("row"),
         F.when(seen, best(F.col("posteriors"))).alias("language"),
@@ -322,4 +412,5 @@ def identify(
         "declared",
         "host",
         "n_grams",
+        F.when(seen, known).alias("known"),
     )

@@ -159,3 +159,36 @@ def test_addresses_and_markup(spark):
     assert (a.host, a.lang) == ("www.example.com", "de")
     assert (b.host, b.lang) == (None, None) and b.text.split() == ["x", "y"]
     assert tuple(c) == (None, None, None)
+
+
+def test_strange_texts_are_not_known(spark, model):
+    """Gibberish, dumps and an unknown language, however declared; clean texts stay."""
+    draw = np.random.default_rng(3)
+
+    def words(alphabet, n):
+        return " ".join("".join(draw.choice(list(alphabet), 6)) for _ in range(n))
+
+    alphabets = ["abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшя", "0123456789abcdef"]
+    junk = [words(a, 80) for a in alphabets for _ in range(20)]
+    rows = [(t, "en", "src0") for t in junk]
+    df = spark.createDataFrame(rows, "text string, lang string, source string")
+    found = langid.identify(df, model, F.col("text"), F.col("lang"), F.col("source")).collect()
+    assert len(found) == len(junk) and not any(r.known for r in found)
+    assert all(r.posterior >= 0.5 for r in found)
+
+    docs = load(spark, SF, "documents")
+    held = docs.filter("doc_id % 3 = 0 and n_chars >= 40")
+    found = langid.identify(held, model, F.col("text"), F.col("lang"))
+    assert found.filter("known").count() >= 0.99 * held.count()
+    three = langid.fit(docs.filter("lang <> 'es'"), 150)
+    spanish = docs.filter("lang = 'es' and n_chars >= 200").withColumn("lang", F.lit("fr"))
+    found = langid.identify(spanish, three, F.col("text"), F.col("lang"))
+    assert found.filter("known").count() <= 0.05 * spanish.count()
+
+
+def test_texts_of_a_rare_label_are_known(spark):
+    docs = load(spark, SF, "documents").select("doc_id", "text", "lang")
+    one = spark.createDataFrame([(-1, "Все люди рождаются свободными и равными", "ru")], docs.schema)
+    docs = docs.unionAll(one)
+    found = langid.identify(docs, langid.fit(docs), F.col("text"), F.col("lang"))
+    assert found.filter("row.c0 = -1").first().known
