@@ -13,6 +13,7 @@ from siltstone.llm import (
     katz,
     langid,
     packing,
+    periodic,
     secrets,
     simhash,
     toxicity,
@@ -124,6 +125,23 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("key", "page_id").drop("url")
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    looped = docs.select("doc_id", periodic.looped_text("doc_id", "text").alias("text"))
+    # The longest run is looked up once, not once for each of its fields.
+    found = periodic.periodic_runs(looped).select("*", periodic.longest_run().alias("best"))
+    return found.select(
+        F.col("row.c0").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        periodic.runs_digest().alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_toxicity,
@@ -136,6 +154,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_language_id,
         op9_nearest_neighbours,
         op10_url_filters,
+        op12_periodic_runs,
     ]
     return {f.__name__: f for f in found}
 
