@@ -36,6 +36,9 @@ PLACED_COLUMNS = (
 )
 _PIECES = [c.split()[0] for c in PIECE_COLUMNS.split(", ")]
 
+# The fast encoder backtracks over white space and fails at some 500,000 characters.
+LONGEST_BLANK = 50_000
+
 
 # --- tokens -----------------------------------------------------------------
 
@@ -48,11 +51,15 @@ def public_encoder(
     The ids are those of the ``tokenizers`` file of that name, without added special
     tokens. They are taken from the same vocabulary by ``tiktoken``, which is four
     times as fast (11.8 against 2.8 MB/s per core); a test compares both. Texts that
-    it refuses, and texts with the special token's string, go through ``tokenizers``.
+    it refuses, texts with the special token's string, and texts with a run of over
+    ``LONGEST_BLANK`` blanks, on which it breaks down, go through ``tokenizers``.
     """
 
+    longest_blank = LONGEST_BLANK
+
     def open_encoder() -> Callable[[str], list[int]]:
         import base64
+        import re
 
         import public_tokenizers
         import tiktoken
@@ -67,9 +74,15 @@ def public_encoder(
             special_tokens={},
         )
         slow: list[Tokenizer] = []
+        blanks = re.compile(r"\s+")
+
+        def has_long_blank(text: str) -> bool:
+            if len(text) <= longest_blank:
+                return False
+            return any(m.end() - m.start() > longest_blank for m in blanks.finditer(text))
 
         def encode(text: str) -> list[int]:
-            if special not in text:
+            if special not in text and not has_long_blank(text):
                 try:
                     return fast.encode_ordinary(text)
                 except ValueError:

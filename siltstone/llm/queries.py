@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm import (
     collision_search,
+    count_packing,
     decontaminate,
     katz,
     langid,
@@ -142,6 +143,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_count_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_packing.pack_by_counts(load(spark, sf_dir, "documents"), 1024)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_toxicity,
@@ -155,6 +160,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_nearest_neighbours,
         op10_url_filters,
         op12_periodic_runs,
+        op13_count_packing,
     ]
     return {f.__name__: f for f in found}
 

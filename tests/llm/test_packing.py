@@ -122,3 +122,9 @@ def test_piece_bounds_cover(spark):
         got = packing.piece_bounds(length, capacity)
         assert sum(n for _, n in got) == length
         assert all(n == capacity for _, n in got[1:])
+
+
+def test_a_million_blanks(spark):
+    texts = [(1, " " * 1_000_000 + "a"), (2, "\n" * 1_000_000), (3, "a\t" + "　 " * 500_000)]
+    rows = packing.pack(spark.createDataFrame(texts, "doc_id long, text string"), 2048).collect()
+    check_packing(rows, texts, 2048)
