@@ -17,6 +17,7 @@ from siltstone.llm import (
     periodic,
     secrets,
     simhash,
+    spelling,
     toxicity,
     url_filter,
     warc,
@@ -126,6 +127,11 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("key", "page_id").drop("url")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.spelling_variants(spelling.count_words(docs, 5, 3, misspell_every=97))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     looped = docs.select("doc_id", periodic.looped_text("doc_id", "text").alias("text"))
@@ -159,6 +165,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_language_id,
         op9_nearest_neighbours,
         op10_url_filters,
+        op11_spelling_variants,
         op12_periodic_runs,
         op13_count_packing,
     ]
