@@ -10,7 +10,9 @@ from taxi_rows import AS_OF, at, raw_frame, trip
 from siltstone.config import GoldColumns
 from siltstone.functions import base_name, decode_path, label_codes
 from siltstone.operators.metrics import Metric, MetricSet, summarize_sets, top_k
+from siltstone.operators import ranking
 from siltstone.operators.ranking import add_ranks
+from siltstone.sources.scratch import materialize
 from siltstone.plans import gold
 from siltstone.plans.gold import (
     category_summary,
@@ -144,20 +146,45 @@ def test_rank_modes_agree(spark, values):
     assert rows(window) == rows(spread)
 
 
-def test_distributed_rank_with_a_hot_value(spark):
-    """A third of the rows share one value; it is joined by broadcast."""
-    v = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 2000)
-    df = spark.range(20_000).select("id", v.alias("v"), (F.col("id") % 10).alias("w"))
-    ranks = {"by_v": "v", "by_w": "w"}
-    assert rows(add_ranks(df, ranks)) == rows(add_ranks(df, ranks, "window"))
+@pytest.fixture
+def small_tasks(monkeypatch):
+    monkeypatch.setattr(ranking, "TASK_ROWS", 100)
 
 
-def test_distributed_rank_has_no_task_for_all_rows(spark):
+def test_distributed_rank_with_a_hot_value(spark, small_tasks):
+    """A third of the rows share one value, and a few are null; both go to several tasks."""
+    third, few = F.col("id") % 3 == 0, F.col("id") % 10 == 1
+    v = F.when(third, F.lit(7)).when(~few, F.col("id") % 2000)
+    df = spark.range(20_000).select("id", v.alias("v"), (F.col("id") % 10).alias("w"))
+    ranks = {"by_v": "v", "by_w": "w", "again": "v"}
+    stored = materialize(df)
+    (plan,) = ranking.plan_ranks(stored, ["v"], 20_000)
+    assert {v for v, n in plan.spread if n > 1} == {7, None} and len(plan.cuts) > 50
+    assert plan.offsets == sorted(plan.offsets) and plan.offsets[-1] > 1000
+    want = rows(add_ranks(df, ranks, "window"))
+    assert rows(add_ranks(df, ranks)) == want
+    assert rows(add_ranks(stored, ranks, stored=True)) == want
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(12,2)", "date", "string"])
+def test_distributed_rank_of_other_types(spark, small_tasks, kind):
+    number = (F.col("id") * 7919 % 3001 - 1500) / 4
+    v = {
+        "double": F.when(F.col("id") == 5, float("nan")).otherwise(number),
+        "date": F.date_add(F.lit(dt.date(2024, 1, 1)), number.cast("int")),
+    }.get(kind, number.cast(kind))
+    df = spark.range(3500).select("id", F.when(F.col("id") != 9, v).alias("v.1"))
+    ranks = {"r": "v.1"}
+    renamed = df.toDF("id", "v")
+    want = rows(add_ranks(renamed, {"r": "v"}, "window"))
+    got = rows(add_ranks(df, ranks).toDF("id", "v", "r"))
+    assert str(got) == str(want)  # NaN equals itself as text only
+
+
+def test_distributed_rank_has_no_task_for_all_rows(spark, small_tasks):
     df = spark.range(5000).select("id", (F.col("id") % 700).alias("v"))
     plan = physical(add_ranks(df, {"r": "v"}, "distributed"))
-    # What goes to one task is a row per partition of the distinct values.
-    below = plan.split("SinglePartition")[1:]
-    assert below and all("keys=[_part" in p.split("FileScan")[0] for p in below)
+    assert "SinglePartition" not in plan and "Window" in plan
     with pytest.raises(ValueError, match="rank mode"):
         add_ranks(df, {"r": "v"}, "auto")
 
