@@ -348,6 +348,21 @@ union all select 'batch_2', count(*) from lineitem""",
             _LINES,
             f"select {_RAW_LINES.format(tax='l_tax')}, 'batch_1' as _batch_id from lines",
         ),
+        "ingest_stream_drift": _with(
+            _LINES,
+            f"""select {_RAW_LINES.format(tax=_NO_LATE_TAX)},
+            'batch_1-00000000' as _batch_id from lines""",
+        ),
+        "gold_snapshot": _with(
+            _late_tax(_SILVER),
+            """
+select "table", count(*) as rows, cast(sum(trips) as bigint) as trips from (
+    select 'daily_summary' as "table", count(*) as trips from silver group by ship_date
+    union all select 'location_summary', count(*) from silver group by supplier_id
+    union all select 'monthly_trends', count(*) from silver group by ship_year, ship_month
+    union all select 'payment_type_summary', count(*) from silver group by line_number)
+group by "table\"""",
+        ),
         "rejected_rows": _with(
             _late_tax(_CHECKED),
             f"{silver_columns.replace(' from', '')}, 'batch_1' as _batch_id"

@@ -7,6 +7,7 @@ There is no trip table among the test tables; order lines stand in for trips
 from __future__ import annotations
 
 import dataclasses
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -43,12 +44,21 @@ from siltstone.plans.gold import (
     monthly_trends,
 )
 from siltstone.plans.run import run_pipeline, run_report
-from siltstone.plans.stages import clean, clean_rows, conform, ingest, read_rejects
+from siltstone.plans.stages import (
+    aggregate,
+    clean,
+    clean_rows,
+    conform,
+    ingest,
+    read_rejects,
+)
 from siltstone.presets import PAYMENT_LABELS, lineitem
 from siltstone.sources.files import file_names, list_source_files, select_new_files
+from siltstone.sources.paths import delete_folder
 from siltstone.sources.scratch import scratch_dir
+from siltstone.sources.snapshots import read_snapshot
 from siltstone.sources.tables import read_table
-from siltstone.streaming.file_stream import ingest_stream
+from siltstone.streaming.file_stream import ingest_drifting_stream, ingest_stream
 
 # Latest event time the not_future rule accepts; part of the data lies after it.
 AS_OF = "2000-06-30 00:00:00"
@@ -473,6 +483,35 @@ def q_ingest_stream(spark, sf_dir):
     return _bronze(spark, cfg)
 
 
+def q_ingest_stream_drift(spark, sf_dir):
+    """Drifting files through a stream whose only micro-batch is then run once more.
+
+    Its commit is taken back, as if the run had ended just before it.
+    """
+    cfg = drifting_files(spark, sf_dir)
+    ingest_drifting_stream(spark, cfg, "batch_1")
+    delete_folder(spark, f"{cfg.layout.stream_checkpoint}/commits/0")
+    ingest_drifting_stream(spark, cfg, "batch_2")
+    return _bronze(spark, cfg)
+
+
+def q_gold_snapshot(spark, sf_dir):
+    """Rows and trips of the summary tables, read as of the last of two runs."""
+    cfg = drifting_files(spark, sf_dir)
+    ingest(spark, cfg, "batch_1")
+    for as_of in ("1995-01-01 00:00:00", AS_OF):
+        clean(spark, cfg, as_of)
+        aggregate(spark, cfg)
+    tables = read_snapshot(spark, cfg.layout.group("aggregate"))
+    counts = [
+        table.agg(F.count(F.lit(1)).alias("rows"), F.sum("trip_count").alias("trips")).select(
+            F.lit(name).alias("table"), "rows", "trips"
+        )
+        for name, table in tables.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
 def q_rejected_rows(spark, sf_dir):
     """The stored quarantine of a clean run, with its ingest metadata."""
     cfg = drifting_files(spark, sf_dir)

@@ -67,6 +67,8 @@ class Layout:
     rejects: str
     gold: str
     stream_checkpoint: str
+    # Where the stages that write several tables publish them; beside gold by default.
+    snapshots: str = ""
 
     @classmethod
     def under(cls, base: str, raw: str | None = None) -> Layout:
@@ -79,8 +81,13 @@ class Layout:
             rejects=f"{base}/silver/trips_rejected",
             gold=f"{base}/gold",
             stream_checkpoint=f"{base}/checkpoints/bronze_stream",
+            snapshots=f"{base}/snapshots",
         )
 
+    def group(self, stage: str) -> str:
+        """The folder in which a stage publishes its tables."""
+        return f"{self.snapshots or self.gold + '-snapshots'}/{stage}"
+
     def gold_table(self, name: str) -> str:
         return f"{self.gold}/{name}"
 

@@ -52,10 +52,10 @@ from siltstone.sources.files import (
     unfinished_files,
 )
 from siltstone.sources.scratch import materialize, scratch_scope
+from siltstone.sources.snapshots import publish_together
 from siltstone.sources.tables import (
     append_batch,
     fit_to_table,
-    publish,
     read_batches,
     read_table,
     stored_batches,
@@ -156,13 +156,25 @@ def ingest(
     if not re.fullmatch(r"[\w.-]+", batch_id, re.ASCII):
         raise ValueError(f"batch id {batch_id!r} is not a plain folder name")
     files = list_source_files(spark, out.raw, cfg.glob)
+    taken = stored_batches(spark, out.bronze, cfg.fmt)
+    taken |= stored_batches(spark, out.ledger, cfg.fmt)
+    return ingest_files(spark, cfg, files, free_id(taken, batch_id))
+
+
+def ingest_files(
+    spark: SparkSession, cfg: RunConfig, files: DataFrame, batch_id: str
+) -> list[StageRow]:
+    """Append the rows of those of some files (path, file_name) that bronze lacks.
+
+    They go into the batch of that id, except for files of an unfinished batch: these
+    are written again under its own.
+    """
+    out = cfg.layout
     known = ingested_files(spark, out.bronze, out.ledger, cfg.fmt)
     again = unfinished_files(spark, out.bronze, out.ledger, cfg.fmt)
-    stored = stored_batches(spark, out.bronze, cfg.fmt)
-    this_id = free_id(stored | stored_batches(spark, out.ledger, cfg.fmt), batch_id)
     unseen = select_new_files(files, known).select("path", "file_name")
     unseen = unseen.join(again, "file_name", "left").select(
-        "path", "file_name", F.coalesce(BATCH_ID, F.lit(this_id)).alias(BATCH_ID)
+        "path", "file_name", F.coalesce(BATCH_ID, F.lit(batch_id)).alias(BATCH_ID)
     )
     report = []
     with scratch_scope(spark):
@@ -271,8 +283,9 @@ def clean(
     silver_folder, written = write_with_counts(
         silver, out.silver, cfg.fmt, partition_by=cfg.silver_partition_by
     )
-    # Both tables change only now that both are written.
-    publish(spark, {out.rejects: rejects_folder, out.silver: silver_folder})
+    # Both tables change now that both are written, and as one.
+    tables = {"rejects": (out.rejects, rejects_folder), "silver": (out.silver, silver_folder)}
+    publish_together(spark, out.group("clean"), tables)
     return [
         StageRow("clean", QUARANTINE, seen, rejects[QUARANTINE]),
         StageRow("clean", UNROUTABLE, seen, rejects[UNROUTABLE]),
@@ -322,14 +335,16 @@ def validate(spark: SparkSession, cfg: RunConfig) -> list[StageRow]:
 def aggregate(spark: SparkSession, cfg: RunConfig) -> list[StageRow]:
     """Rebuild the four summary tables from one scan of the clean table.
 
-    They change together, when all are written.
+    They change as one, when all are written; ``read_snapshot`` of the stage's group
+    reads them as of one run.
     """
     silver = read_table(spark, cfg.layout.silver, cfg.fmt)
-    report, folders = [], {}
+    report, written = [], {}
     with scratch_scope(spark):
         for name, table in gold_tables(silver, cfg.spec.gold).items():
             path = cfg.layout.gold_table(name)
-            folders[path], counts = write_with_counts(table, path, cfg.fmt)
+            folder, counts = write_with_counts(table, path, cfg.fmt)
+            written[name] = (path, folder)
             report.append(StageRow("aggregate", name, None, counts["rows"]))
-        publish(spark, folders)
+        publish_together(spark, cfg.layout.group("aggregate"), written)
     return report

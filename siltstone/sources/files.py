@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.types import StructType
 
 from siltstone.config import BATCH_ID, SOURCE_FILE
@@ -15,6 +16,10 @@ from siltstone.operators.schema import lowercase_columns
 from siltstone.sources.paths import qualified
 from siltstone.sources.tables import read_batches, read_table, stored_batches
 
+# What Spark's reader of whole files gives; the content is not read unless selected.
+BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
+
+
 def list_source_files(
     spark: SparkSession, directory: str, glob: str = "*.parquet"
 ) -> DataFrame:
@@ -22,11 +27,30 @@ def list_source_files(
 
     The file contents are not read.
     """
+    return _files_in(spark, spark.read, directory, glob)
+
+
+def stream_source_files(
+    spark: SparkSession, directory: str, glob: str, files_per_batch: int
+) -> DataFrame:
+    """The same as a stream that offers each file once, some files at a time."""
+    reader = spark.readStream.schema(BINARY_FILE).option(
+        "maxFilesPerTrigger", files_per_batch
+    )
+    return _files_in(spark, reader, directory, glob)
+
+
+def _files_in(
+    spark: SparkSession,
+    reader: DataFrameReader | DataStreamReader,
+    directory: str,
+    glob: str,
+) -> DataFrame:
     # Without the recursive lookup Spark would take folders named key=value for
     # partitions, and leave out the files beside them.
     here = qualified(spark, directory).rstrip("/")
     return (
-        spark.read.format("binaryFile")
+        reader.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", "true")
         .load(directory)

@@ -48,3 +48,23 @@ def create_empty(spark: SparkSession, path: str) -> None:
     """Make an empty file that must not exist yet."""
     filesystem, target = _filesystem(spark, path)
     filesystem.create(target, False).close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Make a small text file that must not exist yet."""
+    filesystem, target = _filesystem(spark, path)
+    stream = filesystem.create(target, False)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    filesystem, target = _filesystem(spark, path)
+    stream = filesystem.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()

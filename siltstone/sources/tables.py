@@ -11,20 +11,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NullType, StringType, StructField, StructType
 
 from siltstone.config import BATCH_ID
-from siltstone.sources.paths import (
-    child_names,
-    create_empty,
-    delete_folder,
-    path_exists,
+from siltstone.sources.paths import child_names, delete_folder, path_exists
+from siltstone.sources.snapshots import (
+    CURRENT,
+    SnapshotError,
+    current_folder,
+    group_of,
+    next_marker,
+    versions,
 )
 
 # Formats that keep each batch in a folder of its own and nothing elsewhere.
 FOLDER_FORMATS = ("parquet", "orc")
 
-# An overwritten table keeps each version in a folder, and an empty file whose name
-# numbers the version that counts.
-CURRENT = "_current."
-
 
 class SchemaDriftError(ValueError):
     """A batch does not fit the stored table."""
@@ -50,18 +49,6 @@ def is_stream_table(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_spark_metadata")
 
 
-def _versions(names: Collection[str]) -> list[tuple[int, str]]:
-    """(number, folder) of the published versions, oldest first."""
-    found = [n.removeprefix(CURRENT).split(".", 1) for n in names if n.startswith(CURRENT)]
-    return sorted((int(number), folder) for number, folder in found)
-
-
-def current_folder(spark: SparkSession, path: str) -> str:
-    """Where the rows of the table at ``path`` are: its last version, or itself."""
-    versions = _versions(child_names(spark, path))
-    return f"{path}/{versions[-1][1]}" if versions else path
-
-
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", merge: bool = False
 ) -> DataFrame:
@@ -139,30 +126,29 @@ def write_version(
     return folder
 
 
-def publish(spark: SparkSession, written: Mapping[str, str]) -> None:
-    """Make the written version of each table the one that counts.
+def publish(spark: SparkSession, path: str, folder: str) -> None:
+    """Make a written version of the table at ``path`` the one that counts.
 
-    Creating a marker is atomic; several tables change one after the other. What a
-    running reader may still need, the version before, is deleted by the next one;
-    so are versions that were never published.
+    Creating a marker is atomic. What a running reader may still need, the version
+    before, is deleted by the next one; so are versions that were never published.
+    Tables of a group change with it, by ``publish_together``.
     """
-    before = {path: _versions(child_names(spark, path)) for path in written}
-    for path, folder in written.items():
-        number = before[path][-1][0] + 1 if before[path] else 1
-        create_empty(spark, f"{path}/{CURRENT}{number:08d}.{folder}")
-    for path, folder in written.items():
-        keep = {folder, *(f for _, f in before[path][-1:])}
-        for name in child_names(spark, path):
-            stale = name.split(".", 2)[-1] if name.startswith(CURRENT) else name
-            if stale not in keep:
-                delete_folder(spark, f"{path}/{name}")
+    if group_of(spark, path):
+        raise SnapshotError(f"{path} is published with its group")
+    before = versions(child_names(spark, path))
+    next_marker(spark, path, folder)
+    keep = {folder, *(f for _, f in before[-1:])}
+    for name in child_names(spark, path):
+        stale = name.split(".", 2)[-1] if name.startswith(CURRENT) else name
+        if stale not in keep:
+            delete_folder(spark, f"{path}/{name}")
 
 
 def overwrite_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> None:
     """Replace the table at ``path``. If the write fails, the old one stays."""
-    publish(df.sparkSession, {path: write_version(df, path, fmt, partition_by)})
+    publish(df.sparkSession, path, write_version(df, path, fmt, partition_by))
 
 
 def fit_to_table(df: DataFrame, target: StructType, evolve: bool = False) -> DataFrame:
@@ -259,5 +245,5 @@ def overwrite_with_counts(
 ) -> dict[str, int]:
     """``overwrite_table`` that also returns ``rows`` and further aggregates."""
     folder, found = write_with_counts(df, path, fmt, counts)
-    publish(df.sparkSession, {path: folder})
+    publish(df.sparkSession, path, folder)
     return found

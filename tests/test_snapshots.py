@@ -1,0 +1,133 @@
+import pytest
+
+from siltstone.sources import snapshots
+from siltstone.sources.paths import child_names, create_empty, write_small
+from siltstone.sources.snapshots import (
+    SnapshotError,
+    publish_together,
+    read_snapshot,
+)
+from siltstone.sources.tables import (
+    overwrite_table,
+    read_table,
+    table_exists,
+    write_version,
+)
+
+
+class Lake:
+    """Three tables in one group, each holding the number of the run that wrote it."""
+
+    def __init__(self, spark, base):
+        self.spark, self.group = spark, f"{base}/group"
+        self.paths = {n: f"{base}/{n}" for n in "abc"}
+
+    def write(self, run, names="abc"):
+        df = self.spark.createDataFrame([(run,)], "run int")
+        return {n: (self.paths[n], write_version(df, self.paths[n])) for n in names}
+
+    def publish(self, run, names="abc"):
+        publish_together(self.spark, self.group, self.write(run, names))
+
+    def seen(self):
+        """The run of each table, read by its own path and with its group."""
+        alone = {n: self.run_of(read_table(self.spark, p)) for n, p in self.paths.items()}
+        together = read_snapshot(self.spark, self.group)
+        assert {n: self.run_of(df) for n, df in together.items()} == alone
+        return "".join(str(alone[n]) for n in "abc")
+
+    @staticmethod
+    def run_of(df):
+        return df.first()["run"]
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    return Lake(spark, tmp_path)
+
+
+def test_tables_change_together(spark, lake):
+    assert not table_exists(spark, lake.paths["a"])
+    lake.publish(1)
+    assert lake.seen() == "111"
+    lake.publish(2)
+    assert lake.seen() == "222"
+    lake.publish(3, "b")
+    assert lake.seen() == "232"
+
+
+@pytest.mark.parametrize("step", ["write_small", "next_marker", "_join"])
+@pytest.mark.parametrize("first", [True, False])
+def test_a_failure_leaves_all_tables_on_one_run(spark, lake, monkeypatch, step, first):
+    if not first:
+        lake.publish(1)
+    calls = []
+    real = getattr(snapshots, step)
+
+    def stopped(*args):
+        # The first call of a step with several passes, so that half of it is done.
+        calls.append(args)
+        if len(calls) > 1 or step == "next_marker":
+            raise OSError("stopped")
+        return real(*args)
+
+    written = lake.write(2)
+    with monkeypatch.context() as m:
+        m.setattr(snapshots, step, stopped)
+        if step == "write_small" and not first:
+            calls.append(None)
+        with pytest.raises(OSError):
+            publish_together(spark, lake.group, written)
+    if first:
+        assert not any(table_exists(spark, p) for p in lake.paths.values())
+        with pytest.raises(SnapshotError):
+            read_snapshot(spark, lake.group)
+    else:
+        assert lake.seen() == "111"
+    lake.publish(3)
+    assert lake.seen() == "333"
+    # What was written and never published is gone.
+    assert {len(child_names(spark, p)) for p in lake.paths.values()} <= {2, 3}
+
+
+def test_a_reader_keeps_its_run_while_the_next_is_published(spark, lake):
+    lake.publish(1)
+    frames = read_snapshot(spark, lake.group)
+    lake.publish(2)
+    assert {n: lake.run_of(df) for n, df in frames.items()} == dict.fromkeys("abc", 1)
+    lake.publish(3)
+    folders = [n for n in child_names(spark, lake.paths["a"]) if n.startswith("v-")]
+    assert len(folders) == 2
+    assert len([n for n in child_names(spark, lake.group) if n.startswith("m-")]) == 2
+
+
+def test_tables_that_had_versions_of_their_own(spark, lake):
+    for path in lake.paths.values():
+        overwrite_table(spark.createDataFrame([(7,)], "run int"), path)
+    old = read_table(spark, lake.paths["a"])
+    lake.publish(8)
+    assert lake.seen() == "888" and lake.run_of(old) == 7
+    lake.publish(9)
+    assert lake.seen() == "999"
+    assert not [n for n in child_names(spark, lake.paths["a"]) if n.startswith("_current")]
+
+
+def test_a_table_belongs_to_one_group(spark, lake, tmp_path):
+    lake.publish(1)
+    with pytest.raises(SnapshotError, match="group"):
+        overwrite_table(spark.createDataFrame([(2,)], "run int"), lake.paths["a"])
+    written = lake.write(2)
+    with pytest.raises(SnapshotError, match="belongs"):
+        publish_together(spark, f"{tmp_path}/other", written)
+    with pytest.raises(SnapshotError, match="published"):
+        read_snapshot(spark, lake.group, tables=["a", "z"])
+    assert lake.seen() == "111"
+
+
+def test_an_unfinished_member_file_is_written_again(spark, lake):
+    written = lake.write(1)
+    create_empty(spark, f"{lake.paths['a']}/{snapshots.MEMBER}")
+    write_small(spark, f"{lake.paths['b']}/{snapshots.MEMBER}", '{"group": ')
+    assert not table_exists(spark, lake.paths["a"])
+    publish_together(spark, lake.group, written)
+    assert lake.seen() == "111"
