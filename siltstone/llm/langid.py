@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.tables import materialize, sampled, short_batches
+from siltstone.llm.tables import label_sizes, materialize, sampled, short_batches
 
 BUCKETS = 1 << 15
 _KEEP = bytes(
@@ -62,13 +62,15 @@ class TextModel:
 
     ``usual`` has the mean log likelihood per trigram of each label's own texts, and
     ``gaps`` how much lower it is for bytes drawn at random as often as all labels' texts
-    have them. A gap is infinite if the label has too few texts to tell.
+    have them. A gap is infinite if the label has too few texts to tell. ``more_labels``
+    says that there were more labels than the model has.
     """
 
     labels: tuple[str, ...]
     weights: np.ndarray
     usual: np.ndarray
     gaps: np.ndarray
+    more_labels: bool = False
 
     def strangeness(self, mean: np.ndarray, n: int) -> float | None:
         """0 for a text as usual in the label it fits best, 1 for one of random letters.
@@ -103,8 +105,8 @@ def fit(
 ) -> TextModel:
     """Trigram counts by label over a bounded sample of labelled rows.
 
-    The sample is about ``rows_per_label`` rows of each label, chosen by a hash of their
-    ids. Rows without id, label or text do not count. The driver gets a row per label and bucket
+    The sample is about ``rows_per_label`` rows of each of the ``max_labels`` labels with
+    most rows, chosen by a hash of their ids; the model remembers if there were more. Rows without id, label or text do not count. The driver gets a row per label and bucket
     at most. A text's own trigrams are left out where it shows what is usual.
     """
     short_batches(labelled)
@@ -113,7 +115,9 @@ def fit(
         F.col(text_column).cast("string").alias("text"),
         F.lower(label_column).alias("label"),
     ).dropna()
-    chosen = sampled(rows.select("id", "label"), rows_per_label, max_labels)
+    ids = rows.select("id", "label")
+    sizes, more = label_sizes(ids, max_labels)
+    chosen = sampled(ids, rows_per_label, sizes)
     # About rows_per_label ids for each of max_labels labels at most.
     sample = rows.join(F.broadcast(chosen), ["id", "label"], "left_semi")
     sample = materialize(sample.select("text", "label"))
@@ -156,7 +160,7 @@ def fit(
             usual[i] = middle
             if texts >= MIN_TEXTS and middle - random[i] >= MIN_GAP:
                 gaps[i] = middle - random[i]
-    return TextModel(tuple(labels), weights, usual, gaps)
+    return TextModel(tuple(labels), weights, usual, gaps, more)
 
 
 # Of texts in a label, and of nats a trigram between them and random letters, if the label
@@ -200,14 +204,16 @@ def url_host(url: Column) -> Column:
 
 def declared_language(html: Column) -> Column:
     """Primary subtag of the lang attribute of the html element, or null."""
-    pattern = r"""(?i)<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z]+)"""
+    pattern = r"""(?i)<html\b[^<>]*?\blang\s*=\s*["']?([A-Za-z]+)"""
     found = F.lower(F.regexp_extract(html, pattern, 1))
     return F.when(found != "", found)
 
 
 def visible_text(html: Column) -> Column:
     """What is left of a page without scripts, styles, comments and tags."""
-    hidden = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>"
+    # Each opener is looked for once: one that is not closed hides the rest, as in a
+    # browser, and a tag ends at the next one's start.
+    hidden = r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>"
     return F.regexp_replace(html, hidden, " ")
 
 
@@ -287,7 +293,7 @@ def identify(
     alphabetical order. Known is null there as well, and otherwise false where the text is
     over ``max_strangeness`` in every label, as gibberish and other languages are; the
     evidence around the text has no say, except that a text stays known if its declared
-    label has too few texts to tell. Null declarations and hosts are no evidence. A host's counts
+    label has too few texts to tell, or may be one that the model's bound left out. Null declarations and hosts are no evidence. A host's counts
     leave out the row itself, so that no text supports itself. Rows with equal ids are
     separate rows.
     """
@@ -333,15 +339,16 @@ def identify(
     heard = np.zeros(n)
     for word, sums in by_said.items():
         heard = heard + np.array(sums) if word is not None else heard
-    logs = F.when(F.col("declared").isNull(), _numbers(np.zeros(n)))
+    chances = []
     for word in [*model.labels, ""]:
         expected = np.full(n, 0.1 / n)
         if word:
             expected[model.labels.index(word)] = 0.9
         counted = np.array(by_said.get(word, np.zeros(n)))
         chance = (counted + strength * expected) / (heard + strength)
-        logs = logs.when(said == word, _numbers(np.log(chance)))
-    logs = logs.otherwise(_numbers(np.zeros(n)))
+        chances.append((word, np.log(chance).tolist()))
+    # A row per label, of which there are few.
+    chances = df.sparkSession.createDataFrame(chances, "said string, log_said array<double>")
 
     # Priors of hosts, towards their domains, towards the whole; and suffixes.
     parts = F.split("host", r"\.")
@@ -380,7 +387,8 @@ def identify(
     )
 
     # One join for each row; adaptive execution splits a host with many rows.
-    fused = scored.join(hosts, "host", "left")
+    fused = scored.withColumn("said", said).join(hosts, "host", "left")
+    fused = fused.join(F.broadcast(chances), "said", "left")
     others = F.zip_with("sums", "share", lambda a, b: F.greatest(a - b, F.lit(0.0)))
     others = F.when(F.col("n_grams") > 0, others).otherwise(F.col("sums"))
     n_others = F.when(F.col("n_grams") > 0, F.col("rows") - 1).otherwise(F.col("rows"))
@@ -389,7 +397,7 @@ def identify(
     )
     zeros = _numbers(np.zeros(n))
     evidence = F.zip_with(
-        F.zip_with("log_text", logs, lambda a, b: a + b),
+        F.zip_with("log_text", F.coalesce("log_said", zeros), lambda a, b: a + b),
         F.zip_with(
             F.coalesce("log_suffix", zeros), prior, lambda a, b: a + F.log(b)
         ),
@@ -404,6 +412,8 @@ def identify(
     known = F.coalesce(F.col("strangeness") <= max_strangeness, F.lit(True))
     untold = [x for x, gap in zip(model.labels, model.gaps) if not np.isfinite(gap)]
     known = known | F.coalesce(F.col("declared").isin(untold), F.lit(False))
+    if model.more_labels:
+        known = known | F.coalesce(~F.col("declared").isin(*model.labels), F.lit(False))
     return fused.select(
         F.when(F.lit(keep), F.col("row")).alias("row"),
         F.when(seen, best(F.col("posteriors"))).alias("language"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siltstone.sources.scratch import materialize
 
-__all__ = ["empty_text", "load", "materialize", "parts_for", "row_slices", "sampled", "short_batches", "whole_row"]
+__all__ = ["empty_text", "label_sizes", "load", "materialize", "parts_for", "row_slices", "sampled", "short_batches", "whole_row"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,15 +52,25 @@ def row_slices(
             yield batch.slice(at, rows)
 
 
-def sampled(rows: DataFrame, per_label: int, max_labels: int = 256) -> DataFrame:
+def label_sizes(rows: DataFrame, max_labels: int = 256) -> tuple[DataFrame, bool]:
+    """(label, rows) of the largest labels, and whether there are more than that.
+
+    Of labels with equally many rows the first in order count.
+    """
+    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+    found = sizes.orderBy(F.desc("rows"), "label").limit(max_labels + 1).collect()
+    kept = rows.sparkSession.createDataFrame(found[:max_labels], sizes.schema)
+    return kept, len(found) > max_labels
+
+
+def sampled(rows: DataFrame, per_label: int, sizes: DataFrame | None = None) -> DataFrame:
     """About ``per_label`` of the rows (id, label) of each label: (id, label), distinct.
 
     A row is in it if its id hashes below the share that is wanted of its label, so that
-    no row meets others. More than ``max_labels`` labels are refused.
+    no row meets others. Labels are the largest, as ``label_sizes`` has them.
     """
-    sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
-    if sizes.count() > max_labels:
-        raise ValueError(f"more than {max_labels} labels")
+    if sizes is None:
+        sizes, _ = label_sizes(rows)
     share = F.pmod(F.xxhash64("id"), F.lit(1 << 31)) / float(1 << 31)
     kept = rows.join(F.broadcast(sizes), "label").filter(share < per_label / F.col("rows"))
     return kept.select("id", "label").distinct()

@@ -20,29 +20,56 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.tables import row_slices, short_batches
 
-HIDDEN = re.compile(r"<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
+HIDDEN = re.compile(r"<(?:(script|style|noscript|template)\b|!--)", re.I)
+CLOSED = {
+    name: re.compile(rf"</{name}\s*>", re.I)
+    for name in ("script", "style", "noscript", "template")
+}
+CLOSED[""] = re.compile("-->")
 BLOCK = re.compile(
     r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer"
     r"|form|h[1-6]|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)"
-    r"\b[^>]*>",
+    r"\b[^<>]*>",
     re.I,
 )
-TAG = re.compile(r"<[^>]*>")
+TAG = re.compile(r"<[^<>]*>")
 BLANKS = re.compile(r"[^\S\n]+")
 LINES = re.compile(r" ?\n[ \n]*")
 LINK = re.compile(
-    r"""<(a|area|img|link|script|iframe)\b[^>]*?\s(?:href|src)\s*=\s*"""
+    r"""<(a|area|img|link|script|iframe)\b[^<>]*?\s(?:href|src)\s*=\s*"""
     r"""(?:"([^"]*)"|'([^']*)'|([^\s>]+))""",
     re.I,
 )
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+TITLE = re.compile(r"<title\b[^<>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
 
 SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:warc-derivatives")
 
 
+def without_hidden(markup: str) -> str:
+    """The page without scripts, styles, templates and comments that are closed.
+
+    One pass: once a kind of opener has nothing that closes it, no other of its kind has.
+    """
+    kept, at, unclosed = [], 0, set()
+    opener = HIDDEN.search(markup)
+    while opener:
+        name, after = (opener[1] or "").lower(), opener.end()
+        closed = None if name in unclosed else CLOSED[name].search(markup, after)
+        if closed:
+            kept += [markup[at : opener.start()], " "]
+            at = after = closed.end()
+        else:
+            unclosed.add(name)
+        opener = HIDDEN.search(markup, after)
+    return "".join([*kept, markup[at:]])
+
+
 def plain_text(markup: str) -> str:
-    """The text of a page: a line per block, entities resolved, blanks made one."""
-    text = BLOCK.sub("\n", HIDDEN.sub(" ", markup))
+    """The text of a page: a line per block, entities resolved, blanks made one.
+
+    A tag ends at the next one's start, closed or not.
+    """
+    text = BLOCK.sub("\n", without_hidden(markup))
     text = entities.unescape(TAG.sub("", text))
     return LINES.sub("\n", BLANKS.sub(" ", text)).strip()
 
@@ -114,7 +141,7 @@ def derived_records(key, record_id, uri, date, headers, payload) -> list[tuple]:
     ]
     if title:
         fields.append(("title", one_line(entities.unescape(TAG.sub("", title[1])))))
-    for m in LINK.finditer(HIDDEN.sub(" ", payload)):
+    for m in LINK.finditer(without_hidden(payload)):
         target = one_line(entities.unescape(m[2] or m[3] or m[4] or ""))
         try:
             target = urljoin(uri or "", target)

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -192,3 +194,45 @@ def test_texts_of_a_rare_label_are_known(spark):
     docs = docs.unionAll(one)
     found = langid.identify(docs, langid.fit(docs), F.col("text"), F.col("lang"))
     assert found.filter("row.c0 = -1").first().known
+
+
+def test_more_labels_than_the_bound(spark):
+    """The largest labels are fitted; texts of the others are not taken for strange."""
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    rows = [
+        (40 * k + i, f"{words[k % 10]} {words[i % 10]} tale{k} " * 8, f"l{k:03}")
+        for k in range(300)
+        for i in range(2 if k < 290 else 40)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert len(model.labels) == 256 and model.more_labels
+    assert {f"l{k}" for k in range(290, 300)} < set(model.labels)
+    assert "l289" not in model.labels
+    found = langid.identify(docs, model, F.col("text"), declared=F.col("lang")).collect()
+    assert len(found) == len(rows)
+    assert all(r.known for r in found if r.declared not in model.labels)
+    assert all(r.posterior is not None for r in found)
+    small = langid.fit(docs, max_labels=2)
+    assert small.labels == ("l290", "l291")
+
+
+@pytest.mark.parametrize("opener", ["<script ", "<!--", "<a ", "<", "<style>", "<html "])
+def test_a_megabyte_of_openers(spark, opener):
+    page = opener * (1_000_000 // len(opener))
+    df = spark.createDataFrame([(f"<p>seen</p>{page}",)], "html string")
+    start = time.monotonic()
+    html = F.col("html")
+    seen = df.select(langid.visible_text(html), langid.declared_language(html)).first()
+    assert time.monotonic() - start < 60
+    assert seen[0].startswith(" seen ")
+
+
+def test_a_letter_run_of_a_megabyte(spark):
+    docs = spark.createDataFrame(
+        [(i, "word of a text " * 20, "en") for i in range(30)] + [(99, "a" * 1_000_000, "en")],
+        "doc_id long, text string, lang string",
+    )
+    start = time.monotonic()
+    found = langid.identify(docs, langid.fit(docs), F.col("text")).collect()
+    assert time.monotonic() - start < 60 and len(found) == 31

@@ -85,3 +85,26 @@ def test_one_of_each_group_stays(odd_docs):
     smallest = [min((i for i in g if i is not None), default=None) for g in groups.values()]
     kept = simhash.keep_one(odd_docs).collect()
     assert sorted((r.doc_id for r in kept), key=str) == sorted(smallest, key=str)
+
+
+def test_documents_without_labels_stay(spark):
+    rows = [(i, f"a text of some words, number {i}", None, "src", 20) for i in range(50)]
+    rows += [(90, " 12 34 ", None, "src", 7), (91, None, None, None, None)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    kept = corpus_pipeline.language_id(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(50))
+
+
+def test_documents_of_labels_beyond_the_bound_stay(spark):
+    rows = [
+        (i, f"words of language number {i} " * 9, f"l{i // 3:03}", "src", 99) for i in range(900)
+    ]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long"
+    )
+    kept = corpus_pipeline.language_id(spark, docs, "")
+    beyond = {r.doc_id for r in kept.collect() if r.lang >= "l256"}
+    assert beyond == set(range(3 * 256, 900))

@@ -1,8 +1,13 @@
 import base64
 import gzip
 import hashlib
+import re
+import time
 from urllib.parse import urljoin
 
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from siltstone.llm import warc
@@ -80,3 +85,28 @@ def test_odd_rows_and_empty_table(spark):
         assert len(block) == r.content_length
         assert "X" not in head
     assert warc.derive(warc.page_responses(pages.limit(0))).collect() == []
+
+
+@pytest.mark.parametrize(
+    "opener", ["<script ", "<script>", "<!--", "<a ", "<a href='", "<title>", "<", "<p "]
+)
+def test_a_megabyte_of_openers(spark, opener):
+    html = "<p>seen</p>" + opener * (1_000_000 // len(opener))
+    pages = spark.createDataFrame([(1, "http://a.b/", html)], "page_id long, url string, html string")
+    start = time.monotonic()
+    found = warc.derive(warc.page_responses(pages)).collect()
+    assert time.monotonic() - start < 60 and len(found) == 2
+
+
+def slow_without_hidden(markup):
+    pattern = r"<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->"
+    return re.sub(pattern, " ", markup, flags=re.S | re.I)
+
+
+PARTS = ["<script>", "</script >", "<STYLE x>", "</style>", "<!--", "-->", "text", "<", "<noscript"]
+
+
+@given(st.lists(st.sampled_from(PARTS), max_size=14).map("".join))
+@settings(max_examples=400, deadline=None)
+def test_hidden_parts_are_those_that_are_closed(markup):
+    assert warc.without_hidden(markup) == slow_without_hidden(markup)
