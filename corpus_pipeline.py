@@ -22,13 +22,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The declared language is the lang column and the host the source. Rejected are
     texts without letters, those for which no language is likelier than not, and those
-    that are unlike the labelled texts of every language, whatever is declared.
+    that are unlike the labelled texts of every language, whatever is declared. Without
+    any labelled text nothing tells languages, and all texts with letters stay.
     """
     model = langid.fit(docs)
+    if not model.labels:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     found = langid.identify(
         docs, model, F.col("text"), declared=F.col("lang"), host=F.col("source")
     )
-    kept = found.filter((F.col("posterior") >= MIN_POSTERIOR) & F.col("known"))
+    told = F.col("posterior") >= MIN_POSTERIOR
+    if model.more_labels:
+        # The language of such a text is told by its label alone.
+        told |= ~F.col("declared").isin(*model.labels) & (F.col("n_grams") > 0)
+    kept = found.filter(told & F.col("known"))
     return kept.select(
         *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)]
     )
