@@ -11,14 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.llm.tables import materialize, parts_for
+from siltstone.llm.tables import materialize
 
 
 @dataclass(frozen=True)
@@ -42,20 +41,12 @@ class Settings:
 
 
 def taking_part(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """(vec_id, v): rows with an id and a finite vector other than zero.
-
-    Of rows with equal ids the one with the smallest vector counts. The vectors have
-    the length that most have; ties go to the shorter.
-    """
+    """(vec_id, v): distinct rows with an id and a finite vector other than zero."""
     v = F.col(vector_column).cast("array<double>")
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), v.alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
     rows = rows.filter(F.col("vec_id").isNotNull() & finite)
-    rows = rows.filter(F.exists("v", lambda x: x != 0))
-    rows = materialize(rows.groupBy("vec_id").agg(F.min("v").alias("v")))
-    size = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n")
-    usual = size.first()
-    return rows.filter(F.size("v") == (usual["n"] if usual else 0))
+    return rows.filter(F.exists("v", lambda x: x != 0)).distinct()
 
 
 class Part:
@@ -77,7 +68,10 @@ class Part:
     def search(
         self, ids: np.ndarray, queries: np.ndarray, k: int
     ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(query, vec_ids, scores) with the k best that were verified, best first."""
+        """(place, vec_ids, scores) with the k best that were verified, best first.
+
+        A query's own row, equal in id and vector, is none of them.
+        """
         s, n = self.settings, len(self.ids)
         norms = np.sqrt((queries**2).sum(axis=1))
         at = (queries / norms[:, None]) @ self.axes
@@ -116,7 +110,10 @@ class Part:
                 new = np.flatnonzero((counts >= need) & ~seen)
                 if len(new):
                     seen[new] = True
-                    new = new[self.ids[new] != own]
+                    same = self.ids[new] == own
+                    if same.any():
+                        same &= (self.vectors[new] == queries[q]).all(axis=1)
+                    new = new[~same]
                     exact = (self.vectors[new] @ queries[q]) / (self.norms[new] * norms[q])
                     found = np.concatenate([found, new])
                     scores = np.concatenate([scores, exact])
@@ -130,7 +127,7 @@ class Part:
                 if seen.all():
                     break
             best = np.lexsort((self.ids[found], -scores))[:k]
-            yield own, self.ids[found[best]], scores[best]
+            yield q, self.ids[found[best]], scores[best]
 
 
 def nearest(
@@ -143,77 +140,101 @@ def nearest(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` nearest by cosine.
 
-    ``queries`` has the ids (distinct, in a column of the same name) of the rows of
-    ``vectors`` to search for, each against every row but its own. Ties go to the
-    smaller id. Vectors that are null or zero, or hold null or non-finite numbers, take no
-    part, nor do rows without id. There is a row for each neighbour found: all
-    candidates, if there are fewer than ``k``.
+    ``queries`` has the ids (in a column of the same name) of the rows of ``vectors`` to
+    search for, each against every other row with a vector of the same length. Ties go
+    to the smaller id. Vectors that are null or zero, or hold null or non-finite numbers,
+    take no part, nor do rows without id. Rows equal in id and vector count once; an id
+    with several vectors gets the neighbours of each, ranked apart. There is a row for
+    each neighbour found: all candidates, if there are fewer than ``k``.
 
     Equal vectors are candidates ``k`` + 1 times at most, with their smallest ids; no
-    other could be returned. Queries are broadcast in blocks of fixed size.
+    other could be returned. Each part's arrays are built once, and the queries of its
+    vector length stream past them.
     """
-    spark = vectors.sparkSession
     rows = materialize(taking_part(vectors, id_column, vector_column))
     copies = Window.partitionBy("v").orderBy("vec_id")
     kept = rows.withColumn("n", F.row_number().over(copies)).filter(F.col("n") <= k + 1)
-    kept = materialize(kept.select("vec_id", "v"))
-    parts = parts_for(kept.count(), settings.rows_per_part)
-    part = F.pmod(F.xxhash64("vec_id"), F.lit(parts).cast("long")).alias("part")
-    dealt = kept.select(part, "vec_id", "v")
+    kept = materialize(kept.select(F.size("v").alias("dims"), "vec_id", "v"))
+    parts = F.ceil(F.count(F.lit(1)) / settings.rows_per_part).cast("int").alias("parts")
+    sizes = materialize(kept.groupBy("dims").agg(parts))
+    part = F.pmod(F.xxhash64("vec_id", "v"), F.col("parts").cast("long")).cast("int")
+    dealt = kept.join(sizes, "dims").select(
+        "dims",
+        part.alias("part"),
+        F.lit(False).alias("asks"),
+        F.lit(0).cast("long").alias("query"),
+        "vec_id",
+        "v",
+    )
     ids = queries.select(F.col(id_column).cast("long").alias("vec_id")).distinct()
-    asked = rows.join(ids, "vec_id", "left_semi")
-
-    def searcher(block):
-        def search(table: pa.Table) -> pa.Table:
-            own = Part(
-                table.column("vec_id").to_numpy(), _matrix(table.column("v")), settings
-            )
-            found = list(own.search(*block.value, k))
-            sizes = [len(f[1]) for f in found]
-            none = [np.zeros(0, np.int64)]
-            return pa.table(
-                {
-                    "query_id": np.repeat(np.array([f[0] for f in found], np.int64), sizes),
-                    "vec_id": np.concatenate([f[1] for f in found] + none),
-                    "score": np.concatenate([f[2] for f in found] + [np.zeros(0)]),
-                }
-            )
-
-        return search
-
-    results = []
-    block_ids: list[int] = []
-    block: list[list[float]] = []
-
-    def run() -> None:
-        shared = spark.sparkContext.broadcast((np.array(block_ids), np.array(block)))
-        # The number is given, as the parts are few bytes, but much work.
-        found = dealt.repartition(2 * parts, "part").groupBy("part").applyInArrow(
-            searcher(shared), "query_id long, vec_id long, score double"
-        )
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        ranked = found.withColumn("rank", F.row_number().over(order))
-        results.append(
-            materialize(
-                ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-            )
-        )
-
-    for row in asked.toLocalIterator():
-        block_ids.append(row["vec_id"])
-        block.append(row["v"])
-        if len(block) == settings.queries_per_block:
-            run()
-            block_ids, block = [], []
-    if block:
-        run()
-    if not results:
-        return spark.createDataFrame(
-            [], "query_id long, rank int, vec_id long, score double"
-        )
-    return reduce(DataFrame.unionByName, results)
-
-
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    flat = pa.concat_arrays([c.flatten() for c in column.chunks])
-    return flat.to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    asked = rows.join(ids, "vec_id", "left_semi").select(F.size("v").alias("dims"), "vec_id", "v")
+    asked = materialize(asked.withColumn("query", F.monotonically_increasing_id()))
+    sent = asked.join(sizes, "dims").select(
+        "dims",
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.lit(True).alias("asks"),
+        "query",
+        "vec_id",
+        "v",
+    )
+    # The number is given, as the parts are few bytes, but much work.
+    tasks = 2 * (sizes.agg(F.sum("parts")).first()[0] or 1)
+    met = dealt.unionByName(sent).repartition(tasks, "dims", "part")
+    found = met.sortWithinPartitions("dims", "part", "asks").mapInArrow(
+        _searcher(k, settings), "query long, query_id long, vec_id long, score double"
+    )
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _searcher(k: int, settings: Settings):
+    """Searches rows sorted by part: first a part's vectors, then the queries for it."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, own = None, [], None
+        for batch in batches:
+            for key, asks, rows in _stretches(batch, settings.queries_per_block):
+                ids, vectors = rows.column("vec_id").to_numpy(), _matrix(rows.column("v"))
+                if not asks:
+                    if key != at:
+                        at, held, own = key, [], None
+                    held.append((ids, vectors))
+                elif key == at:
+                    if own is None:
+                        own = Part(*[np.concatenate(x) for x in zip(*held)], settings)
+                        held = []
+                    yield _answers(rows, list(own.search(ids, vectors, k)))
+
+    return search
+
+
+def _stretches(batch: pa.RecordBatch, most: int):
+    """(part, whether they ask, rows): the batch cut where these change, and by number."""
+    keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("dims", "part", "asks")]
+    change = np.zeros(batch.num_rows, bool)
+    for values in keys:
+        change[1:] |= values[1:] != values[:-1]
+    ends = [*np.flatnonzero(change).tolist(), batch.num_rows]
+    start = 0
+    for end in ends:
+        for low in range(start, end, most):
+            dims, part, asks = (values[low] for values in keys)
+            yield (dims, part), asks, batch.slice(low, min(most, end - low))
+        start = end
+
+
+def _answers(rows: pa.RecordBatch, found: list) -> pa.RecordBatch:
+    places = np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64)
+    return pa.RecordBatch.from_pydict(
+        {
+            "query": rows.column("query").to_numpy()[places],
+            "query_id": rows.column("vec_id").to_numpy()[places],
+            "vec_id": np.concatenate([f[1] for f in found]),
+            "score": np.concatenate([f[2] for f in found]),
+        }
+    )
+
+
+def _matrix(column: pa.ListArray) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
