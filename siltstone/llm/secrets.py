@@ -35,12 +35,15 @@ RANDOM = "random"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 DIGITS = "0123456789"
+# What a token is made of.
+TOKEN = UPPER + LOWER + DIGITS + "+/_=-"
 
 
 @dataclass(frozen=True)
 class Encoding:
     """An alphabet, how to tell it, and how far from uniform text in it is.
 
+    Characters of a token that are not in the alphabet are left out of the tests.
     ``effect`` is the sum over symbols of (p - 1/k)^2 k for words of a natural language,
     whose letters have a sum of squared frequencies of about 0.065. The median cuts
     the alphabet into halves for the runs test.
@@ -61,13 +64,12 @@ ENCODINGS = (
     Encoding("upper", "^[A-Z]+$", UPPER, 0.7),
     Encoding("base36", "^[a-z0-9]+$", LOWER + DIGITS, 1.3),
     Encoding("BASE36", "^[A-Z0-9]+$", UPPER + DIGITS, 1.3),
-    Encoding("base64url", "^[^+/]*[_-][^+/]*$", UPPER + LOWER + DIGITS + "-_", 3.2),
+    Encoding("base64url", "^(?=[^_-]*[_-])[^+/]+$", UPPER + LOWER + DIGITS + "-_", 3.2),
     Encoding("base64", ".*", UPPER + LOWER + DIGITS + "+/", 3.2),
 )
 
 # p-values are kept as quarter powers of two; this is the smallest, 2^-500. No table is
-# so large that one hypothesis with it would not be a discovery. The SQL stops at 2^-20, so
-# it gives the same rows only where 1 in 10,486 tokens of a length class is random.
+# so large that one hypothesis with it would not be a discovery.
 SMALLEST = 2000
 
 
@@ -161,21 +163,42 @@ def _count(token: Column, part: Column | str) -> Column:
     return F.char_length(token) - F.char_length(F.replace(token, part, F.lit("")))
 
 
-def chi_squared(token: Column, alphabet: str) -> Column:
+def noncentral_below(x: Column, df: Column, shift: Column) -> Column:
+    """The noncentral chi-squared distribution function, as Sankaran approximates it.
+
+    A power of the variable is taken for normal. In the lower tail this is off by up to a
+    third where the value is 1e-8; a normal variable itself would be off by many powers.
+    """
+    a, b, c = df + shift, df + 2 * shift, df + 3 * shift
+
+    def below(s: Column) -> Column:
+        h, p = s["h"], s["p"]
+        m = (h - 1) * (1 - 3 * h)
+        mean = 1 + h * p * (h - 1 - (2 - h) * m * p / 2)
+        spread = h * F.sqrt(2 * p) * (1 + m * p / 2)
+        return _let((F.pow(s["x"], h) - mean) / spread, normal_below)
+
+    h = 1 - 2 * a * c / (3 * b * b)
+    terms = [(F.greatest(x, F.lit(0.0)) / a).alias("x"), h.alias("h"), (b / (a * a)).alias("p")]
+    return _let(F.struct(*terms), below)
+
+
+def chi_squared(symbols: Column, alphabet: Column) -> Column:
     """Of the symbol counts against a uniform alphabet."""
+    places = F.sequence(F.lit(1), F.char_length(alphabet))
     squares = F.transform(
-        F.array(*[F.lit(c) for c in alphabet]),
-        lambda c: F.pow(_count(token, c).cast("double"), F.lit(2.0)),
+        places,
+        lambda i: F.pow(
+            _count(symbols, F.substring(alphabet, i, F.lit(1))).cast("double"), F.lit(2.0)
+        ),
     )
-    total = F.aggregate(squares, F.lit(0.0), lambda a, x: a + x)
-    n = F.char_length(token)
-    return total * len(alphabet) / n - n
+    n = F.char_length(symbols)
+    return _total(squares) * F.char_length(alphabet) / n - n
 
 
-def runs_z(token: Column, alphabet: str) -> Column:
+def runs_z(symbols: Column, alphabet: Column, halves: Column) -> Column:
     """Runs above and below the alphabet's median; null if there is one side only."""
-    half = len(alphabet) // 2
-    sides = F.translate(token, alphabet, "0" * half + "1" * (len(alphabet) - half))
+    sides = F.call_function("translate", symbols, alphabet, halves)
 
     def z(s: Column) -> Column:
         a, b = _count(s, "0").cast("double"), _count(s, "1").cast("double")
@@ -188,23 +211,47 @@ def runs_z(token: Column, alphabet: str) -> Column:
     return _let(sides, z)
 
 
-def serial_z(token: Column, alphabet: str) -> Column:
+def _total(xs: Column) -> Column:
+    return F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+
+
+def serial_z(symbols: Column, alphabet: Column) -> Column:
     """Lag-one correlation of the symbols' places in the alphabet, times root n - 1."""
-    symbols = F.filter(F.split(token, ""), lambda c: c != "")
-    values = F.transform(symbols, lambda c: F.instr(F.lit(alphabet), c).cast("double"))
+    letters = F.filter(F.split(symbols, ""), lambda c: c != "")
+    values = F.transform(letters, lambda c: F.instr(alphabet, c).cast("double"))
 
-    def total(xs: Column) -> Column:
-        return F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+    def centred(xs: Column) -> Column:
+        # Computed once: inside the function of the elements it would be for each.
+        return _let(_total(xs) / F.size(xs), lambda mean: F.transform(xs, lambda x: x - mean))
 
     def z(xs: Column) -> Column:
         n = F.size(xs)
-        mean = total(xs) / n
-        spread = total(F.transform(xs, lambda x: x * x)) - mean * mean * n
+        spread = _total(F.transform(xs, lambda x: x * x))
         head, tail = F.slice(xs, F.lit(1), n - 1), F.slice(xs, F.lit(2), n - 1)
-        lagged = F.zip_with(head, tail, lambda x, y: (x - mean) * (y - mean))
-        return F.when(spread > 0, total(lagged) / spread * F.sqrt(n - 1.0))
+        lagged = F.zip_with(head, tail, lambda x, y: x * y)
+        return F.when(spread > 0, _total(lagged) / spread * F.sqrt(n - 1.0))
 
-    return _let(values, z)
+    return _let(_let(values, centred), z)
+
+
+def _inferred(token: Column) -> Column:
+    """Of the token's encoding: symbols (the token's own), alphabet, halves, effect."""
+
+    def of(e: Encoding) -> Column:
+        half = len(e.alphabet) // 2
+        foreign = "".join(c for c in TOKEN if c not in e.alphabet)
+        return F.struct(
+            F.translate(token, foreign, "").alias("symbols"),
+            F.lit(e.alphabet).alias("alphabet"),
+            F.lit("0" * half + "1" * (len(e.alphabet) - half)).alias("halves"),
+            F.lit(e.effect).alias("effect"),
+        )
+
+    *first, last = ENCODINGS
+    found = F.when(F.lit(False), of(last))
+    for e in first:
+        found = found.when(token.rlike(e.pattern), of(e))
+    return found.otherwise(of(last))
 
 
 def p_value(token: Column, veto: float = 3.3) -> Column:
@@ -213,32 +260,24 @@ def p_value(token: Column, veto: float = 3.3) -> Column:
     The null hypothesis is a source as uneven as words are: noncentral chi-squared,
     with a noncentrality that grows with the length, so that short tokens never reach
     small values. It is 1 if runs or serial correlation are ``veto`` standard
-    deviations off, or cannot be computed.
+    deviations off, or cannot be computed. The work is linear in the token's length.
     """
-    token = F.regexp_replace(token, "=+$", "")
-
-    def of(encoding: Encoding):
-        def p(t: Column) -> Column:
-            df = len(encoding.alphabet) - 1
-            shift = F.char_length(t) * encoding.effect
-            z = (chi_squared(t, encoding.alphabet) - (df + shift)) / F.sqrt(
-                2 * (df + 2 * shift)
-            )
-            runs = F.abs(runs_z(t, encoding.alphabet))
-            serial = F.abs(serial_z(t, encoding.alphabet))
-            plain = (runs < veto) & (serial < veto)
-            return F.when(plain, normal_below(z)).otherwise(F.lit(1.0))
 
-        return p
-
-    def choose(t: Column) -> Column:
-        *first, last = ENCODINGS
-        found = F.when(F.char_length(t) < 2, F.lit(1.0))
-        for e in first:
-            found = found.when(t.rlike(e.pattern), of(e)(t))
-        return found.otherwise(of(last)(t))
+    def p(s: Column) -> Column:
+        symbols, alphabet = s["symbols"], s["alphabet"]
+        n = F.char_length(symbols)
+        runs = F.abs(runs_z(symbols, alphabet, s["halves"]))
+        serial = F.abs(serial_z(symbols, alphabet))
+        near = noncentral_below(
+            chi_squared(symbols, alphabet),
+            F.char_length(alphabet) - F.lit(1.0),
+            n * s["effect"],
+        )
+        plain = (n >= 2) & (runs < veto) & (serial < veto)
+        return F.when(plain, near).otherwise(F.lit(1.0))
 
-    return _let(token, choose)
+    bare = F.rtrim(token, F.lit("="))
+    return _let(_let(bare, _inferred), p)
 
 
 def step_up(counts: dict[int, int], rate: float) -> int:
@@ -470,12 +509,14 @@ WITH docs AS (
     (7, '^[^+/]*[_-][^+/]*$', '{UPPER}{LOWER}{DIGITS}-_', 3.2),
     (8, '.*', '{UPPER}{LOWER}{DIGITS}+/', 3.2)
 ), bare AS (
-    SELECT *, regexp_replace(token, '=+$', '') AS t FROM tokens
+    SELECT *, rtrim(token, '=') AS bare FROM tokens
 ), encoded AS (
-    SELECT b.*, c.alphabet, c.effect, length(c.alphabet) AS k, length(t)::DOUBLE AS n,
-        string_split(c.alphabet, '') AS letters
-    FROM bare b JOIN encodings c ON c.place = (
-        SELECT min(x.place) FROM encodings x WHERE regexp_matches(b.t, x.pattern))
+    SELECT *, length(alphabet) AS k, length(t)::DOUBLE AS n, string_split(alphabet, '') AS letters
+    FROM (
+        SELECT b.*, c.alphabet, c.effect,
+            regexp_replace(b.bare, '[^' || replace(c.alphabet, '-', '\-') || ']', '', 'g') AS t
+        FROM bare b JOIN encodings c ON c.place = (
+            SELECT min(x.place) FROM encodings x WHERE regexp_matches(b.bare, x.pattern)))
 ), sided AS (
     SELECT *, translate(t, alphabet, repeat('0', k // 2) || repeat('1', k - k // 2)) AS sides,
         list_transform(string_split(t, ''), lambda c: instr(alphabet, c)::DOUBLE) AS xs,
@@ -495,35 +536,43 @@ WITH docs AS (
         list_sum(list_transform(range(1, len(xs)), lambda i: (xs[i] - mean) * (xs[i + 1] - mean))) AS lagged
     FROM counted
 ), tested AS (
-    SELECT *, (m - 1) * (m - 2) / (c0 + c1 - 1) AS variance,
-        (chi - (k - 1 + n * effect)) / sqrt(2 * (k - 1 + 2 * n * effect)) AS z
+    SELECT *, (m - 1) * (m - 2) / (c0 + c1 - 1) AS variance, k - 1 + n * effect AS a,
+        k - 1 + 2 * n * effect AS b, k - 1 + 3 * n * effect AS c
     FROM moments
+), powers AS (
+    SELECT *, 1 - 2 * a * c / (3 * b * b) AS h, b / (a * a) AS p FROM tested
+), roots AS (
+    SELECT *, (h - 1) * (1 - 3 * h) AS w FROM powers
 ), valued AS (
-    SELECT row_id, s, e, abs(z) / sqrt(2.0) AS x, z,
+    SELECT row_id, s, e,
+        (pow(greatest(chi, 0.0) / a, h) - (1 + h * p * (h - 1 - (2 - h) * w * p / 2)))
+            / (h * sqrt(2 * p) * (1 + w * p / 2)) AS z,
         coalesce(variance > 0 AND spread > 0
             AND abs((runs - m) / sqrt(greatest(variance, 1e-300))) < 3.3
             AND abs(lagged / greatest(spread, 1e-300) * sqrt(n - 1.0)) < 3.3, false) AS plain
-    FROM tested
+    FROM roots
 ), tails AS (
-    SELECT *, 1 / (1 + 0.3275911::DOUBLE * x) AS y FROM valued
+    SELECT *, abs(z) AS v, abs(z) / sqrt(2.0) AS x, 1 / (1 + 0.3275911::DOUBLE * abs(z) / sqrt(2.0)) AS y
+    FROM valued
 ), areas AS (
     SELECT *, y * (0.254829592::DOUBLE + y * (-0.284496736::DOUBLE + y * (1.421413741::DOUBLE
-        + y * (-1.453152027::DOUBLE + y * 1.061405429::DOUBLE)))) * exp(-x * x) / 2 AS tail
+        + y * (-1.453152027::DOUBLE + y * 1.061405429::DOUBLE)))) * exp(-x * x) / 2 AS tail,
+        exp(-x * x) / sqrt(2 * pi()) / (v + 1 / (v + 2 / (v + 3 / (v + 4 / (v + 5 / v))))) AS far
     FROM tails
 ), graded AS (
     SELECT row_id, s, e, cast(floor(log2(e - s)) AS int) AS size,
-        cast(least(floor(-4 * log2(greatest(CASE WHEN NOT plain THEN 1.0
-            WHEN z < 0 THEN tail ELSE 1 - tail END, pow(2.0, -20)))), 80) AS int) AS grid
+        cast(least(floor(-4 * log2(greatest(CASE WHEN NOT plain THEN 1.0 WHEN z < -5 THEN far
+            WHEN z < 0 THEN tail ELSE 1 - tail END, pow(2.0, -500)))), 2000) AS int) AS grid
     FROM areas
     UNION ALL SELECT row_id, s, e, cast(floor(log2(e - s)) AS int), 0 FROM encoded WHERE n < 2
-), sizes AS (
-    SELECT size, count(*) AS total FROM graded GROUP BY size
+), grids AS (
+    SELECT size, grid, count(*) AS n FROM graded GROUP BY size, grid
 ), cuts AS (
-    SELECT size, min(b) AS cut FROM (
-        SELECT z.size, b, z.total,
-            (SELECT count(*) FROM graded g WHERE g.size = z.size AND g.grid >= b) AS passed
-        FROM sizes z CROSS JOIN (SELECT unnest(range(0, 81)) AS b))
-    WHERE passed > 0 AND pow(2.0, -b / 4.0) <= 0.01::DOUBLE * passed / total GROUP BY size
+    SELECT size, min(grid) AS cut FROM (
+        SELECT size, grid, sum(n) OVER (PARTITION BY size ORDER BY grid DESC) AS passed,
+            sum(n) OVER (PARTITION BY size) AS total
+        FROM grids)
+    WHERE pow(2.0, -grid / 4.0) <= 0.01::DOUBLE * passed / total GROUP BY size
 ), kept AS (
     SELECT row_id, kind, rank, s, e FROM base
     UNION ALL SELECT row_id, 'random', 3, s, e FROM graded JOIN cuts USING (size) WHERE grid >= cut

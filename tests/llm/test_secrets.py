@@ -3,6 +3,7 @@ import math
 import random
 import re
 import statistics
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -30,15 +31,25 @@ def base_spans(text):
     return sorted(found)
 
 
+def slow_below(x, df, shift):
+    """Noncentral chi-squared by Sankaran's approximation."""
+    h = 1 - 2 * (df + shift) * (df + 3 * shift) / (3 * (df + 2 * shift) ** 2)
+    p = (df + 2 * shift) / (df + shift) ** 2
+    m = (h - 1) * (1 - 3 * h)
+    mean = 1 + h * p * (h - 1 - 0.5 * (2 - h) * m * p)
+    z = ((x / (df + shift)) ** h - mean) / (h * math.sqrt(2 * p) * (1 + 0.5 * m * p))
+    return math.erfc(-z / math.sqrt(2)) / 2
+
+
 def slow_p(token):
     token = token.rstrip("=")
+    kind = next(e for e in secrets.ENCODINGS if re.search(e.pattern, token) or e.pattern == ".*")
+    token = "".join(c for c in token if c in kind.alphabet)
     if len(token) < 2:
         return 1.0
-    kind = next(e for e in secrets.ENCODINGS if re.search(e.pattern, token))
-    places = [kind.alphabet.index(c) for c in token if c in kind.alphabet]
+    places = [kind.alphabet.index(c) for c in token]
     n, k = len(token), len(kind.alphabet)
     chi = sum((token.count(c) - n / k) ** 2 / (n / k) for c in kind.alphabet)
-    chi += sum(0 for _ in range(n - len(places)))
     sides = [p >= k // 2 for p in places]
     a, b = sides.count(False), sides.count(True)
     mean = 1 + 2 * a * b / n
@@ -52,9 +63,7 @@ def slow_p(token):
     r = sum(x * y for x, y in zip(off, off[1:])) / sum(x * x for x in off)
     if abs(z_runs) >= 3.3 or abs(r * math.sqrt(n - 1)) >= 3.3:
         return 1.0
-    shift = n * kind.effect
-    z = (chi - (k - 1 + shift)) / math.sqrt(2 * (k - 1 + 2 * shift))
-    return math.erfc(-z / math.sqrt(2)) / 2
+    return slow_below(chi, k - 1, n * kind.effect)
 
 
 def slow_scan(texts, rate=0.01, min_token=20):
@@ -63,7 +72,7 @@ def slow_scan(texts, rate=0.01, min_token=20):
     for i, text in enumerate(texts):
         for m in re.finditer(f"[A-Za-z0-9+/_=-]{{{min_token},}}", text or ""):
             if not any(a <= m.start() and m.end() <= b for a, _, b in base[i]):
-                p = max(slow_p(m[0]), 2.0**-20)
+                p = max(slow_p(m[0]), 2.0**-500)
                 grid = math.floor(-4 * math.log2(p))
                 tested.append((i, m.start(), m.end(), int(math.log2(len(m[0]))), grid))
     found = [list(b) for b in base]
@@ -216,6 +225,59 @@ def test_step_up(counts):
     assert found == min(passing, default=81)
 
 
+def exact_below(x, df, shift):
+    """Noncentral chi-squared of even degrees: a Poisson mixture of Poisson tails."""
+    def poisson(j, mean):
+        return math.exp(j * math.log(mean) - mean - math.lgamma(j + 1))
+
+    terms = [poisson(j, x / 2) for j in range(2000)]
+    tails = [0.0]
+    for t in reversed(terms):
+        tails.append(tails[-1] + t)
+    tails.reverse()
+    return sum(poisson(i, shift / 2) * tails[df // 2 + i] for i in range(1500))
+
+
+def test_noncentral_distribution(spark):
+    cases = [(x, df, s) for df, s in [(16, 24.0), (32, 20.0), (64, 64.0), (64, 300.0)] for x in
+             (0.3 * (df + s), 0.4 * (df + s), 0.6 * (df + s), df + s, 1.4 * (df + s))]
+    rows = spark.createDataFrame([tuple(map(float, c)) for c in cases], "x double, df double, s double")
+    value = secrets.noncentral_below(F.col("x"), F.col("df"), F.col("s"))
+    for case, r in zip(cases, rows.select(value.alias("p")).collect()):
+        want = exact_below(*case)
+        assert r.p == pytest.approx(slow_below(*case), rel=1e-3, abs=1e-6)
+        if want > 1e-8:
+            assert want / 1.5 < r.p < want * 1.5, case
+
+
+def test_very_long_tokens(spark):
+    """Time grows with the length: squared, a single one of these would take hours."""
+    draw = random.Random(3)
+    b64 = secrets.ENCODINGS[-1].alphabet
+    n = 1_000_000
+    texts = [token(draw, b64, n), "xy" * (n // 2), "=" * n + "a", "_" * n + "/"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    started = time.monotonic()
+    found = {r.text: r.secrets for r in secrets.find_secrets(docs).collect()}
+    assert time.monotonic() - started < 60
+    assert [(s.kind, s.start, s.end) for s in found[texts[0]]] == [("random", 0, n)]
+    assert [found[t] for t in texts[1:]] == [[], [], []]
+
+
+def test_sql_where_keys_are_rare(spark, tmp_path):
+    """One key among 100,000 tokens of its length class."""
+    draw = random.Random(12)
+    words = "andthewordsthatoneiswritinginthistextwithoutanyblankbetweenthemall"
+    key = token(draw, secrets.ENCODINGS[-1].alphabet, 64)
+    texts = [" ".join([words] * 100)] * 1000 + [f"a {key} b=c=d_e+f/{words}-{words}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.toPandas().to_parquet(tmp_path / "documents.parquet")
+    name, sf_dir = "op3_secret_scans", str(tmp_path)
+    found = queries()[name](spark, sf_dir)
+    assert compare_sql(found, connect(sf_dir), oracle_sql()[name]) == []
+    assert [(r.doc_id, r.spans) for r in found.filter("spans != ''").collect()] == [(1000, "random:2:66")]
+
+
 def test_only_built_in_expressions(spark):
     plan = secrets.redact(load(spark, SF, "documents"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
