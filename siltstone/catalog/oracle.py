@@ -344,6 +344,14 @@ from lineitem group by l_linenumber""",
         "ingest_ledger": """
 select 'batch_1' as _batch_id, count(*) as rows from lineitem
 union all select 'batch_2', count(*) from lineitem""",
+        "ingest_reconciled": """
+select case when l_linenumber <= 2 then 'early' when l_linenumber <= 5 then 'middle'
+            else 'late' end as kind,
+       count(*) as footer_rows, count(*) as rows, count(*) as stored_rows
+from lineitem group by 1""",
+        "ingest_file_sizes": """
+select raw, count(*) as rows, true as few_files, true as none_large
+from lineitem cross join (values ('small'), ('large')) r(raw) group by raw""",
         "ingest_stream": _with(
             _LINES,
             f"select {_RAW_LINES.format(tax='l_tax')}, 'batch_1' as _batch_id from lines",

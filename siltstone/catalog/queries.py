@@ -45,6 +45,7 @@ from siltstone.plans.gold import (
 )
 from siltstone.plans.run import run_pipeline, run_report
 from siltstone.plans.stages import (
+    SMALL_FILE,
     aggregate,
     clean,
     clean_rows,
@@ -53,7 +54,12 @@ from siltstone.plans.stages import (
     read_rejects,
 )
 from siltstone.presets import PAYMENT_LABELS, lineitem
-from siltstone.sources.files import file_names, list_source_files, select_new_files
+from siltstone.sources.files import (
+    file_names,
+    list_source_files,
+    read_footers,
+    select_new_files,
+)
 from siltstone.sources.paths import delete_folder
 from siltstone.sources.scratch import scratch_dir
 from siltstone.sources.snapshots import read_snapshot
@@ -473,6 +479,48 @@ def q_ingest_ledger(spark, sf_dir):
     return ledger.groupBy("_batch_id").agg(F.sum("rows").alias("rows"))
 
 
+def q_ingest_reconciled(spark, sf_dir):
+    """Rows of raw files by footer, by ledger and in bronze, by kind of file."""
+    cfg = drifting_files(spark, sf_dir)
+    ingest(spark, cfg, "batch_1")
+    files = list_source_files(spark, cfg.layout.raw).select("path", "file_name")
+    footers = read_footers(spark, files).select("file_name", "footer_rows")
+    name = base_name(decode_path("_source_file")).alias("file_name")
+    stored = read_table(spark, cfg.layout.bronze).groupBy(name).agg(
+        F.min("l_linenumber").alias("first"), F.count(F.lit(1)).alias("stored_rows")
+    )
+    kind = F.when(F.col("first") <= 2, "early").when(F.col("first") <= 5, "middle")
+    ledger = read_table(spark, cfg.layout.ledger).join(footers, "file_name")
+    # A file without rows is of no kind.
+    return ledger.join(stored, "file_name").groupBy(
+        F.coalesce(kind, F.lit("late")).alias("kind")
+    ).agg(*[F.sum(c).alias(c) for c in ("footer_rows", "rows", "stored_rows")])
+
+
+def q_ingest_file_sizes(spark, sf_dir):
+    """Order lines from 200 small files and from one large: what bronze keeps of them.
+
+    A stored file is to have a quarter of the bytes of a batch, at 2 MB or more.
+    """
+    found = []
+    for raw, files in (("small", 200), ("large", 1)):
+        cfg = RunConfig(SPEC, Layout.under(scratch_dir(spark)))
+        order_lines(spark, sf_dir).repartition(files).write.parquet(cfg.layout.raw)
+        n_bytes = list_source_files(spark, cfg.layout.raw).agg(F.sum("length")).first()[0]
+        size = max(n_bytes // 4, SMALL_FILE // 2)
+        cfg = dataclasses.replace(cfg, file_bytes=size)
+        (report,) = ingest(spark, cfg, "batch_1")
+        folder = f"{cfg.layout.bronze}/_batch_id=batch_1"
+        stored = list_source_files(spark, folder).agg(
+            (F.count(F.lit(1)) <= 2 * -(-n_bytes // size)).alias("few_files"),
+            (F.max("length") <= 2 * size).alias("none_large"),
+        )
+        found.append(
+            stored.select(F.lit(raw).alias("raw"), F.lit(report.rows_out).cast("long").alias("rows"), "*")
+        )
+    return found[0].unionByName(found[1])
+
+
 def q_ingest_stream(spark, sf_dir):
     """The same through the file stream, for files of one schema."""
     cfg = RunConfig(SPEC, Layout.under(scratch_dir(spark)))

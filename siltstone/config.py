@@ -103,6 +103,8 @@ class RunConfig:
     # A plan names at most this many files, so that its list of paths stays bounded.
     # A batch of more files is written in several steps, all in the same columns.
     max_files_per_write: int = 10_000
+    # Size that stored files of bronze shall have about, however large the raw files are.
+    file_bytes: int = 128 << 20
     # Whether files may bring columns that the stored table does not have.
     evolve: bool = False
     # "executors" reads footers with pyarrow in parallel; "spark" asks Spark to

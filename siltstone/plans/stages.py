@@ -66,6 +66,14 @@ from siltstone.sources.tables import (
 ROUTE = "_route"
 
 
+# Below this size of its files a batch is not spread over more of them.
+SMALL_FILE = 4 << 20
+
+
+class ReconciliationError(RuntimeError):
+    """Bronze does not have the rows of a raw file that its footer counts."""
+
+
 class StageRow(NamedTuple):
     """One line of the run report."""
 
@@ -123,10 +131,29 @@ def target_schema(
     return wanted.schema
 
 
+def file_plan(n_bytes: int, n_rows: int, file_bytes: int, cores: int) -> tuple[int, int]:
+    """(tasks, most rows of a file) with which a write gives files of about that size.
+
+    Small batches are spread over the cores, in files of ``SMALL_FILE`` and more. Tasks
+    differ in size, and rows in width, so a file may be half as large again.
+    """
+    tasks = max(-(-n_bytes // file_bytes), min(cores, -(-n_bytes // SMALL_FILE)), 1)
+    rows = -(-3 * n_rows * file_bytes // (2 * n_bytes)) if n_bytes else 0
+    return tasks, rows
+
+
 def raw_batch(
-    groups: Sequence[DataFrame], cfg: RunConfig, target: StructType, batch_id: str
+    groups: Sequence[DataFrame],
+    cfg: RunConfig,
+    target: StructType,
+    batch_id: str,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Standardized and stamped union of some raw files, in the columns of the run."""
+    """Standardized and stamped union of some raw files, in the columns of the run.
+
+    It has ``tasks`` partitions at most: those of many small files are put together,
+    without a shuffle.
+    """
     casts = {f.name: f.dataType.simpleString() for f in target}
     df = union_by_name([standardize(g, cfg.spec.raw_casts) for g in groups])
     df = df.withColumns({c: F.lit(None) for c in casts if c not in df.columns})
@@ -136,6 +163,8 @@ def raw_batch(
     df = df.withColumns({c: F.col(c).cast(t) for c, t in changed.items()})
     df = stamp(df.select(*casts, SOURCE_FILE), INGESTED_AT)
     df = df.select(*casts, INGESTED_AT, SOURCE_FILE)
+    if tasks:
+        df = df.coalesce(tasks)
     # Above the observation the id stays one constant for the whole batch. Pushed
     # into the union it would be a column, and the write would sort by it.
     return stamp(_pinned(df), BATCH_ID, batch_id)
@@ -149,7 +178,8 @@ def ingest(
     All new files of a run make one batch, in the columns of all of them, however many
     writes it takes. The ledger is written last; a batch without its entry is written
     again under its own id. Nothing is written, and nothing returned, when there is no
-    new file.
+    new file. A file of which bronze holds more or fewer rows than its footer says fails
+    the run before the ledger names it.
     """
     out = cfg.layout
     batch_id = batch_id or new_batch_id()
@@ -164,7 +194,7 @@ def ingest(
 def ingest_files(
     spark: SparkSession, cfg: RunConfig, files: DataFrame, batch_id: str
 ) -> list[StageRow]:
-    """Append the rows of those of some files (path, file_name) that bronze lacks.
+    """Append the rows of those of some files (path, file_name, length) bronze lacks.
 
     They go into the batch of that id, except for files of an unfinished batch: these
     are written again under its own.
@@ -172,10 +202,11 @@ def ingest_files(
     out = cfg.layout
     known = ingested_files(spark, out.bronze, out.ledger, cfg.fmt)
     again = unfinished_files(spark, out.bronze, out.ledger, cfg.fmt)
-    unseen = select_new_files(files, known).select("path", "file_name")
+    unseen = select_new_files(files, known).select("path", "file_name", "length")
     unseen = unseen.join(again, "file_name", "left").select(
-        "path", "file_name", F.coalesce(BATCH_ID, F.lit(batch_id)).alias(BATCH_ID)
+        "path", "file_name", "length", F.coalesce(BATCH_ID, F.lit(batch_id)).alias(BATCH_ID)
     )
+    cores = spark.sparkContext.defaultParallelism
     report = []
     with scratch_scope(spark):
         # Stored, so that the writes below are cut from one fixed list.
@@ -185,16 +216,18 @@ def ingest_files(
             return report
         table = stored_schema(spark, out.bronze, cfg.fmt, cfg.evolve)
         target = target_schema(spark, schemas.values(), cfg, table)
-        # Paths only, in one partition: the iterator runs a job for each.
+        # Paths and sizes only, in one partition: the iterator runs a job for each.
         listed = pending.repartition(1).sortWithinPartitions(BATCH_ID, "file_name")
         listed = listed.toLocalIterator()
         for batch, rows in groupby(listed, key=lambda r: r[BATCH_ID]):
             for n, chunk in enumerate(_chunks(rows, cfg.max_files_per_write)):
                 chosen = [(r["path"], r["footer"]) for r in chunk]
+                n_bytes, n_rows = (sum(r[c] for r in chunk) for c in ("length", "footer_rows"))
+                tasks, most = file_plan(n_bytes, n_rows, cfg.file_bytes, cores)
                 groups = read_schema_groups(spark, chosen, schemas)
-                df = raw_batch(groups, cfg, target, batch)
-                append_batch(df, out.bronze, cfg.fmt, more=n > 0)
-            own = pending.filter(F.col(BATCH_ID) == batch).select("file_name")
+                df = raw_batch(groups, cfg, target, batch, tasks)
+                append_batch(df, out.bronze, cfg.fmt, more=n > 0, rows_per_file=most)
+            own = pending.filter(F.col(BATCH_ID) == batch).select("file_name", "footer_rows")
             report.append(StageRow("ingest", batch, None, _record(own, cfg, batch)))
     return report
 
@@ -202,7 +235,8 @@ def ingest_files(
 def _record(files: DataFrame, cfg: RunConfig, batch_id: str) -> int:
     """Write the batch's file names and row counts to the ledger; the sum of rows.
 
-    Files without rows are recorded too, so that they are not offered again.
+    Files without rows are recorded too, so that they are not offered again. The rows
+    that bronze holds of each file are compared with its footer first.
     """
     spark, out = files.sparkSession, cfg.layout
     counts = spark.createDataFrame([], "file_name string, rows long")
@@ -215,8 +249,14 @@ def _record(files: DataFrame, cfg: RunConfig, batch_id: str) -> int:
         name = base_name(decode_path(SOURCE_FILE)).alias("file_name")
         counts = per_file.select(name, "rows")
     entries = files.join(counts, "file_name", "left").select(
-        "file_name", F.coalesce("rows", F.lit(0)).alias("rows")
+        "file_name", "footer_rows", F.coalesce("rows", F.lit(0)).alias("rows")
     )
+    entries = materialize(entries)
+    wrong = entries.filter("rows != footer_rows").orderBy("file_name").limit(20).collect()
+    if wrong:
+        told = [f"{r['file_name']}: {r['rows']} of {r['footer_rows']}" for r in wrong]
+        raise ReconciliationError(f"rows stored in batch {batch_id}: {', '.join(told)}")
+    entries = entries.select("file_name", "rows")
     seen = Observation()
     entries = entries.observe(seen, F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
     append_batch(stamp(entries, BATCH_ID, batch_id), out.ledger, cfg.fmt)

@@ -117,60 +117,68 @@ def _footer_reader():
     """The function that tasks run. It is defined here, and imports what it needs
     itself, so that Spark ships it whole: executors need not have this package."""
 
-    def open_schema(path):
+    def open_footer(path):
         from urllib.parse import quote
 
         from pyarrow import fs, parquet
 
         scheme, sep, rest = path.partition(":")
         if not sep or scheme == "file":
-            return parquet.read_schema("/" + rest.lstrip("/") if sep else path)
+            return parquet.read_metadata("/" + rest.lstrip("/") if sep else path)
         scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
         store, name = fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
-        return parquet.read_schema(name, filesystem=store)
+        return parquet.read_metadata(name, filesystem=store)
 
     def described(path):
-        schema = open_schema(path)
+        footer = open_footer(path)
+        schema = footer.schema.to_arrow_schema()
         names = [n.lower() for n in schema.names]
         clashes = sorted({n for n in names if names.count(n) > 1})
         if clashes:
             raise ValueError(f"columns differ only in case: {clashes}")
-        return ", ".join(sorted(f"{n} {t}" for n, t in zip(schema.names, schema.types)))
+        kinds = sorted(f"{n} {t}" for n, t in zip(schema.names, schema.types))
+        return ", ".join(kinds), footer.num_rows
 
     def read(batches):
         import pyarrow as pa
 
         for batch in batches:
             found = [described(p) for p in batch.column("path").to_pylist()]
-            columns = [*batch.columns, pa.array(found, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "footer"])
+            footers = pa.array([f for f, _ in found], pa.string())
+            rows = pa.array([n for _, n in found], pa.int64())
+            names = [*batch.schema.names, "footer", "footer_rows"]
+            yield pa.RecordBatch.from_arrays([*batch.columns, footers, rows], names=names)
 
     return read
 
 
 def read_footers(spark: SparkSession, files: DataFrame, reader: str = "executors"):
-    """``files`` with the schema in each one's footer, as text, in a column ``footer``.
+    """``files`` with what each one's footer says: ``footer``, ``footer_rows``.
 
+    ``footer`` is the schema, as text; ``footer_rows`` the number of rows.
     "executors" opens the footers in parallel tasks; only paths reach Python.
-    "spark" lets Spark infer each schema, one file at a time per thread, for stores
-    that only Spark can reach; the paths then come to the driver.
+    "spark" lets Spark infer each schema and count the rows, one file at a time per
+    thread, for stores that only Spark can reach; the paths then come to the driver.
     """
     if reader == "executors":
         # A list of paths is tiny, so adaptive execution would leave it in one task.
         tasks = spark.sparkContext.defaultParallelism
         kinds = ", ".join(f"{n} {t}" for n, t in files.dtypes)
-        return files.repartition(tasks).mapInArrow(_footer_reader(), f"{kinds}, footer string")
+        return files.repartition(tasks).mapInArrow(
+            _footer_reader(), f"{kinds}, footer string, footer_rows long"
+        )
     if reader != "spark":
         raise ValueError(f"unknown footer reader {reader!r}")
 
     def inferred(row) -> tuple:
-        schema = lowercase_columns(spark.read.parquet(escape_glob(row["path"]))).schema
-        return (*row, ", ".join(sorted(f"{f.name} {f.dataType.simpleString()}" for f in schema)))
+        df = lowercase_columns(spark.read.parquet(escape_glob(row["path"])))
+        named = sorted(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+        return (*row, ", ".join(named), df.count())
 
     with ThreadPoolExecutor(16) as pool:
         rows = list(pool.map(inferred, files.toLocalIterator()))
     kinds = ", ".join(f"{n} {t}" for n, t in files.dtypes)
-    return spark.createDataFrame(rows, f"{kinds}, footer string")
+    return spark.createDataFrame(rows, f"{kinds}, footer string, footer_rows long")
 
 
 def escape_glob(path: str) -> str:

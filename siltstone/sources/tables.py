@@ -177,13 +177,18 @@ def fit_to_table(df: DataFrame, target: StructType, evolve: bool = False) -> Dat
 
 
 def append_batch(
-    df: DataFrame, path: str, fmt: str = "parquet", more: bool = False
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    more: bool = False,
+    rows_per_file: int = 0,
 ) -> None:
     """Add one batch, a frame with a single ``_batch_id``, to the table.
 
     The batch is a partition of its own and is written by dynamic partition
     overwrite: a retry of the same batch replaces it instead of doubling it. With
-    ``more``, the rows are added to what the batch has.
+    ``more``, the rows are added to what the batch has. No file gets more than
+    ``rows_per_file`` rows, unless that is 0.
     """
     spark = df.sparkSession
     if is_stream_table(spark, path):
@@ -192,6 +197,7 @@ def append_batch(
         df.write.format(fmt)
         .mode("append" if more else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", rows_per_file)
         .partitionBy(BATCH_ID)
         .save(path)
     )

@@ -102,7 +102,7 @@ def start_drifting_stream(
         ingest_files(batch.sparkSession, cfg, batch, f"{prefix}-{number:08d}")
 
     return (
-        files.select("path", "file_name")
+        files.select("path", "file_name", "length")
         .writeStream.foreachBatch(append)
         .option("checkpointLocation", out.stream_checkpoint)
         .trigger(availableNow=True)

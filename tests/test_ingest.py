@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from taxi_rows import at, raw_frame, spec, trip
 
 from siltstone.config import Layout, RunConfig
-from siltstone.plans.stages import clean, free_id, ingest
+from siltstone.plans import stages
+from siltstone.plans.stages import ReconciliationError, clean, file_plan, free_id, ingest
 from siltstone.sources.files import (
     file_names,
     list_source_files,
@@ -302,6 +303,63 @@ def test_listing_and_ledger_names(spark, cfg):
     assert [r[0] for r in file_names(df).collect()] == ["a b+"]
 
 
+@pytest.mark.parametrize("change", ["filter", "union"])
+def test_rows_are_held_against_the_footer(spark, cfg, monkeypatch, change):
+    """A file that bronze has short, or double, is not in the ledger, and is read again."""
+    land(spark, cfg, "A.parquet", month(spark, 3, 0))
+    land(spark, cfg, "B.parquet", month(spark, 4, 10))
+    read = stages.read_schema_groups
+
+    def damaged(*args):
+        (df,) = read(*args)
+        some = df.filter(F.col("_source_file").contains("B.parquet"))
+        other = df.filter(~F.col("_source_file").contains("B.parquet"))
+        return [other.union(some.filter("fare_amount IS NULL") if change == "filter" else some.union(some))]
+
+    with monkeypatch.context() as m:
+        m.setattr(stages, "read_schema_groups", damaged)
+        wrong = "0 of 4" if change == "filter" else "8 of 4"
+        with pytest.raises(ReconciliationError, match=f"b_1: B.parquet: {wrong}$"):
+            ingest(spark, cfg, "b_1")
+    assert not os.path.exists(cfg.layout.ledger)
+    # The file that bronze lacks altogether is new; the others go into their batch again.
+    batches = [("b_1", 3), ("b_2", 4)] if change == "filter" else [("b_1", 7)]
+    assert [(r.table, r.rows_out) for r in ingest(spark, cfg, "b_2")] == batches
+    assert per_file(spark, cfg) == {"A.parquet": 3, "B.parquet": 4}
+    assert ingest(spark, cfg, "b_3") == []
+
+
+def stored_sizes(cfg, batch):
+    folder = f"{cfg.layout.bronze}/_batch_id={batch}"
+    return [os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder) if f.endswith(".parquet")]
+
+
+@pytest.mark.parametrize("files", [1, 300])
+def test_stored_files_are_near_the_size_asked_for(spark, cfg, monkeypatch, files):
+    monkeypatch.setattr(stages, "SMALL_FILE", 1 << 20)
+    rows = month(spark, 1, 0).crossJoin(spark.range(300_000)).drop("id")
+    rows = rows.withColumn("fare_amount", F.rand(3)).withColumn("tip_amount", F.rand(4))
+    rows.repartition(files).write.parquet(cfg.layout.raw)
+    n_bytes = sum(f.stat().st_size for f in os.scandir(cfg.layout.raw) if f.name.endswith(".parquet"))
+    size = n_bytes // 4
+    cfg = RunConfig(cfg.spec, cfg.layout, file_bytes=size)
+    before = len(write_plans(spark))
+    assert [r.rows_out for r in ingest(spark, cfg, "b_1")] == [300_000]
+    sizes = stored_sizes(cfg, "b_1")
+    assert len(sizes) <= 8 and max(sizes) <= 1.7 * size, (size, sizes)
+    append = [p for p in write_plans(spark)[before:] if f"{cfg.layout.bronze}," in p]
+    assert append and "Sort" not in append[-1] and "Exchange" not in append[-1]
+
+
+def test_file_plan():
+    mb = 1 << 20
+    assert file_plan(0, 0, 128 * mb, 8) == (1, 0)
+    assert file_plan(3 * mb, 1000, 128 * mb, 8)[0] == 1
+    assert file_plan(20 * mb, 1000, 128 * mb, 8)[0] == 5
+    assert file_plan(1000 * mb, 1000, 128 * mb, 4) == (8, 192)
+    assert file_plan(1000 * mb, 1000, 128 * mb, 400)[0] == 250
+
+
 def test_scratch_is_deleted_with_its_scope(spark):
     from siltstone.sources.paths import path_exists
     from siltstone.sources.scratch import materialize, scratch_scope
