@@ -8,8 +8,15 @@ A token needs counts from all over the corpus, but there are far too many n-gram
 broadcast, and too many tokens to join one by one. So texts are kept in chunks, each with
 its distinct n-grams, and n-grams are partitioned into buckets by key. A chunk asks
 each bucket for all its n-grams at once: a sorted array of keys goes there, and an array
-of values, in the same order, comes back. The chunks are a bucketed table, so that
-answers come to them without moving texts again.
+of values, in the same order, comes back. Chunks and answers are tables bucketed by chunk,
+so that they meet again without moving.
+
+Most long n-grams occur once, and nobody asks for them. An n-gram is no more frequent than
+its first or its last n - 1 words; where one of these was seen once, the n-gram's count is
+one and known to its chunk, unless both are also in a held-out text, whose chunk must learn
+of it. A seen n-gram is divided by its history's count, a count of the order below, which
+the chunk has; a bucket is asked for a history's weight only where a held-out text follows it
+by a word not seen there. All this leaves out what is known, so no result depends on it.
 """
 
 from __future__ import annotations
@@ -131,34 +138,44 @@ def tokenized(docs: DataFrame, chunk_tokens: int) -> DataFrame:
 
 
 class Chunk:
-    """A chunk's tokens and the keys of the n-grams that end at them.
+    """A chunk's tokens and the keys of the n-grams that end at them, up to order ``top``.
 
     ``grams[k]`` are the distinct keys of order k, sorted, and ``at[k]`` each token's
-    place among them. ``pasts[k]`` and ``past_at[k]`` are the same for the k - 1 words
-    before the token. The place before a text's first word is filled with a mark.
+    place among them; ``some[k]`` is a token of each. The k - 1 words before a token are
+    the (k - 1)-gram of the token before, whose place is ``past_at[k]``. The places before
+    a text's first word are filled with marks: that history is ``starts[k]``, one place
+    beyond the others.
     """
 
-    def __init__(self, row: dict, order: int):
+    def __init__(self, row: dict, top: int):
         hashes = unpacked(row["words"], row["n_words"], np.uint64)
         tokens = unpacked(row["tokens"], row["n_tokens"], np.int32)
         self.sizes = np.array(row["sizes"], np.int64)
         self.held = np.array(row["held"], bool)
         self.ids = row["doc_ids"]
         self.learned = np.repeat(~self.held, self.sizes)
-        word = np.append(hashes, END)[tokens]
-        since = np.arange(len(word)) - np.repeat(
-            np.cumsum(self.sizes) - self.sizes, self.sizes
-        )
-        self.grams, self.at, self.pasts, self.past_at = {}, {}, {}, {}
-        for k in range(1, order + 1):
-            past = np.zeros(len(word), np.uint64)
-            for back in range(k - 1, 0, -1):
-                there = np.roll(word, back)
-                there[since < back] = START
-                past = _joined(past, there)
-            self.grams[k], self.at[k] = np.unique(_joined(past, word), return_inverse=True)
-            if k > 1:
-                self.pasts[k], self.past_at[k] = np.unique(past, return_inverse=True)
+        first = np.cumsum(self.sizes) - self.sizes
+        words = np.append(hashes, END)
+        own, rank = np.unique(_joined(np.zeros(len(words), np.uint64), words), return_inverse=True)
+        self.grams, self.at, self.end = {1: own}, {1: rank[tokens]}, rank[-1]
+        self.past_at, self.starts = {}, {}
+        word, key, start = words[tokens], own[self.at[1]], np.zeros(1, np.uint64)
+        for k in range(2, top + 1):
+            start = _joined(start, np.array([START]))
+            past, past_at = np.roll(key, 1), np.roll(self.at[k - 1], 1)
+            past[first], past_at[first] = start, len(self.grams[k - 1])
+            key = _joined(past, word)
+            self.grams[k], self.at[k] = np.unique(key, return_inverse=True)
+            self.past_at[k], self.starts[k] = past_at, start
+        self.some = {k: np.zeros(len(g), np.int64) for k, g in self.grams.items()}
+        for k, at in self.at.items():
+            self.some[k][at] = np.arange(len(at))
+
+    def own_counts(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """How often the chunk's training texts have its n-grams; if held-out ones do."""
+        n = len(self.grams[k])
+        learned = np.bincount(self.at[k], weights=self.learned, minlength=n)
+        return learned.astype(np.int64), np.bincount(self.at[k], minlength=n) > learned
 
 
 def _joined(past: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -184,11 +201,11 @@ def cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
 def questions(
     chunk: int, kind: str, keys: np.ndarray, values: np.ndarray, buckets: int
 ) -> Iterator[tuple]:
-    """Rows of ``ASK_COLUMNS``; ``values`` has a row for each key."""
+    """Rows of ``ASK_COLUMNS``; ``values`` has a column for each key."""
     edges = cuts(keys, buckets)
     for b in np.flatnonzero(np.diff(edges)).tolist():
         part = slice(edges[b], edges[b + 1])
-        block = np.ascontiguousarray(values[part]).reshape(-1)
+        block = np.ascontiguousarray(values[..., part]).reshape(-1)
         size = int(edges[b + 1] - edges[b])
         yield chunk, kind, b, size, packed_keys(keys[part]), packed(block)
 
@@ -196,13 +213,18 @@ def questions(
 def answers(rows: Sequence[dict], kind: str, size: int, dtype, width: int) -> np.ndarray:
     """A chunk's answers of one kind, in the order of its keys."""
     mine = sorted((r for r in rows if r["kind"] == kind), key=lambda r: r["bucket"])
-    parts = [unpacked(r["values"], r["size"] * width, dtype) for r in mine]
-    found = np.concatenate([*parts, np.zeros(0, dtype)]).reshape(-1, width)
-    if len(found) != size:
-        raise ValueError(f"{len(found)} answers to {size} questions of kind {kind}")
+    found = in_columns(mine, dtype, width)
+    if found.shape[1] != size:
+        raise ValueError(f"{found.shape[1]} answers to {size} questions of kind {kind}")
     return found
 
 
+def in_columns(rows: Sequence[dict], dtype, width: int) -> np.ndarray:
+    """The values of all rows side by side, ``width`` of them to a key."""
+    cells = [unpacked(r["values"], r["size"] * width, dtype).reshape(width, -1) for r in rows]
+    return np.concatenate([np.zeros((width, 0), dtype), *cells], axis=1)
+
+
 def asked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[dict]]:
     """Of a bucket's questions: distinct keys, each question's place, and the rows."""
     rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
@@ -226,105 +248,113 @@ def as_table(rows: Iterator[tuple], columns: str) -> pa.Table:
     return pa.Table.from_arrays(arrays, schema=pa.schema(fields))
 
 
-def ask_counts(order: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
-    """A chunk's n-grams of all orders, with how often its training texts have them."""
+def per_chunk(rows: Callable[[dict, list[dict]], Iterator[tuple]], columns: str):
+    """A function of Spark's groups from one of a chunk's cells and its answers."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        replies = right.to_pylist()
+        found = (row for cells in left.to_pylist() for row in rows(cells, replies))
+        return as_table(found, columns)
+
+    return run
+
+
+def ask_short(top: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
+    """Questions for a chunk's n-grams of the orders up to ``top``, all of them."""
 
     def ask(table: pa.Table) -> pa.Table:
         def rows():
             for cells in table.to_pylist():
-                own = Chunk(cells, order)
-                for k in range(1, order + 1):
-                    n = np.bincount(
-                        own.at[k], weights=own.learned, minlength=len(own.grams[k])
-                    ).astype(np.uint32)
-                    yield from questions(
-                        cells["chunk"], f"count{k}", own.grams[k], n, buckets
-                    )
+                own = Chunk(cells, top)
+                every = Evaluation(own, [], None, 0)
+                for k in range(1, top + 1):
+                    yield from count_questions(cells["chunk"], every, k, buckets)
 
         return as_table(rows(), ASK_COLUMNS)
 
     return ask
 
 
-def answer_counts(table: pa.Table) -> pa.Table:
-    """Total counts, and a mark for the first chunk that has learned an n-gram.
+def count_questions(chunk: int, found: Evaluation, k: int, buckets: int):
+    """For the n-grams of order k whose counts a chunk does not know.
 
-    A row without chunk has the bucket's number of n-grams by count (0 for more than
-    ``RELIABLE`` + 1) and the sum of all counts.
+    Of those it knows to have been seen once, one row tells how many there are.
     """
+    asks = found.asks(k)
+    learned, held = found.chunk.own_counts(k)
+    n = (learned << 1 | held)[asks].astype(np.uint32)
+    yield from questions(chunk, f"count{k}", found.chunk.grams[k][asks], n, buckets)
+    alone = int((~asks & (learned > 0)).sum())
+    if alone:
+        yield chunk, f"alone{k}", chunk % buckets, alone, b"", b""
+
+
+def ask_longer(k: int, order: int, buckets: int, model: Model):
+    """What histories of order k get from a chunk, and counts of the order above."""
+
+    def rows(cells: dict, replies: list[dict]):
+        found = Evaluation(Chunk(cells, min(k + 1, order)), replies, model, k - 1)
+        yield from found.past_questions(cells["chunk"], k, buckets)
+        if k < order:
+            yield from count_questions(cells["chunk"], found, k + 1, buckets)
+
+    return per_chunk(rows, ASK_COLUMNS)
+
+
+def answer(table: pa.Table) -> pa.Table:
+    """The answers to one kind of questions to a bucket."""
+    kind, bucket = table["kind"][0].as_py(), table["bucket"][0].as_py()
+    if kind.startswith("alone"):
+        n = sum(table["size"].to_pylist())
+        stats = np.zeros(RELIABLE + 3, np.int64)
+        stats[1] = stats[-1] = n
+        row = None, kind.replace("alone", "count"), bucket, len(stats), packed(stats)
+        return as_table(iter([row]), ANSWER_COLUMNS)
     distinct, place, rows = asked(table)
-    kind, bucket = rows[0]["kind"], rows[0]["bucket"]
-    own = np.concatenate([unpacked(r["values"], r["size"], np.uint32) for r in rows])
-    totals = np.bincount(place, weights=own, minlength=len(distinct)).astype(np.uint64)
-    learned = np.flatnonzero(own)
-    _, first = np.unique(place[learned], return_index=True)
-    owner = np.zeros(len(place), np.uint64)
-    owner[learned[first]] = 1
-    values = (totals[place] << np.uint64(1)) | owner
-    sizes = np.where(totals > RELIABLE + 1, 0, totals)[totals > 0].astype(np.int64)
-    stats = np.append(np.bincount(sizes, minlength=RELIABLE + 2), totals.sum())
+    answered = answer_counts if kind.startswith("count") else answer_backoff
+    values, stats = answered(place, len(distinct), rows)
 
     def out():
         at = 0
         for r in rows:
-            part = values[at : at + r["size"]]
-            yield r["chunk"], kind, bucket, r["size"], packed(np.ascontiguousarray(part))
+            part = np.ascontiguousarray(values[..., at : at + r["size"]]).reshape(-1)
+            yield r["chunk"], kind, bucket, r["size"], packed(part)
             at += r["size"]
-        yield None, kind, bucket, len(stats), packed(stats.astype(np.int64))
+        if stats is not None:
+            yield None, kind, bucket, len(stats), packed(stats)
 
     return as_table(out(), ANSWER_COLUMNS)
 
 
-def ask_backoff(k: int, order: int, buckets: int, model: Model):
-    """What a chunk's own n-grams of order k take from their histories."""
-
-    def ask(left: pa.Table, right: pa.Table) -> pa.Table:
-        def rows():
-            replies = right.to_pylist()
-            for cells in left.to_pylist():
-                own = Chunk(cells, order)
-                found = Evaluation(own, replies, model, k - 1)
-                counts, owner = found.counts(k)
-                last = np.zeros(len(counts), np.int64)  # any token of each n-gram
-                last[own.at[k]] = np.arange(len(own.at[k]))
-                last = last[owner]
-                c = counts[owner]
-                past = own.past_at[k][last]
-                n = len(own.pasts[k])
-                sums = [
-                    np.bincount(past, weights=w, minlength=n)
-                    for w in (c, model.discounted(k, c), found.p[last])
-                ]
-                values = np.stack(sums, axis=1)
-                yield from questions(
-                    cells["chunk"], f"past{k}", own.pasts[k], values, buckets
-                )
-
-        return as_table(rows(), ASK_COLUMNS)
+def answer_counts(place: np.ndarray, n: int, rows: list[dict]):
+    """Total counts, with a mark if held-out texts have the n-gram, and a mark for the
+    first chunk that has learned it.
 
-    return ask
+    Also the bucket's number of n-grams by count (0 for more than ``RELIABLE`` + 1) and
+    the sum of all counts.
+    """
+    own = in_columns(rows, np.uint32, 1)[0]
+    learned = own >> np.uint32(1)
+    totals = np.bincount(place, weights=learned, minlength=n).astype(np.uint64)
+    held = (np.bincount(place, weights=own & np.uint32(1), minlength=n) > 0).astype(np.uint64)
+    at = np.flatnonzero(learned)
+    _, first = np.unique(place[at], return_index=True)
+    owner = np.zeros(len(place), np.uint64)
+    owner[at[first]] = 1
+    values = (totals << np.uint64(2) | held << np.uint64(1))[place] | owner
+    sizes = np.where(totals > RELIABLE + 1, 0, totals)[totals > 0].astype(np.int64)
+    stats = np.append(np.bincount(sizes, minlength=RELIABLE + 2), totals.sum())
+    return values, stats.astype(np.int64)
 
 
-def answer_backoff(table: pa.Table) -> pa.Table:
-    """(divisor, weight) of each history: a seen n-gram's discounted count is divided by
-    the one, a probability after the shorter history multiplied by the other."""
-    distinct, place, rows = asked(table)
-    own = np.concatenate([unpacked(r["values"], r["size"] * 3, np.float64) for r in rows])
-    seen, kept, lower = (
-        np.bincount(place, weights=own.reshape(-1, 3)[:, i], minlength=len(distinct))
-        for i in range(3)
-    )
+def answer_backoff(place: np.ndarray, n: int, rows: list[dict]):
+    """(what the divisor of seen n-grams is above the history's count, weight of the
+    probability after the shorter history; one where the chunk does not use it)."""
+    own = in_columns(rows, np.float64, 4)
+    seen, kept, lower = (np.bincount(place, weights=w, minlength=n) for w in own[:3])
     divisor, weight = backoff(seen, kept, lower)
-    values = np.stack([divisor, weight], axis=1)[place]
-
-    def out():
-        at = 0
-        for r in rows:
-            part = np.ascontiguousarray(values[at : at + r["size"]]).reshape(-1)
-            yield r["chunk"], r["kind"], r["bucket"], r["size"], packed(part)
-            at += r["size"]
-
-    return as_table(out(), ANSWER_COLUMNS)
+    more = np.where(seen > 0, divisor - seen, 0.0)
+    return np.stack([more[place], np.where(own[3] > 0, weight[place], 1.0)]), None
 
 
 # --- the model ---------------------------------------------------------------
@@ -347,7 +377,7 @@ def discounts(by_count: Sequence[int]) -> np.ndarray:
     """Factors for counts 0 to ``RELIABLE`` from the numbers of n-grams by count.
 
     Katz's formula; where the numbers do not allow it (some are zero, or it leaves the
-    range from 0 to 1), half a count is taken off instead.
+    range from 0 to 1 or comes within a millionth of 1), half a count is taken off instead.
     """
     n = np.array(by_count, float)
     factors = np.ones(RELIABLE + 1)
@@ -356,7 +386,7 @@ def discounts(by_count: Sequence[int]) -> np.ndarray:
         factor = -1.0
         if n[r] and n[r + 1] and last < 1:
             factor = ((r + 1) * n[r + 1] / (r * n[r]) - last) / (1 - last)
-        factors[r] = factor if 0 < factor < 1 else (r - 0.5) / r
+        factors[r] = factor if 0 < factor < 1 - 1e-6 else (r - 0.5) / r
     return factors
 
 
@@ -365,7 +395,7 @@ class Model:
 
     def __init__(self, by_count: dict[int, Sequence[int]], tokens: int):
         self.factors = {k: discounts(n) for k, n in by_count.items()}
-        self.tokens = tokens
+        self.tokens = tokens  # of all training texts
         self.types = int(sum(by_count[1]))
         kept = sum(
             self.discounted(1, r) * by_count[1][r] for r in range(1, RELIABLE + 1)
@@ -388,23 +418,100 @@ class Model:
 class Evaluation:
     """Probabilities of a chunk's tokens, order by order up to ``top``."""
 
-    def __init__(self, chunk: Chunk, replies: Sequence[dict], model: Model, top: int):
-        self.chunk, self.replies = chunk, replies
-        counts, _ = self.counts(1)
-        self.known = counts[chunk.at[1]]
-        self.p = model.single(counts)[chunk.at[1]]
+    def __init__(self, chunk: Chunk, replies: Sequence[dict], model: Model | None, top: int):
+        self.chunk, self.replies, self.model = chunk, replies, model
+        self._counts: dict[int, tuple] = {}
+        if top:
+            counts = self.counts(1)[0]
+            self.known = counts[chunk.at[1]]
+            self.p = model.single(counts)[chunk.at[1]]
         for k in range(2, top + 1):
-            counts, _ = self.counts(k)
-            c = counts[chunk.at[k]]
-            past = answers(replies, f"past{k}", len(chunk.pasts[k]), np.float64, 2)
-            divisor, weight = past[chunk.past_at[k]].T
-            self.p = np.where(c > 0, model.discounted(k, c) / divisor, weight * self.p)
-
-    def counts(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Training counts of the n-grams of order k, and which this chunk stands for."""
-        n = len(self.chunk.grams[k])
-        values = answers(self.replies, f"count{k}", n, np.uint64, 1)[:, 0]
-        return (values >> np.uint64(1)).astype(np.int64), (values & np.uint64(1)) > 0
+            c = self.counts(k)[0][chunk.at[k]]
+            seen, _ = self.histories(k)
+            place, _ = self.past_places(k)
+            more, weight = np.zeros(len(seen)), np.ones(len(seen))
+            more[place], weight[place] = answers(replies, f"past{k}", len(place), np.float64, 2)
+            past = chunk.past_at[k]
+            divisor = np.maximum(seen + more, 1)[past]
+            self.p = np.where(c > 0, model.discounted(k, c) / divisor, weight[past] * self.p)
+
+    def asks(self, k: int) -> np.ndarray:
+        """Of which n-grams of order k the counts come from a bucket.
+
+        The others have no training text at all, or are known to be in no more than one.
+        """
+        chunk = self.chunk
+        if k <= 2:
+            return np.ones(len(chunk.grams[k]), bool)
+        seen, held = self.histories(k)
+        some = chunk.some[k]
+        past, last = chunk.past_at[k][some], chunk.at[k - 1][some]
+        few = np.minimum(seen[past], seen[last])
+        learned, _ = chunk.own_counts(k)
+        return np.where(learned > 0, (few > 1) | (held[past] & held[last]), few > 0)
+
+    def counts(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the n-grams of order k: training counts, whether held-out texts have them
+        too, and which of them this chunk stands for."""
+        if k not in self._counts:
+            asks = self.asks(k)
+            found = answers(self.replies, f"count{k}", int(asks.sum()), np.uint64, 1)[0]
+            learned, held = self.chunk.own_counts(k)
+            counts, owner = learned.copy(), learned > 0
+            counts[asks] = found >> np.uint64(2)
+            held[asks] = (found & np.uint64(2)) > 0
+            owner[asks] = (found & np.uint64(1)) > 0
+            self._counts[k] = counts, held, owner
+        return self._counts[k]
+
+    def histories(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of the histories of order k, and whether held-out texts have them.
+
+        Every (k - 1)-gram but those at a text's end is followed by a token, so its count
+        is the history's; every text has one start and one end.
+        """
+        counts, held, _ = self.counts(k - 1)
+        texts = self.counts(1)[0][self.chunk.end]
+        return np.append(counts, texts), np.append(held, True)
+
+    def past_places(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the histories sent to buckets, in order of key, and where the weight
+        is used.
+
+        A chunk sends what n-grams it stands for take from a history that is in held-out
+        texts or frequent. It needs the weight for words not seen after the history, and
+        the divisor if a frequent n-gram has the history, or the history itself is so
+        frequent that discounts are small beside it: otherwise nothing is added to it.
+        """
+        chunk = self.chunk
+        counts, _, owner = self.counts(k)
+        seen, held = self.histories(k)
+        past, c = chunk.past_at[k], counts[chunk.at[k]]
+        wanted, sent = np.zeros(len(seen), bool), np.zeros(len(seen), bool)
+        wanted[past[c == 0]] = True
+        wanted &= seen > 0
+        sent[past[chunk.some[k][owner]]] = True
+        sent &= held | (seen > RELIABLE)
+        sent[past[(c > RELIABLE) | (seen[past] > 1000)]] = True
+        place = np.flatnonzero(sent | wanted)
+        keys = np.append(chunk.grams[k - 1], chunk.starts[k])
+        place = place[np.argsort(keys[place], kind="stable")]
+        return place, wanted[place]
+
+    def past_questions(self, chunk: int, k: int, buckets: int) -> Iterator[tuple]:
+        own = self.chunk
+        counts, _, owner = self.counts(k)
+        _, held = self.histories(k)
+        place, wanted = self.past_places(k)
+        some, c = own.some[k][owner], counts[owner]
+        past, n = own.past_at[k][some], len(held)
+        sums = [
+            np.bincount(past, weights=w, minlength=n)[place]
+            for w in (c, self.model.discounted(k, c), self.p[some] * held[past])
+        ]
+        keys = np.append(own.grams[k - 1], own.starts[k])[place]
+        values = np.stack([*sums, wanted.astype(float)])
+        yield from questions(chunk, f"past{k}", keys, values, buckets)
 
 
 SCORE_COLUMNS = (
@@ -414,32 +521,27 @@ SCORE_COLUMNS = (
 
 
 def scores(order: int, model: Model) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        def rows():
-            replies = right.to_pylist()
-            for cells in left.to_pylist():
-                own = Chunk(cells, order)
-                found = Evaluation(own, replies, model, order)
-                doc = np.repeat(np.arange(len(own.sizes)), own.sizes)
-                base = np.log10((found.known + 1) / (model.tokens + model.types + 1))
-                sums = [
-                    np.bincount(doc, weights=w, minlength=len(own.sizes))
-                    for w in (found.known > 0, base, np.log10(found.p))
-                ]
-                for i, doc_id in enumerate(own.ids):
-                    yield (
-                        doc_id,
-                        bool(own.held[i]),
-                        int(own.sizes[i]),
-                        int(sums[0][i]),
-                        model.tokens,
-                        float(sums[1][i]),
-                        float(sums[2][i]),
-                    )
-
-        return as_table(rows(), SCORE_COLUMNS)
-
-    return score
+    def rows(cells: dict, replies: list[dict]):
+        own = Chunk(cells, order)
+        found = Evaluation(own, replies, model, order)
+        doc = np.repeat(np.arange(len(own.sizes)), own.sizes)
+        base = np.log10((found.known + 1) / (model.tokens + model.types + 1))
+        sums = [
+            np.bincount(doc, weights=w, minlength=len(own.sizes))
+            for w in (found.known > 0, base, np.log10(found.p))
+        ]
+        for i, doc_id in enumerate(own.ids):
+            yield (
+                doc_id,
+                bool(own.held[i]),
+                int(own.sizes[i]),
+                int(sums[0][i]),
+                model.tokens,
+                float(sums[1][i]),
+                float(sums[2][i]),
+            )
+
+    return per_chunk(rows, SCORE_COLUMNS)
 
 
 # --- the operator ------------------------------------------------------------
@@ -448,7 +550,7 @@ def scores(order: int, model: Model) -> Callable[[pa.Table, pa.Table], pa.Table]
 def train_and_score(
     docs: DataFrame,
     held: str = "crc32(cast(doc_id AS string)) % 7 = 2",
-    order: int = 2,
+    order: int = 3,
     chunk_tokens: int = CHUNK_TOKENS,
     bucket_entries: int = BUCKET_ENTRIES,
     id_column: str = "doc_id",
@@ -470,44 +572,47 @@ def train_and_score(
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), empty_text(text_column).alias("text"))
     texts = texts.select("doc_id", F.coalesce(F.expr(held), F.lit(False)), "text")
-    path, name = scratch_dir(spark), f"katz_{uuid.uuid4().hex}"
     n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # Bucketed by chunk: answers are sent to the chunks, which stay where they are.
     files = min(parts_for(n_bytes, 6 * chunk_tokens), MAX_FILES)
-    chunks = tokenized(texts, chunk_tokens)
-    chunks.write.bucketBy(files, "chunk").option("path", path).saveAsTable(name)
-    chunks = spark.table(name)
-    n_tokens = chunks.agg(F.sum("n_tokens")).first()[0] or 0
-    if not n_tokens:
-        spark.sql(f"DROP TABLE {name}")
-        return spark.createDataFrame([], SCORE_COLUMNS)
-    buckets = parts_for(n_tokens, bucket_entries)
-
-    asked_counts = chunks.groupBy("chunk").applyInArrow(
-        ask_counts(order, buckets), ASK_COLUMNS
-    )
-    replies = materialize(
-        asked_counts.groupBy("kind", "bucket").applyInArrow(answer_counts, ANSWER_COLUMNS)
-    )
-    by_count, tokens = {}, 0
+    names = {part: f"katz_{part}_{uuid.uuid4().hex}" for part in ("chunks", "replies")}
+    paths = {part: scratch_dir(spark) for part in names}
+
+    def bucketed(rows: DataFrame, part: str) -> DataFrame:
+        """The table with these rows added, which is read by chunk without a shuffle."""
+        writer = rows.write.mode("append").bucketBy(files, "chunk")
+        writer.option("path", paths[part]).saveAsTable(names[part])
+        return spark.table(names[part])
+
+    try:
+        chunks = bucketed(tokenized(texts, chunk_tokens), "chunks")
+        n_tokens = chunks.agg(F.sum("n_tokens")).first()[0] or 0
+        if not n_tokens:
+            return spark.createDataFrame([], SCORE_COLUMNS)
+        buckets = parts_for(n_tokens, bucket_entries)
+        by_chunk = chunks.groupBy("chunk")
+        asking = by_chunk.applyInArrow(ask_short(min(2, order), buckets), ASK_COLUMNS)
+        for k in range(1, order + 1):
+            if k > 1:
+                asking = both.applyInArrow(ask_longer(k, order, buckets, model), ASK_COLUMNS)
+            found = asking.groupBy("kind", "bucket").applyInArrow(answer, ANSWER_COLUMNS)
+            replies = bucketed(found.repartition(files, "chunk"), "replies")
+            sums = summed(replies.filter("chunk IS NULL"))
+            nothing = [0] * (RELIABLE + 3)
+            counts = [sums.get(f"count{j}", nothing) for j in range(1, order + 1)]
+            model = Model({j: c[:-1] for j, c in enumerate(counts, 1)}, counts[0][-1])
+            replies = replies.filter("chunk IS NOT NULL")
+            both = by_chunk.cogroup(replies.groupBy("chunk"))
+        return materialize(both.applyInArrow(scores(order, model), SCORE_COLUMNS))
+    finally:
+        for part, name in names.items():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            delete_folder(spark, paths[part])
+
+
+def summed(rows: DataFrame) -> dict[str, list[int]]:
+    """The sums of all buckets by kind of count; there is a row per bucket and kind."""
     sums: dict[str, np.ndarray] = {}
-    for row in replies.filter("chunk IS NULL").toLocalIterator():
+    for row in rows.toLocalIterator():
         stats = unpacked(bytes(row["values"]), row["size"], np.int64)
         sums[row["kind"]] = sums.get(row["kind"], 0) + stats
-    for k in range(1, order + 1):
-        *numbers, total = (int(x) for x in sums[f"count{k}"])
-        by_count[k] = numbers
-        tokens = total if k == 1 else tokens
-    model = Model(by_count, tokens)
-    replies = replies.filter("chunk IS NOT NULL")
-
-    for k in range(2, order + 1):
-        questions_ = chunks.groupBy("chunk").cogroup(replies.groupBy("chunk"))
-        taken = questions_.applyInArrow(ask_backoff(k, order, buckets, model), ASK_COLUMNS)
-        weights = taken.groupBy("kind", "bucket").applyInArrow(answer_backoff, ANSWER_COLUMNS)
-        replies = replies.unionByName(materialize(weights))
-    found = chunks.groupBy("chunk").cogroup(replies.groupBy("chunk"))
-    result = materialize(found.applyInArrow(scores(order, model), SCORE_COLUMNS))
-    spark.sql(f"DROP TABLE {name}")
-    delete_folder(spark, path)
-    return result
+    return {kind: [int(x) for x in total] for kind, total in sums.items()}
