@@ -22,6 +22,9 @@ from pyspark.sql.types import (
 )
 
 
+_BITS = {ByteType: 8, ShortType: 16, IntegerType: 32}
+
+
 def lowercase_columns(df: DataFrame) -> DataFrame:
     """Lower-case every column name; two names that would collide are an error."""
     lowered = [c.lower() for c in df.columns]
@@ -57,11 +60,10 @@ def _fitting(name: str, source: DataType, target: str) -> Column:
     kind = DataType.fromDDL(target)
     cast = column.try_cast(target)
     if isinstance(source, StringType) and isinstance(kind, IntegralType):
-        # Text may hold a fraction, which is cut off; exponents are not numbers here.
-        plain = column.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$")
-        whole = F.regexp_extract(column, r"^\s*([+-]?[0-9]*)", 1)
-        digits = F.when(whole.rlike("[0-9]$"), whole).otherwise("0")
-        return F.when(plain, digits.try_cast(target))
+        return _whole_number(column, target)
+    if isinstance(source, StringType) and isinstance(kind, (DoubleType, FloatType)):
+        # Text without a digit or one of these names is no number.
+        return F.when(column.rlike(r"[0-9]|^\s*[+-]?(?i:inf|nan)"), cast)
     if not isinstance(source, NumericType) or source == kind:
         return cast
     if isinstance(kind, DecimalType) and kind.precision - kind.scale <= 18:
@@ -69,14 +71,32 @@ def _fitting(name: str, source: DataType, target: str) -> Column:
         return F.when((column > -limit) & (column < limit), cast)
     if isinstance(kind, LongType) and isinstance(source, (DoubleType, FloatType)):
         return F.when((column >= -(2.0**63)) & (column < 2.0**63), cast)
-    bits = {ByteType: 8, ShortType: 16, IntegerType: 32}.get(type(kind))
-    if bits:
+    if type(kind) in _BITS:
         # Fractions are cut, so anything short of the next whole number fits.
-        limit = 2 ** (bits - 1)
+        limit = 2 ** (_BITS[type(kind)] - 1)
         return F.when((column > -limit - 1) & (column < limit), cast)
     return cast
 
 
+def _whole_number(column: Column, target: str) -> Column:
+    """Text as a whole number, its fraction cut off; exponents are not numbers here.
+
+    Plain digits, which nearly all such text is, are told by one pattern and cast without
+    failing. Only the rest (no digit before the point, 19 digits and more, or no number)
+    goes through the patterns for every spelling.
+    """
+    usual = column.rlike(r"^\s*[+-]?[0-9]{1,18}(\.[0-9]*)?\s*$")
+    number = F.substring_index(column, ".", 1).try_cast("bigint")
+    kind = type(DataType.fromDDL(target))
+    if kind in _BITS:
+        limit = 2 ** (_BITS[kind] - 1)
+        number = F.when(number.between(-limit, limit - 1), number.try_cast(target))
+    plain = column.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)\s*$")
+    whole = F.regexp_extract(column, r"^\s*([+-]?[0-9]*)", 1)
+    digits = F.when(whole.rlike("[0-9]$"), whole).otherwise("0")
+    return F.when(usual, number).when(plain, digits.try_cast(target))
+
+
 def standardize(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Bring one raw frame to the common spelling and types."""
     return cast_columns(lowercase_columns(df), types, missing="skip")

@@ -42,6 +42,22 @@ def one(df):
         ("1.2.3", "string", "bigint", None),
         ("", "string", "bigint", None),
         (".", "string", "bigint", None),
+        ("+5", "string", "bigint", 5),
+        ("\t12.9\n", "string", "bigint", 12),
+        ("1 2", "string", "bigint", None),
+        ("12 .5", "string", "bigint", None),
+        ("-999999999999999999.9", "string", "bigint", -(10**18) + 1),
+        ("1000000000000000000", "string", "bigint", 10**18),
+        ("0000000000000000000007", "string", "int", 7),
+        ("-128.9", "string", "tinyint", -128),
+        ("-129", "string", "tinyint", None),
+        ("32768", "string", "smallint", None),
+        ("1e3", "string", "double", 1000.0),
+        (".5", "string", "double", 0.5),
+        (" -Infinity ", "string", "double", -math.inf),
+        ("+inf", "string", "float", math.inf),
+        ("unknown 1", "string", "double", None),
+        ("infer", "string", "double", None),
         (2147483647.9, "double", "int", 2147483647),
         (2147483648.0, "double", "int", None),
         (-2147483648.9, "double", "int", -2147483648),
