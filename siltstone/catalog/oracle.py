@@ -344,6 +344,9 @@ from lineitem group by l_linenumber""",
         "ingest_ledger": """
 select 'batch_1' as _batch_id, count(*) as rows from lineitem
 union all select 'batch_2', count(*) from lineitem""",
+        "ledger_compacted": """
+select 'batch_' || n as _batch_id, count(*) as rows, true as once
+from lineitem cross join range(1, 4) t(n) group by n""",
         "ingest_reconciled": """
 select case when l_linenumber <= 2 then 'early' when l_linenumber <= 5 then 'middle'
             else 'late' end as kind,

@@ -60,6 +60,7 @@ from siltstone.sources.files import (
     read_footers,
     select_new_files,
 )
+from siltstone.sources.ledger import read_ledger
 from siltstone.sources.paths import delete_folder
 from siltstone.sources.scratch import scratch_dir
 from siltstone.sources.snapshots import read_snapshot
@@ -479,6 +480,23 @@ def q_ingest_ledger(spark, sf_dir):
     return ledger.groupBy("_batch_id").agg(F.sum("rows").alias("rows"))
 
 
+def q_ledger_compacted(spark, sf_dir):
+    """Rows per batch, and whether a file is in two, where all but the last is compacted."""
+    cfg = drifting_files(spark, sf_dir)
+    cfg = dataclasses.replace(cfg, ledger_batches=0)
+    ingest(spark, cfg, "batch_1")
+    order_lines(spark, sf_dir).write.mode("append").parquet(cfg.layout.raw)
+    ingest(spark, cfg, "batch_2")
+    order_lines(spark, sf_dir).write.mode("append").parquet(cfg.layout.raw)
+    ingest(spark, dataclasses.replace(cfg, ledger_batches=1), "batch_3")
+    ingest(spark, cfg, "batch_4")  # nothing is new
+    ledger = read_ledger(spark, cfg.layout.ledger)
+    return ledger.groupBy("_batch_id").agg(
+        F.sum("rows").alias("rows"),
+        (F.count("file_name") == F.count_distinct("file_name")).alias("once"),
+    )
+
+
 def q_ingest_reconciled(spark, sf_dir):
     """Rows of raw files by footer, by ledger and in bronze, by kind of file."""
     cfg = drifting_files(spark, sf_dir)

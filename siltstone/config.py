@@ -105,6 +105,8 @@ class RunConfig:
     max_files_per_write: int = 10_000
     # Size that stored files of bronze shall have about, however large the raw files are.
     file_bytes: int = 128 << 20
+    # Batches that the ledger holds in folders of their own before they are compacted.
+    ledger_batches: int = 1_000
     # Whether files may bring columns that the stored table does not have.
     evolve: bool = False
     # "executors" reads footers with pyarrow in parallel; "spark" asks Spark to

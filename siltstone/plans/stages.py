@@ -51,9 +51,11 @@ from siltstone.sources.files import (
     select_new_files,
     unfinished_files,
 )
+from siltstone.sources.ledger import compact_ledger, recorded_batches
 from siltstone.sources.scratch import materialize, scratch_scope
 from siltstone.sources.snapshots import publish_together
 from siltstone.sources.tables import (
+    FOLDER_FORMATS,
     append_batch,
     fit_to_table,
     read_batches,
@@ -187,7 +189,7 @@ def ingest(
         raise ValueError(f"batch id {batch_id!r} is not a plain folder name")
     files = list_source_files(spark, out.raw, cfg.glob)
     taken = stored_batches(spark, out.bronze, cfg.fmt)
-    taken |= stored_batches(spark, out.ledger, cfg.fmt)
+    taken |= recorded_batches(spark, out.ledger, cfg.fmt)
     return ingest_files(spark, cfg, files, free_id(taken, batch_id))
 
 
@@ -229,6 +231,9 @@ def ingest_files(
                 append_batch(df, out.bronze, cfg.fmt, more=n > 0, rows_per_file=most)
             own = pending.filter(F.col(BATCH_ID) == batch).select("file_name", "footer_rows")
             report.append(StageRow("ingest", batch, None, _record(own, cfg, batch)))
+    if cfg.fmt in FOLDER_FORMATS:
+        if len(stored_batches(spark, out.ledger, cfg.fmt)) > cfg.ledger_batches:
+            compact_ledger(spark, out.ledger, cfg.fmt)
     return report
 
 

@@ -13,8 +13,9 @@ from pyspark.sql.types import StructType
 from siltstone.config import BATCH_ID, SOURCE_FILE
 from siltstone.functions import base_name, decode_path
 from siltstone.operators.schema import lowercase_columns
+from siltstone.sources.ledger import read_ledger, recorded_batches
 from siltstone.sources.paths import qualified
-from siltstone.sources.tables import read_batches, read_table, stored_batches
+from siltstone.sources.tables import read_batches, stored_batches
 
 # What Spark's reader of whole files gives; the content is not read unless selected.
 BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
@@ -82,10 +83,10 @@ def ingested_files(
     other batches may be incomplete. Entries of batches that bronze has lost do not count.
     """
     stored = stored_batches(spark, bronze, fmt)
-    recorded = stored_batches(spark, ledger, fmt)
+    recorded = recorded_batches(spark, ledger, fmt)
     if not recorded:
         return spark.createDataFrame([], "file_name string")
-    entries = read_table(spark, ledger, fmt)
+    entries = read_ledger(spark, ledger, fmt)
     if recorded - stored:
         lost = F.col(BATCH_ID).isin(list(recorded - stored))
         entries = entries.filter(~lost | (F.col("rows") == 0))
@@ -99,7 +100,7 @@ def unfinished_files(
 
     Such a batch may lack files altogether; these are in no other batch and so are new.
     """
-    unfinished = stored_batches(spark, bronze, fmt) - stored_batches(spark, ledger, fmt)
+    unfinished = stored_batches(spark, bronze, fmt) - recorded_batches(spark, ledger, fmt)
     if not unfinished:
         return spark.createDataFrame([], f"file_name string, {BATCH_ID} string")
     rows = read_batches(spark, bronze, unfinished, fmt).filter(F.col(SOURCE_FILE) != "")

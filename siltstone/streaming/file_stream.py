@@ -11,6 +11,7 @@ from siltstone.operators.schema import stamp, standardize
 from siltstone.plans.stages import free_id, ingest_files, new_batch_id
 from siltstone.sources.files import stream_source_files, tag_source
 from siltstone.sources.paths import child_names, create_empty
+from siltstone.sources.ledger import recorded_batches
 from siltstone.sources.tables import is_stream_table, stored_batches, table_exists
 
 # In a checkpoint of drifting files: an empty file that names its batches' prefix.
@@ -72,7 +73,7 @@ def batch_prefix(spark: SparkSession, cfg: RunConfig, wanted: str) -> str:
     if kept:
         return kept[0]
     stored = stored_batches(spark, out.bronze, cfg.fmt)
-    stored |= stored_batches(spark, out.ledger, cfg.fmt)
+    stored |= recorded_batches(spark, out.ledger, cfg.fmt)
     prefix = free_id({i.rsplit("-", 1)[0] for i in stored} | stored, wanted)
     create_empty(spark, f"{out.stream_checkpoint}/{PREFIX}{prefix}")
     return prefix
