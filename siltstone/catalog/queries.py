@@ -412,7 +412,7 @@ def q_ingest_batch(spark, sf_dir):
 
 
 def q_ingest_many_batches(spark, sf_dir):
-    """Drifting files read one at a time, in one batch of one set of columns."""
+    """Drifting files, a plan for each, in one batch of one set of columns."""
     cfg = dataclasses.replace(drifting_files(spark, sf_dir), max_files_per_write=1)
     ingest(spark, cfg, "batch_1")
     return _bronze(spark, cfg)

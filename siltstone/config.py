@@ -101,7 +101,8 @@ class RunConfig:
     fmt: str = "parquet"
     glob: str = "*.parquet"
     # A plan names at most this many files, so that its list of paths stays bounded.
-    # A batch of more files is written in several steps, all in the same columns.
+    # A batch of more files is written in several steps, all in the same columns; where
+    # this is less than the cores, plans run side by side and a step takes several.
     max_files_per_write: int = 10_000
     # Size that stored files of bronze shall have about, however large the raw files are.
     file_bytes: int = 128 << 20

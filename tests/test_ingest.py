@@ -1,5 +1,7 @@
+import dataclasses
 import os
 import shutil
+import threading
 from urllib.parse import unquote
 
 import pytest
@@ -127,6 +129,56 @@ def test_the_number_of_writes_changes_nothing(spark, cfg, tmp_path, change):
     assert found[0] == found[1]
 
 
+def test_plans_of_few_files_run_side_by_side(spark, cfg, monkeypatch):
+    """Two plans must meet for either to go on; bronze gets their rows in one write."""
+    for i in range(4):
+        land(spark, cfg, f"{i}.parquet", month(spark, i + 1, 10 * i))
+    cfg = dataclasses.replace(cfg, max_files_per_write=1)
+    met, files, writes = threading.Barrier(2), [], []
+    plan, append = stages.raw_batch, stages.append_batch
+
+    def planned(groups, *args):
+        met.wait(60)
+        files.append([os.path.basename(f) for g in groups for f in g.inputFiles()])
+        return plan(groups, *args)
+
+    def appended(df, path, *args, **more):
+        writes.append(path)
+        append(df, path, *args, **more)
+
+    monkeypatch.setattr(stages, "raw_batch", planned)
+    monkeypatch.setattr(stages, "append_batch", appended)
+    assert [r.rows_out for r in ingest(spark, cfg, "b_1")] == [10]
+    assert sorted(files) == [[f"{i}.parquet"] for i in range(4)]
+    assert writes == [cfg.layout.bronze, cfg.layout.ledger]
+    assert per_file(spark, cfg) == {f"{i}.parquet": i + 1 for i in range(4)}
+    append = [p for p in write_plans(spark) if f"{cfg.layout.bronze}," in p]
+    assert append and "Sort" not in append[-1] and "Exchange" not in append[-1]
+
+
+def test_plans_that_take_several_writes(spark, cfg, monkeypatch):
+    """A plan that fails ends the run; the next one completes the batch."""
+    monkeypatch.setattr(stages, "MAX_AT_ONCE", 2)
+    monkeypatch.setattr(stages, "PLANS_EACH", 1)
+    land_drifting(spark, cfg)
+    cfg = dataclasses.replace(cfg, max_files_per_write=1)
+    plan = stages.raw_batch
+
+    def failing(groups, *args):
+        if groups[0].inputFiles()[0].endswith("E.parquet"):
+            raise OSError("gone")
+        return plan(groups, *args)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(stages, "raw_batch", failing)
+        with pytest.raises(OSError, match="gone"):
+            ingest(spark, cfg, "b_1")
+    assert sum(per_file(spark, cfg).values()) < 18
+    ingest(spark, cfg, "b_2")
+    assert per_file(spark, cfg) == EXPECTED
+    assert ingest(spark, cfg, "b_3") == []
+
+
 def test_columns_that_the_stored_table_lacks(spark, cfg):
     land(spark, cfg, "A.parquet", month(spark, 3, 0))
     ingest(spark, cfg, "b_1")
