@@ -36,6 +36,7 @@ from siltstone.llm.tables import (
     parts_for,
     row_slices,
     short_batches,
+    shuffles_freed,
 )
 from siltstone.sources.paths import delete_folder
 from siltstone.sources.scratch import scratch_dir
@@ -566,13 +567,15 @@ def train_and_score(
 
     A task holds a chunk (about ``chunk_tokens``, or one longer text) or a bucket (about
     ``bucket_entries`` distinct n-grams of chunks) at a time. A frequent word or n-gram
-    is one entry per chunk. The driver gets a few sums per bucket.
+    is one entry per chunk. The driver gets a few sums per bucket. Disk holds the chunks,
+    all answers, and the questions of one order.
     """
     short_batches(docs)
     spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), empty_text(text_column).alias("text"))
     texts = texts.select("doc_id", F.coalesce(F.expr(held), F.lit(False)), "text")
-    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    with shuffles_freed(spark):
+        n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     files = min(parts_for(n_bytes, 6 * chunk_tokens), MAX_FILES)
     names = {part: f"katz_{part}_{uuid.uuid4().hex}" for part in ("chunks", "replies")}
     paths = {part: scratch_dir(spark) for part in names}
@@ -584,25 +587,26 @@ def train_and_score(
         return spark.table(names[part])
 
     try:
-        chunks = bucketed(tokenized(texts, chunk_tokens), "chunks")
-        n_tokens = chunks.agg(F.sum("n_tokens")).first()[0] or 0
-        if not n_tokens:
-            return spark.createDataFrame([], SCORE_COLUMNS)
-        buckets = parts_for(n_tokens, bucket_entries)
-        by_chunk = chunks.groupBy("chunk")
-        asking = by_chunk.applyInArrow(ask_short(min(2, order), buckets), ASK_COLUMNS)
-        for k in range(1, order + 1):
-            if k > 1:
-                asking = both.applyInArrow(ask_longer(k, order, buckets, model), ASK_COLUMNS)
-            found = asking.groupBy("kind", "bucket").applyInArrow(answer, ANSWER_COLUMNS)
-            replies = bucketed(found.repartition(files, "chunk"), "replies")
-            sums = summed(replies.filter("chunk IS NULL"))
-            nothing = [0] * (RELIABLE + 3)
-            counts = [sums.get(f"count{j}", nothing) for j in range(1, order + 1)]
-            model = Model({j: c[:-1] for j, c in enumerate(counts, 1)}, counts[0][-1])
-            replies = replies.filter("chunk IS NOT NULL")
-            both = by_chunk.cogroup(replies.groupBy("chunk"))
-        return materialize(both.applyInArrow(scores(order, model), SCORE_COLUMNS))
+        with shuffles_freed(spark):
+            chunks = bucketed(tokenized(texts, chunk_tokens), "chunks")
+            n_tokens = chunks.agg(F.sum("n_tokens")).first()[0] or 0
+            if not n_tokens:
+                return spark.createDataFrame([], SCORE_COLUMNS)
+            buckets = parts_for(n_tokens, bucket_entries)
+            by_chunk = chunks.groupBy("chunk")
+            asking = by_chunk.applyInArrow(ask_short(min(2, order), buckets), ASK_COLUMNS)
+            for k in range(1, order + 1):
+                if k > 1:
+                    asking = both.applyInArrow(ask_longer(k, order, buckets, model), ASK_COLUMNS)
+                found = asking.groupBy("kind", "bucket").applyInArrow(answer, ANSWER_COLUMNS)
+                replies = bucketed(found.repartition(files, "chunk"), "replies")
+                sums = summed(replies.filter("chunk IS NULL"))
+                nothing = [0] * (RELIABLE + 3)
+                counts = [sums.get(f"count{j}", nothing) for j in range(1, order + 1)]
+                model = Model({j: c[:-1] for j, c in enumerate(counts, 1)}, counts[0][-1])
+                replies = replies.filter("chunk IS NOT NULL")
+                both = by_chunk.cogroup(replies.groupBy("chunk"))
+            return materialize(both.applyInArrow(scores(order, model), SCORE_COLUMNS))
     finally:
         for part, name in names.items():
             spark.sql(f"DROP TABLE IF EXISTS {name}")

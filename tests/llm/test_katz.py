@@ -1,5 +1,6 @@
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -195,3 +196,30 @@ def test_sums_do_not_depend_on_chunks(spark):
         rows = katz.train_and_score(docs, HELD, 3, chunk_tokens=size).collect()
         found.append({r.doc_id: round(r.score, 6) for r in rows})
     assert found[0] == found[1]
+
+
+def shuffle_files(spark) -> set[str]:
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    files = env.blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(i).getName() for i in range(files.size())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_questions_leave_the_disk_with_their_order(spark, monkeypatch):
+    rows = [(i, f"a{i % 7} b{i % 3} c{i % 5} d{i}") for i in range(60)]
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting, left = shuffle_files(spark), spark.conf.get(key), []
+
+    def summed(replies):
+        end = time.time() + 5  # the files are removed in the background
+        while shuffle_files(spark) - before and time.time() < end:
+            time.sleep(0.2)
+        left.append(shuffle_files(spark) - before)
+        return counted(replies)
+
+    counted = katz.summed
+    monkeypatch.setattr(katz, "summed", summed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert katz.train_and_score(docs, order=3, chunk_tokens=50, bucket_entries=40).count() == 60
+    assert left == [set()] * 3
+    assert spark.conf.get(key) == setting
