@@ -26,6 +26,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -85,6 +86,17 @@ CHUNK_COLUMNS = (
 )
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one after another, and how many each text has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words = split.flatten()
+    # Space at a text's ends leaves empty pieces there.
+    some = pc.greater(pc.binary_length(words), 0)
+    before = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy())])
+    return words.filter(some), np.diff(before[ends])
+
+
 def tokenized(docs: DataFrame, chunk_tokens: int) -> DataFrame:
     """(``CHUNK_COLUMNS``): consecutive documents, with their tokens as numbers of words.
 
@@ -97,12 +109,16 @@ def tokenized(docs: DataFrame, chunk_tokens: int) -> DataFrame:
 
         chunk = TaskContext.get().partitionId() << 32
         names = [c.split()[0] for c in CHUNK_COLUMNS.split(", ")]
-        ids, held, sizes, numbers = [], [], [], []
-        places: dict[bytes, int] = {}
+        ids, held, sizes, pieces, count = [], [], [], [], 0
 
         def row() -> pa.RecordBatch:
-            words = [xxhash.xxh64_intdigest(w, 1) for w in places]
-            tokens = np.concatenate([np.array(n, np.int32) for n in numbers])
+            numbered = pa.chunked_array(pieces).dictionary_encode().chunks
+            # Each has the words of all; without words there is none.
+            words = [w for n in numbered[-1:] for w in n.dictionary.cast(pa.large_binary()).to_pylist()]
+            words = [xxhash.xxh64_intdigest(w, 1) for w in words]
+            tokens = np.zeros(count, np.int32)
+            tokens[np.cumsum(sizes) - 1] = -1
+            tokens[tokens == 0] = np.concatenate([np.zeros(0, np.int32), *(n.indices.to_numpy() for n in numbered)])
             cells = [
                 pa.array([chunk]),
                 pa.array([ids], pa.list_(pa.int64())),
@@ -115,22 +131,21 @@ def tokenized(docs: DataFrame, chunk_tokens: int) -> DataFrame:
             ]
             return pa.RecordBatch.from_arrays(cells, names=names)
 
-        count = 0
         for batch in row_slices(batches):
-            for doc_id, is_held, text in zip(*(c.to_pylist() for c in batch.columns)):
-                add = places.setdefault
-                words = text.encode("utf-8", "replace").lower().split()
-                own = [add(w, len(places)) for w in words]
-                own.append(-1)
-                numbers.append(own)
-                ids.append(doc_id)
-                held.append(is_held)
-                sizes.append(len(own))
-                count += len(own)
+            words, n_words = split_words(batch.column(2))
+            while batch.num_rows:
+                ends = np.cumsum(n_words + 1)
+                n = min(int(np.searchsorted(ends, chunk_tokens - count)) + 1, len(ends))
+                taken = int(ends[n - 1])
+                pieces.append(words.slice(0, taken - n))
+                ids += batch.column(0)[:n].to_pylist()
+                held += batch.column(1)[:n].to_pylist()
+                sizes += (n_words[:n] + 1).tolist()
+                count += taken
+                batch, words, n_words = batch.slice(n), words.slice(taken - n), n_words[n:]
                 if count >= chunk_tokens:
                     yield row()
-                    ids, held, sizes, numbers, count = [], [], [], [], 0
-                    places = {}
+                    ids, held, sizes, pieces, count = [], [], [], [], 0
                     chunk += 1
         if ids:
             yield row()
@@ -142,10 +157,9 @@ class Chunk:
     """A chunk's tokens and the keys of the n-grams that end at them, up to order ``top``.
 
     ``grams[k]`` are the distinct keys of order k, sorted, and ``at[k]`` each token's
-    place among them; ``some[k]`` is a token of each. The k - 1 words before a token are
-    the (k - 1)-gram of the token before, whose place is ``past_at[k]``. The places before
-    a text's first word are filled with marks: that history is ``starts[k]``, one place
-    beyond the others.
+    place among them. Of each such n-gram ``past[k]`` and ``last[k]`` are the places of its
+    first and last k - 1 words among ``grams[k - 1]``. The places before a text's first
+    word are filled with marks: that history is ``starts[k]``, one place beyond the others.
     """
 
     def __init__(self, row: dict, top: int):
@@ -154,29 +168,53 @@ class Chunk:
         self.sizes = np.array(row["sizes"], np.int64)
         self.held = np.array(row["held"], bool)
         self.ids = row["doc_ids"]
-        self.learned = np.repeat(~self.held, self.sizes)
+        self._held_at = np.flatnonzero(np.repeat(self.held, self.sizes))
         first = np.cumsum(self.sizes) - self.sizes
         words = np.append(hashes, END)
-        own, rank = np.unique(_joined(np.zeros(len(words), np.uint64), words), return_inverse=True)
+        own, rank, _ = grouped(_joined(np.zeros(len(words), np.uint64), words))
         self.grams, self.at, self.end = {1: own}, {1: rank[tokens]}, rank[-1]
-        self.past_at, self.starts = {}, {}
+        self.past, self.last, self.starts = {}, {}, {}
+        self._own: dict[int, tuple] = {}
         word, key, start = words[tokens], own[self.at[1]], np.zeros(1, np.uint64)
         for k in range(2, top + 1):
             start = _joined(start, np.array([START]))
             past, past_at = np.roll(key, 1), np.roll(self.at[k - 1], 1)
             past[first], past_at[first] = start, len(self.grams[k - 1])
             key = _joined(past, word)
-            self.grams[k], self.at[k] = np.unique(key, return_inverse=True)
-            self.past_at[k], self.starts[k] = past_at, start
-        self.some = {k: np.zeros(len(g), np.int64) for k, g in self.grams.items()}
-        for k, at in self.at.items():
-            self.some[k][at] = np.arange(len(at))
+            self.grams[k], self.at[k], some = grouped(key)
+            self.past[k] = past_at[some].astype(np.int64)
+            self.last[k] = self.at[k - 1][some].astype(np.int64)
+            self.starts[k] = start
 
     def own_counts(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """How often the chunk's training texts have its n-grams; if held-out ones do."""
-        n = len(self.grams[k])
-        learned = np.bincount(self.at[k], weights=self.learned, minlength=n)
-        return learned.astype(np.int64), np.bincount(self.at[k], minlength=n) > learned
+        if k not in self._own:
+            n = len(self.grams[k])
+            held = np.bincount(self.at[k][self._held_at], minlength=n)
+            self._own[k] = np.bincount(self.at[k], minlength=n) - held, held > 0
+        return self._own[k]
+
+
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, sorted; the place of each key among them; where each is first).
+
+    Sorts numbers made of a key's upper bits and its place, which is several times faster
+    than to sort places by key. Keys that differ in lower bits only are rare in hashes; they
+    are put in order after that.
+    """
+    n = len(keys)
+    low = np.uint64(n.bit_length())
+    order = np.sort(keys >> low << low | np.arange(n, dtype=np.uint64))
+    order = (order & np.uint64((1 << n.bit_length()) - 1)).view(np.int64)
+    ranked = keys[order]
+    if (ranked[1:] < ranked[:-1]).any():
+        again = np.argsort(ranked, kind="stable")
+        order, ranked = order[again], ranked[again]
+    new = np.ones(n, bool)
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+    place = np.empty(n, np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return ranked[new], place, order[new]
 
 
 def _joined(past: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -230,7 +268,7 @@ def asked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[dict]]:
     """Of a bucket's questions: distinct keys, each question's place, and the rows."""
     rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
     keys = np.concatenate([unpacked_keys(r["keys"], r["size"]) for r in rows])
-    distinct, place = np.unique(keys, return_inverse=True)
+    distinct, place, _ = grouped(keys)
     return distinct, place, rows
 
 
@@ -417,24 +455,23 @@ class Model:
 
 
 class Evaluation:
-    """Probabilities of a chunk's tokens, order by order up to ``top``."""
+    """Probabilities of a chunk's n-grams after their histories, order by order up to ``top``."""
 
     def __init__(self, chunk: Chunk, replies: Sequence[dict], model: Model | None, top: int):
         self.chunk, self.replies, self.model = chunk, replies, model
         self._counts: dict[int, tuple] = {}
         if top:
-            counts = self.counts(1)[0]
-            self.known = counts[chunk.at[1]]
-            self.p = model.single(counts)[chunk.at[1]]
+            self.p = model.single(self.counts(1)[0])
         for k in range(2, top + 1):
-            c = self.counts(k)[0][chunk.at[k]]
+            c = self.counts(k)[0]
             seen, _ = self.histories(k)
             place, _ = self.past_places(k)
             more, weight = np.zeros(len(seen)), np.ones(len(seen))
             more[place], weight[place] = answers(replies, f"past{k}", len(place), np.float64, 2)
-            past = chunk.past_at[k]
-            divisor = np.maximum(seen + more, 1)[past]
-            self.p = np.where(c > 0, model.discounted(k, c) / divisor, weight[past] * self.p)
+            past, unseen = chunk.past[k], np.flatnonzero(c == 0)
+            p = model.discounted(k, c) / np.maximum(seen + more, 1)[past]
+            p[unseen] = weight[past[unseen]] * self.p[chunk.last[k][unseen]]
+            self.p = p
 
     def asks(self, k: int) -> np.ndarray:
         """Of which n-grams of order k the counts come from a bucket.
@@ -445,11 +482,12 @@ class Evaluation:
         if k <= 2:
             return np.ones(len(chunk.grams[k]), bool)
         seen, held = self.histories(k)
-        some = chunk.some[k]
-        past, last = chunk.past_at[k][some], chunk.at[k - 1][some]
-        few = np.minimum(seen[past], seen[last])
+        # In one byte, as these are looked up in no order: 0, 1 or more, and the mark.
+        state = (np.minimum(seen, 2) << 1 | held).astype(np.int8)
+        past, last = state[chunk.past[k]], state[chunk.last[k]]
+        few = np.minimum(past, last) >> 1
         learned, _ = chunk.own_counts(k)
-        return np.where(learned > 0, (few > 1) | (held[past] & held[last]), few > 0)
+        return np.where(learned > 0, (few > 1) | (past & last & 1 > 0), few > 0)
 
     def counts(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of the n-grams of order k: training counts, whether held-out texts have them
@@ -487,13 +525,13 @@ class Evaluation:
         chunk = self.chunk
         counts, _, owner = self.counts(k)
         seen, held = self.histories(k)
-        past, c = chunk.past_at[k], counts[chunk.at[k]]
+        past = chunk.past[k]
         wanted, sent = np.zeros(len(seen), bool), np.zeros(len(seen), bool)
-        wanted[past[c == 0]] = True
+        wanted[past[counts == 0]] = True
         wanted &= seen > 0
-        sent[past[chunk.some[k][owner]]] = True
+        sent[past[owner]] = True
         sent &= held | (seen > RELIABLE)
-        sent[past[(c > RELIABLE) | (seen[past] > 1000)]] = True
+        sent[past[(counts > RELIABLE) | (seen > 1000)[past]]] = True
         place = np.flatnonzero(sent | wanted)
         keys = np.append(chunk.grams[k - 1], chunk.starts[k])
         place = place[np.argsort(keys[place], kind="stable")]
@@ -504,11 +542,14 @@ class Evaluation:
         counts, _, owner = self.counts(k)
         _, held = self.histories(k)
         place, wanted = self.past_places(k)
-        some, c = own.some[k][owner], counts[owner]
-        past, n = own.past_at[k][some], len(held)
+        n = len(held)
+        sent = np.zeros(n, bool)
+        sent[place] = True
+        mine = np.flatnonzero(owner & sent[own.past[k]])
+        past, c, shorter = own.past[k][mine], counts[mine], self.p[own.last[k][mine]]
         sums = [
             np.bincount(past, weights=w, minlength=n)[place]
-            for w in (c, self.model.discounted(k, c), self.p[some] * held[past])
+            for w in (c, self.model.discounted(k, c), shorter * held[past])
         ]
         keys = np.append(own.grams[k - 1], own.starts[k])[place]
         values = np.stack([*sums, wanted.astype(float)])
@@ -526,11 +567,10 @@ def scores(order: int, model: Model) -> Callable[[pa.Table, pa.Table], pa.Table]
         own = Chunk(cells, order)
         found = Evaluation(own, replies, model, order)
         doc = np.repeat(np.arange(len(own.sizes)), own.sizes)
-        base = np.log10((found.known + 1) / (model.tokens + model.types + 1))
-        sums = [
-            np.bincount(doc, weights=w, minlength=len(own.sizes))
-            for w in (found.known > 0, base, np.log10(found.p))
-        ]
+        known = found.counts(1)[0]
+        base = np.log10((known + 1) / (model.tokens + model.types + 1))
+        per_token = (known > 0)[own.at[1]], base[own.at[1]], np.log10(found.p)[own.at[order]]
+        sums = [np.bincount(doc, weights=w, minlength=len(own.sizes)) for w in per_token]
         for i, doc_id in enumerate(own.ids):
             yield (
                 doc_id,
