@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.tables import materialize
+from siltstone.llm.tables import few_parts, materialize
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -16,11 +16,14 @@ def connected_components(links: DataFrame) -> DataFrame:
     longest path. Labels are stored after each round, which cuts the lineage and
     survives lost executors; only the number of changes reaches the driver.
     """
-    edges = materialize(links.select("a", "b").unionAll(links.select("b", "a")))
+    ways = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    edges = materialize(links.select(ways.alias("way")).select("way.*"))
+    # There are no more nodes than edges, as each link is there both ways.
+    most = edges.count()
     labels = edges.groupBy(F.col("a").alias("node")).agg(
         F.least(F.min("b"), F.first("a")).alias("label")
     )
-    labels = materialize(labels)
+    labels = materialize(few_parts(labels, most))
     while True:
         beside = edges.join(labels, edges["b"] == labels["node"]).select("a", "label")
         lowest = beside.groupBy(F.col("a").alias("node")).agg(F.min("label").alias("low"))
@@ -38,7 +41,8 @@ def connected_components(links: DataFrame) -> DataFrame:
             F.min("new").alias("new"), F.min("old").alias("old")
         )
         parent = hooked.select(F.col("node").alias("new"), F.col("new").alias("label"))
-        jumped = materialize(hooked.join(parent, "new").select("node", "label", "old"))
+        jumped = hooked.join(parent, "new").select("node", "label", "old")
+        jumped = materialize(few_parts(jumped, most))
         labels = jumped.select("node", "label")
         if jumped.filter("label < old").isEmpty():
             return labels

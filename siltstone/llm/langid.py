@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.tables import label_sizes, materialize, sampled, short_batches
+from siltstone.llm.tables import few_parts, label_sizes, materialize, sampled, short_batches
 
 BUCKETS = 1 << 15
 _KEEP = bytes(
@@ -356,7 +356,7 @@ def identify(
     hosts = hosts.withColumn(
         "domain", F.array_join(F.slice(parts, -F.least(F.size(parts), F.lit(2)), 2), ".")
     ).withColumn("suffix", F.when(F.size(parts) > 1, F.element_at(parts, -1)))
-    hosts = materialize(hosts)
+    hosts = materialize(few_parts(hosts, scored.count()))
     add_up = [
         F.array(*[F.sum(F.get("sums", F.lit(i))) for i in range(n)]).alias("s"),
         F.sum("rows").alias("r"),

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from siltstone.llm.components import connected_components
 from siltstone.llm.tables import (
     empty_text,
+    few_parts,
     materialize,
     parts_for,
     row_slices,
@@ -36,6 +37,8 @@ BITS = 64
 BYTES = 8
 # Fingerprints a task posts; each makes tens of entries.
 SPREAD_ROWS = 25_000
+# Documents that a task of the kept ones has at least; texts may be long.
+KEPT_ROWS = 1_000
 
 
 # --- fingerprints -----------------------------------------------------------
@@ -248,15 +251,16 @@ def links(fps: DataFrame, max_bits: int = 4, long_list: int = 1024) -> DataFrame
     are given as it takes to join what is joined; none is between others.
     """
     # A few numbers become many entries here: first spread over enough tasks.
-    spread = fps.repartition(parts_for(fps.count(), SPREAD_ROWS), "fp")
-    keys = F.explode(F.array(*list_keys("fp", max_bits))).alias("key")
-    posted = spread.select(keys, "fp")
-    found = materialize(
+    n_fps, keys = fps.count(), list_keys("fp", max_bits)
+    spread = fps.repartition(parts_for(n_fps, SPREAD_ROWS), "fp")
+    posted = spread.select(F.explode(F.array(*keys)).alias("key"), "fp")
+    found = (
         posted.repartition("key")
         .sortWithinPartitions("key", "fp")
         .mapInArrow(scan_lists(max_bits, long_list), "a long, b long")
     )
-    short = found.filter("b is not null").distinct()
+    found = materialize(few_parts(found, n_fps * len(keys)))
+    short = few_parts(found.filter("b is not null").distinct(), found.count())
     entries = found.filter("b is null").select("a").distinct()
     if entries.isEmpty():
         return short
@@ -282,7 +286,9 @@ def near_duplicates(
     smallest fingerprint as a signed number.
     """
     prints = materialize(fingerprints(docs, shingle, id_column, text_column))
-    classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    n_rows = prints.count()
+    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    classes = materialize(few_parts(classes, n_rows))
     found = links(classes.select("fp"), max_bits, long_list)
     labels = connected_components(found)
     linked = classes.join(labels.withColumnRenamed("node", "fp"), "fp")
@@ -295,7 +301,7 @@ def near_duplicates(
         .otherwise(F.col("linked_id"))
         .alias("component_id"),
     )
-    return prints.join(classes, "fp").select(
+    rows = prints.join(classes, "fp").select(
         "doc_id",
         "row_hash",
         "fp",
@@ -303,6 +309,7 @@ def near_duplicates(
         "component",
         "component_id",
     )
+    return few_parts(rows, n_rows)
 
 
 def keep_one(
@@ -325,7 +332,9 @@ def keep_one(
     both = chosen["doc_id"].eqNullSafe(times["doc_id"]) & (
         chosen["row_hash"] == times["row_hash"]
     )
-    chosen = materialize(chosen.join(times, both).select(chosen["doc_id"], chosen["row_hash"], "times"))
+    chosen = chosen.join(times, both).select(chosen["doc_id"], chosen["row_hash"], "times")
+    n_rows = rows.count()
+    chosen = materialize(few_parts(chosen, n_rows))
     data = docs.select(whole_row(docs).alias("row"), F.col(id_column).cast("long").alias("i"), row_hash(docs).alias("h"))
 
     def found(keys: DataFrame) -> DataFrame:
@@ -338,4 +347,5 @@ def keep_one(
         order = Window.partitionBy("i", "h").orderBy(F.lit(0))
         numbered = found(again).withColumn("n", F.row_number().over(order))
         kept = kept.unionByName(numbered.filter("n = 1").drop("n"))
-    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    kept = kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return few_parts(kept, n_rows, KEPT_ROWS)

@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 import xxhash
 
-from siltstone.llm import simhash
+from siltstone.llm import components, simhash
 from siltstone.llm.components import connected_components
+from siltstone.llm.tables import few_parts, materialize
 
 SF = "/root/testdata/sf0.01"
 
@@ -123,3 +124,49 @@ def test_components_of_paths(spark):
 
 def test_no_links(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.fixture
+def many_partitions(spark):
+    """Shuffles of 64 partitions, however little is in them."""
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_small_results_are_few_files(spark, many_partitions, monkeypatch):
+    """Each file costs an executor three programs, which share its memory for a moment."""
+    random.seed(5)
+    rows = []
+    for i in range(400):
+        words = [random.choice("abcdefgh") * random.randint(1, 9) for _ in range(120)]
+        copy = [*words[:60], "other", *words[61:]]
+        rows += [(3 * i, " ".join(words)), (3 * i + 1, " ".join(words)), (3 * i + 2, " ".join(copy))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    files = []
+
+    def counted(df):
+        stored = materialize(df)
+        files.append(len(stored.inputFiles()))
+        return stored
+
+    for module in (simhash, components):
+        monkeypatch.setattr(module, "materialize", counted)
+    expected = slow_components([(i, slow_fingerprint(t)) for i, t in rows])
+    kept = counted(simhash.keep_one(docs)).select("doc_id").collect()
+    assert sorted(r[0] for r in kept) == sorted({first for _, _, first in expected})
+    assert len(files) >= 7
+    assert max(files) <= spark.sparkContext.defaultParallelism, files
+
+
+def test_few_parts_grow_with_the_rows(spark):
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(0, 1000, 1, 10 * cores)
+    assert few_parts(df, 1000).rdd.getNumPartitions() == cores
+    assert few_parts(df, 1000, 1000 // (3 * cores)).rdd.getNumPartitions() > 3 * cores - 1
+    assert few_parts(df, 1000, 1).rdd.getNumPartitions() == 10 * cores
+    assert few_parts(spark.range(0, 9, 1, 2), 9).rdd.getNumPartitions() == 2
